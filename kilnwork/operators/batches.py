@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.resource import ExecutorResourceRequests, ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def map_batches(
@@ -54,7 +54,7 @@ def fanout(df: DataFrame, fn: Callable[[], str], column: str = "result") -> Data
         results = pa.array([fn() for _ in range(batch.num_rows)], pa.string())
         return pa.RecordBatch.from_arrays([*batch.columns, results], [*batch.schema.names, column])
 
-    return map_batches(df, call, StructType(df.schema.fields).add(column, "string"))
+    return map_batches(df, call, StructType([*df.schema.fields, StructField(column, StringType())]))
 
 
 def gpu_profile(num_gpus: float) -> ResourceProfile | None:

@@ -70,10 +70,10 @@ def _merge(winner: Column, other: Column) -> Column:
 
 
 def tumbling(samples: DataFrame, every: str = SCRAPE_INTERVAL) -> DataFrame:
-    """Count, sum of cents and extremes of each metric in fixed windows; batch or streaming."""
+    """Count, sum and extremes of each metric in fixed windows; batch or streaming."""
     return samples.groupBy(F.window("ts", every), "metric").agg(
         F.count(F.lit(1)).alias("samples"),
-        F.sum(F.round(F.col("value") * 100).cast("long")).alias("sum_cents"),
+        F.sum("value").alias("sum_value"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
     )

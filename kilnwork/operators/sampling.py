@@ -32,23 +32,30 @@ def rows_within_cap(cap: int, batch_size: int = BATCH_SIZE) -> int:
     return (cap // batch_size + 1) * batch_size
 
 
-def hash_sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
-    """The ``n`` rows that come first in the hash order of ``seed``.
+def likely_rows(df: DataFrame, key: str, n: int, seed: str, total: int) -> DataFrame:
+    """A part of ``df`` that almost surely holds the first ``n`` of ``total`` rows in hash order.
 
     On a large table the scan keeps only rows below a hash bound that about
-    ``n`` rows pass, so the final top-n sees a few hundred rows instead of
-    ``n`` from every task. Too few passing rows (which a margin of ten standard
-    deviations all but rules out) means sorting without the bound.
+    ``n`` rows pass, with a margin of ten standard deviations, so a top-n over
+    it sees a few hundred rows instead of ``n`` from every task.
     """
-    order = draws.hash_order(F.col(key), seed)
-    rows = df
-    total = df.count()
     wanted = n + 10 * math.sqrt(n) + 50
-    if total > 4 * wanted:
-        near = df.filter(order < f"{int(wanted / total * (1 << 32)):08x}")
-        if near.select(key).limit(n).count() == n:
-            rows = near
-    return rows.withColumn("sample_order", order).orderBy("sample_order", key).limit(n)
+    if total <= 4 * wanted:
+        return df
+    bound = f"{int(wanted / total * (1 << 32)):08x}"
+    return df.filter(F.substring(draws.hash_order(F.col(key), seed), 1, 8) < bound)
+
+
+def first_rows(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    return df.withColumn("sample_order", draws.hash_order(F.col(key), seed)).orderBy("sample_order", key).limit(n)
+
+
+def hash_sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    """The ``n`` rows that come first in the hash order of ``seed``."""
+    near = likely_rows(df, key, n, seed, df.count())
+    if near is not df and near.select(key).limit(n).count() < n:
+        near = df
+    return first_rows(near, key, n, seed)
 
 
 def epoch_sample(

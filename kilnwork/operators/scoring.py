@@ -168,19 +168,17 @@ def score_by_join(
     copies of the weights. Position -1 holds the bias. ``key`` must be unique.
     One row per ``key`` and class comes out: ``key, class_id, logit``.
     """
-    bias = weights.filter("pos < 0").select("class_id", F.col("weight").alias("bias"))
-    values = df.select(key, F.posexplode(features).alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
-    entries = weights.filter("pos >= 0").select("class_id", "pos", "weight")
+    # A leading 1 stands at position -1, so the bias is one more product.
+    inputs = F.concat(F.array(F.lit(1.0)), F.col(features).cast("array<double>"))
+    values = df.select(key, F.posexplode(inputs).alias("pos", "x")).withColumn("pos", F.col("pos") - 1)
+    entries = weights.select("class_id", "pos", "weight")
     on = ["pos"]
     if salts > 1:
         values = values.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
         entries = entries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on = ["pos", "salt"]
     products = values.join(entries, on)
-    sums = products.groupBy(key, "class_id").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-    return sums.join(bias, "class_id", "left").select(
-        key, "class_id", (F.col("dot") + F.coalesce("bias", F.lit(0.0))).alias("logit")
-    )
+    return products.groupBy(key, "class_id").agg(F.sum(F.col("x") * F.col("weight")).alias("logit"))
 
 
 def rank_logits(logits: DataFrame, key: str, k: int = TOP_K) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from kilnwork.functions import draws
@@ -218,6 +219,9 @@ def run_search(
     rungs = set(rung_levels(grace, reduction, horizon)) if horizon else set()
     rows = samples.select(key, features, label, "is_test")
     gradient = None
+    totals = {False: 0, True: 0}
+    if mode == "minibatch":
+        totals.update({r["is_test"]: r["count"] for r in rows.groupBy("is_test").count().collect()})
 
     while live.any():
         now = np.flatnonzero(live)
@@ -234,15 +238,12 @@ def run_search(
             gradient, accuracy = _full_pass(tested, trainable, params[now], features, label)
         else:
             iteration += 1
-            train = _gather(
-                sampling.epoch_sample(rows.filter("not is_test"), key, epoch_cap, batch_size, f"train-{iteration}"),
-                features,
-                label,
-            )
-            test = _gather(
-                sampling.epoch_sample(rows.filter("is_test"), key, test_cap, batch_size, f"test-{iteration}"),
-                features,
-                label,
+            train, test = (
+                _gather(part, key, sampling.rows_within_cap(cap, batch_size), f"{name}-{iteration}", total, features, label)
+                for name, part, cap, total in (
+                    ("train", rows.filter("not is_test"), epoch_cap, totals[False]),
+                    ("test", rows.filter("is_test"), test_cap, totals[True]),
+                )
             )
             params[now], velocity[now], accuracy, errors = _minibatch_pass(
                 spark, trainable, params[now], velocity[now], lr[now], momentum[now], train, test, batch_size
@@ -278,17 +279,26 @@ def _full_pass(
     return sums.gradient / max(sums.train_rows, 1), accuracy
 
 
-def _gather(sample: DataFrame, features: str, label: str) -> tuple[np.ndarray, np.ndarray]:
-    """A capped sample as arrays, in batch order."""
-    table = sample.orderBy("batch_index").select(features, label).toArrow().combine_chunks()
-    if not table.num_rows:
+def _gather(
+    rows: DataFrame, key: str, n: int, seed: str, total: int, features: str, label: str
+) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` rows in hash order as arrays; ``n`` comes from the row caps."""
+    if not total:
         raise ValueError("no rows to train or test on")
+    near = sampling.likely_rows(rows, key, n, seed, total)
+    table = _collect(near, key, n, seed, features, label)
+    if table.num_rows < min(n, total):
+        table = _collect(rows, key, n, seed, features, label)
     x, usable = batches.vectors(table.column(0).combine_chunks())
     if not usable.all():
         raise ValueError(f"unusable features in {features}")
     return x, table.column(1).to_numpy().astype(np.int64)
 
 
+def _collect(rows: DataFrame, key: str, n: int, seed: str, features: str, label: str) -> pa.Table:
+    return sampling.first_rows(rows, key, n, seed).select(features, label).toArrow()
+
+
 def _minibatch_pass(
     spark: SparkSession,
     trainable: training.Trainable,

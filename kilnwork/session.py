@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -45,3 +45,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="kilnwork-")
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several passes read to shared scratch space and read it back.
+
+    Unlike a cache, the files outlive lost executors.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
