@@ -64,12 +64,13 @@ def _predict(
     top = np.argsort(-probs, axis=1, kind="stable")[:, :k]
     scores = np.take_along_axis(probs, top, axis=1)
     lost = np.array([m is not None for m in errors]) if on_error == "null" else None
-    offsets = pa.array(np.arange(0, n * k + 1, k, dtype=np.int32), mask=None if lost is None else np.append(lost, False))
+    offsets = pa.array(np.arange(0, n * k + 1, k, dtype=np.int32))
+    gaps = None if lost is None else pa.array(lost)
     return [
         pa.array(top[:, 0].astype(np.int32), mask=lost),
         pa.array(scores[:, 0], mask=lost),
-        pa.ListArray.from_arrays(offsets, pa.array(top.astype(np.int32).ravel())),
-        pa.ListArray.from_arrays(offsets, pa.array(scores.ravel())),
+        pa.ListArray.from_arrays(offsets, pa.array(top.astype(np.int32).ravel()), mask=gaps),
+        pa.ListArray.from_arrays(offsets, pa.array(scores.ravel()), mask=gaps),
         pa.array(errors, pa.string()),
     ]
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,27 @@ def build_session(app_name: str = "kilnwork", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once for each application.
+
+    Needed where it is neither installed on the executors nor passed with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_kilnwork_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="kilnwork-"), "kilnwork.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)
+    context._kilnwork_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables, in the folder the cluster shares.
 
