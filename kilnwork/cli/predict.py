@@ -38,7 +38,7 @@ def predict_images(
     if uri.startswith("s3a://"):
         options = files.s3a_options(access_key, secret_key, session_token, endpoint, anonymous)
         files.apply_store_options(spark, options)
-    decoded = images.flatten_images(files.scan_images(spark, uri))
+    decoded = batches.spread(images.flatten_images(files.scan_images(spark, uri)))
     return scoring.score(
         decoded,
         loader,

@@ -44,7 +44,11 @@ def log_softmax(logits: Column) -> Column:
 
 
 def linear(features: Column, weights: Sequence[Sequence[float]], bias: Sequence[float] | None = None) -> Column:
-    """``W x + b`` with one row of ``weights`` per class, folded into the plan as a literal."""
+    """``W x + b`` with one row of ``weights`` per class, folded into the plan as a literal.
+
+    For small weights. Array lambdas are interpreted, so with hundreds of weights
+    ``scoring.score_logits``, which multiplies whole batches, is several times faster.
+    """
     bias = [0.0] * len(weights) if bias is None else list(bias)
     rows = [{"w": [float(v) for v in row], "b": float(b)} for row, b in zip(weights, bias)]
     table = F.from_json(F.lit(json.dumps(rows)), "array<struct<w: array<double>, b: double>>")
@@ -86,9 +90,8 @@ def argmax(values: Column) -> Column:
 
 def top_k(values: Column, k: int = 5) -> Column:
     """The ``k`` largest values as ``array<struct<class_id, score>>``, best first, lowest index on a tie."""
-    ranked = F.array_sort(
-        F.transform(values, lambda v, i: F.struct((-v).alias("order"), i.alias("class_id"), v.alias("score")))
-    )
+    # sort_array compares structs natively; array_sort would call a lambda for every comparison.
+    ranked = F.sort_array(F.transform(values, lambda v, i: F.struct((-v).alias("order"), i.alias("class_id"), v.alias("score"))))
     return F.transform(
         F.slice(ranked, 1, k),
         lambda r: F.struct(r["class_id"].cast("int").alias("class_id"), r["score"].alias("score")),

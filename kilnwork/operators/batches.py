@@ -57,6 +57,17 @@ def fanout(df: DataFrame, fn: Callable[[], str], column: str = "result") -> Data
     return map_batches(df, call, StructType([*df.schema.fields, StructField(column, StringType())]))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores where the input has fewer partitions than that.
+
+    Worth its shuffle only before expensive work on rows, such as a network on
+    images: a file that cannot be split would keep all its rows in one task.
+    A large input has enough partitions and is left alone.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def gpu_profile(num_gpus: float) -> ResourceProfile | None:
     """Stage-level request for GPUs; none for 0."""
     if num_gpus <= 0:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,29 +17,45 @@ CHANNEL_STD = (0.229, 0.224, 0.225)
 
 
 def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
-    """Raw gray, BGR or BGRA rows as RGB ``[height, width, 3]``."""
+    """Raw gray, BGR or BGRA rows as RGB ``[height, width, 3]``; gray stays one plane."""
     pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
-    if channels == 1:
-        return np.repeat(pixels, 3, axis=2)
-    return pixels[:, :, 2::-1]
+    return pixels if channels == 1 else pixels[:, :, 2::-1]
 
 
-def _resample(size: int, target: int) -> np.ndarray:
-    """Weights ``[target, size]`` of bilinear resampling that averages when it shrinks."""
+@lru_cache(maxsize=256)
+def _resample(size: int, target: int, start: int, count: int) -> tuple[slice, np.ndarray]:
+    """Bilinear resampling of ``size`` to ``target`` pixels, for ``count`` of them from ``start``.
+
+    When it shrinks, the triangle widens so that all source pixels count. Returns
+    the source pixels that matter and their weights ``[count, pixels]``.
+    """
     scale = size / target
     reach = max(scale, 1.0)
-    centres = (np.arange(target) + 0.5) * scale
+    centres = (np.arange(start, start + count) + 0.5) * scale
     weights = np.maximum(0.0, 1.0 - np.abs(np.arange(size) + 0.5 - centres[:, None]) / reach)
-    return weights / weights.sum(axis=1, keepdims=True)
-
-
-def resize(pixels: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Resize 8-bit pixels, first along the width, rounding to 8 bits after each direction."""
-    if pixels.shape[1] != width:
-        pixels = _to_bytes(np.einsum("tw,hwc->htc", _resample(pixels.shape[1], width), pixels, optimize=True))
-    if pixels.shape[0] != height:
-        pixels = _to_bytes(np.einsum("th,hwc->twc", _resample(pixels.shape[0], height), pixels, optimize=True))
-    return pixels
+    used = np.flatnonzero(weights.any(axis=0))
+    window = slice(int(used[0]), int(used[-1]) + 1)
+    return window, weights[:, window] / weights.sum(axis=1, keepdims=True)
+
+
+def resize_window(
+    pixels: np.ndarray, size: tuple[int, int], top: int, left: int, height: int, width: int
+) -> np.ndarray:
+    """A window of the image ``[h, w, c]`` resized to ``size``; the rest is not computed.
+
+    The width comes first, and values are rounded to 8 bits after each direction.
+    """
+    planes = pixels.transpose(2, 0, 1)
+    rows, down = _resample(pixels.shape[0], size[0], top, height)
+    columns, across = _resample(pixels.shape[1], size[1], left, width)
+    planes = planes[:, rows, columns]
+    if size[1] != pixels.shape[1]:
+        planes = _to_bytes(planes @ across.T)
+    else:
+        planes = planes[:, :, left - columns.start : left - columns.start + width]
+    if size[0] != pixels.shape[0]:
+        return _to_bytes(down @ planes)
+    return planes[:, top - rows.start : top - rows.start + height]
 
 
 def _to_bytes(values: np.ndarray) -> np.ndarray:
@@ -52,11 +69,10 @@ def preprocess(pixels: np.ndarray, resize_side: int = RESIZE_SIDE, crop: int = C
         size = (resize_side, int(resize_side * width / height))
     else:
         size = (int(resize_side * height / width), resize_side)
-    pixels = resize(pixels, *size)
     top, left = round((size[0] - crop) / 2), round((size[1] - crop) / 2)
-    window = pixels[top : top + crop, left : left + crop].astype(np.float32) / np.float32(255)
-    scaled = (window - np.float32(CHANNEL_MEAN)) / np.float32(CHANNEL_STD)
-    return scaled.transpose(2, 0, 1)
+    window = resize_window(pixels, size, top, left, crop, crop).astype(np.float32) / np.float32(255)
+    mean, std = np.float32(CHANNEL_MEAN)[:, None, None], np.float32(CHANNEL_STD)[:, None, None]
+    return (window - mean) / std
 
 
 def flatten_images(images: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kilnwork.functions import status as states
+from kilnwork.functions.tensor import let
 
 SCRAPE_INTERVAL = "15 seconds"
 
@@ -50,23 +51,24 @@ def attach_labels(
     hint: Spark broadcasts the table if its size allows. Labels of the sample
     win over those of the target, and those over the static ones.
     """
-    # Maps are merged as entry lists, with the winner first, because a duplicate key is an error.
-    fixed = [x for pair in static.items() for x in map(F.lit, pair)]
-    layers = [F.col("labels")]
-    if per_target is not None:
-        samples = samples.join(per_target, target, "left")
-        layers.append(F.coalesce("target_labels", F.map_from_arrays(F.array(), F.array()).cast("map<string,string>")))
-    if fixed:
-        layers.append(F.create_map(*fixed))
-    merged = layers[0]
-    for layer in layers[1:]:
-        merged = _merge(merged, layer)
-    return samples.withColumn("labels", merged).drop("target_labels")
+    common = F.create_map(*[x for pair in static.items() for x in map(F.lit, pair)]) if static else _no_labels()
+    if per_target is None:
+        return samples.withColumn("labels", _merge(F.col("labels"), common))
+    # Static labels join those of the target once for each target, not for each sample.
+    targets = per_target.select(target, _merge(F.col("target_labels"), common).alias("target_labels"))
+    joined = samples.join(targets, target, "left")
+    merged = _merge(F.col("labels"), F.coalesce("target_labels", common))
+    return joined.withColumn("labels", merged).drop("target_labels")
+
+
+def _no_labels() -> Column:
+    return F.map_from_arrays(F.array(), F.array()).cast("map<string,string>")
 
 
 def _merge(winner: Column, other: Column) -> Column:
-    extra = F.map_filter(other, lambda name, _: ~F.map_contains_key(winner, name))
-    return F.map_concat(winner, extra)
+    return let(
+        winner, lambda kept: F.map_concat(kept, F.map_filter(other, lambda name, _: ~F.map_contains_key(kept, name)))
+    )
 
 
 def tumbling(samples: DataFrame, every: str = SCRAPE_INTERVAL) -> DataFrame:

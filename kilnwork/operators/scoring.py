@@ -152,6 +152,29 @@ def score_variants(
     return batches.map_batches_with(df, build, schema, profile=profile)
 
 
+def score_logits(
+    df: DataFrame, loader: models.Loader, featurise: Featuriser, *, keep: Sequence[str] = (), batch_size: int = 4096
+) -> DataFrame:
+    """The ``keep`` columns and the raw ``logits`` of each row, for losses; unusable rows get NULL."""
+    keep = list(keep)
+    schema = T.StructType([df.schema[name] for name in keep] + [T.StructField("logits", T.ArrayType(T.DoubleType()))])
+
+    def build() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        model = loader()
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            inputs, errors = featurise(batch)
+            logits = np.ascontiguousarray(model.logits(inputs), dtype=np.float64)
+            offsets = pa.array(np.arange(0, logits.size + 1, logits.shape[1], dtype=np.int32))
+            lost = pa.array([m is not None for m in errors])
+            lists = pa.ListArray.from_arrays(offsets, pa.array(logits.ravel()), mask=lost)
+            return pa.RecordBatch.from_arrays([*[batch.column(name) for name in keep], lists], names=schema.names)
+
+        return run
+
+    return batches.map_batches_with(df, build, schema, batch_size)
+
+
 def score_by_join(
     df: DataFrame,
     weights: DataFrame,

@@ -331,5 +331,6 @@ def _minibatch_pass(
 
     schema = "slot long, w array<double>, v array<double>, accuracy double, error string"
     done = slots.mapInPandas(run, schema).toPandas().sort_values("slot")
+    shared.destroy()
     errors = {int(s): e for s, e in zip(done["slot"], done["error"]) if isinstance(e, str)}
     return np.stack(done["w"]), np.stack(done["v"]), done["accuracy"].to_numpy(float), errors

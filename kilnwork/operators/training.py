@@ -14,6 +14,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from kilnwork.operators import batches
@@ -155,7 +156,7 @@ class PassResult:
 def partial_sums(
     df: DataFrame,
     trainable: Trainable,
-    params: np.ndarray,
+    params: Broadcast[np.ndarray],
     features: str,
     label: str,
     is_test: str = "is_test",
@@ -164,11 +165,10 @@ def partial_sums(
 
     Each task emits one row per trial; the shuffle moves those and not the samples.
     """
-    shared = df.sparkSession.sparkContext.broadcast(params)
     width = _feature_width(trainable)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shared.value
+        weights = params.value
         trials = len(weights)
         totals = np.zeros((trials, trainable.n_params + 4))
         step = max(1, _WORK_CELLS // max(1, trials * 16, trainable.n_params))
@@ -223,8 +223,9 @@ def training_pass(
     block = max(1, MAX_BROADCAST_BYTES // (8 * (trainable.n_params + 4)))
     sums = np.zeros((len(params), trainable.n_params + 4))
     for start in range(0, len(params), block):
-        part = params[start : start + block]
+        part = df.sparkSession.sparkContext.broadcast(params[start : start + block])
         cells = partial_sums(df, trainable, part, features, label, is_test).toPandas()
+        part.destroy()  # a search makes one for every iteration
         trial, pos = cells["trial"].to_numpy(np.int64), cells["pos"].to_numpy(np.int64)
         sums[start + trial, pos] = cells["value"].to_numpy()
     if not len(params):

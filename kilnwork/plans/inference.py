@@ -140,11 +140,23 @@ def eval_accuracy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nll_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = mean_model(spark, sf_dir)
-    logits = tensor.linear(F.col("embedding"), model.weights.tolist(), model.bias.tolist())
-    rows = samples(spark, sf_dir).select("label", logits.alias("logits"))
+    rows = scoring.score_logits(
+        samples(spark, sf_dir).select("label", "embedding"),
+        models.broadcast_loader(spark, model),
+        scoring.vector_features("embedding", model.weights.shape[1]),
+        keep=["label"],
+    )
     return evaluation.mean_nll(rows, "logits").withColumn("mean_nll", F.round("mean_nll", 6))
 
 
+def linear_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linear layer and its log-softmax as column expressions."""
+    model = mean_model(spark, sf_dir)
+    logits = tensor.linear(F.col("embedding"), model.weights.tolist(), model.bias.tolist())
+    logs = samples(spark, sf_dir).select("vec_id", F.posexplode(tensor.log_softmax(logits)))
+    return logs.select("vec_id", F.col("pos").alias("class_id"), F.round("col", 6).alias("log_probability"))
+
+
 def relu_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as four channels of sixteen values."""
     mean, std = (0.01, 0.02, -0.01, 0.0), (0.1, 0.2, 0.25, 0.5)
@@ -209,6 +221,7 @@ def image_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("channels"),
         F.rpad(html, height * 64, F.lit(b"\0")).alias("data"),
     )
+    rasters = batches.spread(rasters)
     scored = scoring.score(rasters, ChannelMeans, images.image_features(), keep=["page_id"], batch_size=32)
     return scored.select(
         "page_id",
@@ -265,6 +278,7 @@ QUERIES = {
     "eval_accuracy": eval_accuracy,
     "eval_accuracy_join": eval_accuracy_join,
     "nll_loss": nll_loss,
+    "linear_layer": linear_layer,
     "relu_norm": relu_norm,
     "sink_parquet_roundtrip": _roundtrip(".parquet"),
     "sink_json_roundtrip": _roundtrip(".json"),
@@ -366,6 +380,9 @@ ORACLES = {
         WITH {_LOGITS}, {_BY_VEC}
         SELECT round(avg(-ln(score)), 6) AS mean_nll, count(*) AS rows FROM r WHERE class_id = label
     """,
+    "linear_layer": f"""
+        WITH {_LOGITS}, {_BY_VEC} SELECT vec_id, class_id, round(ln(score), 6) AS log_probability FROM r
+    """,
     "relu_norm": """
         WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding)))::INT AS pos
                    FROM embeddings)

@@ -20,7 +20,8 @@ def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Sof
 def gradient_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean gradient over the training rows at zero weights; position ``d`` is the bias."""
     rows, trainable = _labelled(spark, sf_dir)
-    sums = training.partial_sums(rows, trainable, np.zeros((1, trainable.n_params)), "embedding", "label")
+    zeros = spark.sparkContext.broadcast(np.zeros((1, trainable.n_params)))
+    sums = training.partial_sums(rows, trainable, zeros, "embedding", "label")
     # The row count comes out of the same pass, at its own position.
     n = trainable.n_params
     cells = sums.groupBy("trial").agg(

@@ -10,9 +10,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _STATE = (
-    "trial_id long, training_iteration int, param_index int, value double, velocity double, live boolean"
+    "trial_id long, params array<double>, velocity array<double>, live boolean, "
+    "reported boolean, mean_accuracy double, error string"
 )
-_REPORTS = "trial_id long, training_iteration int, mean_accuracy double, error string"
 
 
 @dataclass(frozen=True)
@@ -35,42 +35,51 @@ def write(
     live: np.ndarray,
     reports: list[tuple[int, int, float, str | None]],
 ) -> None:
-    """Write the state after ``iteration``.
+    """Write the state after ``iteration``, one row for each trial.
 
     Each iteration has a folder that is overwritten as a whole, so a repeated
-    write after a failure leaves no duplicates. Reports are written first: an
-    iteration counts once its state is there.
+    write after a failure leaves no duplicates.
     """
-    fresh = [r for r in reports if r[1] == iteration]
-    spark.createDataFrame(fresh, _REPORTS).drop("training_iteration").coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/reports/training_iteration={iteration}"
-    )
-    trials, width = params.shape
+    fresh = {r[0]: r for r in reports if r[1] == iteration}
+    found = [fresh.get(int(t)) for t in trial_ids]
     state = pd.DataFrame(
         {
-            "trial_id": np.repeat(trial_ids, width),
-            "training_iteration": np.full(trials * width, iteration, dtype=np.int32),
-            "param_index": np.tile(np.arange(width, dtype=np.int32), trials),
-            "value": params.ravel(),
-            "velocity": velocity.ravel(),
-            "live": np.repeat(live, width),
+            "trial_id": trial_ids,
+            "params": list(params),
+            "velocity": list(velocity),
+            "live": live,
+            "reported": [r is not None for r in found],
+            "mean_accuracy": [r[2] if r else None for r in found],
+            "error": [r[3] if r else None for r in found],
         }
     )
-    table = spark.createDataFrame(state, _STATE).drop("training_iteration").coalesce(1)
-    table.sortWithinPartitions("trial_id", "param_index").write.mode("overwrite").parquet(
-        f"{path}/state/training_iteration={iteration}"
-    )
+    table = spark.createDataFrame(state, _STATE).coalesce(1)
+    table.write.mode("overwrite").parquet(f"{path}/training_iteration={iteration}")
+
+
+def _states(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{_STATE}, training_iteration int").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``trial_id, training_iteration, param_index, value, velocity, live`` of all iterations."""
-    return spark.read.schema(_STATE).parquet(f"{path}/state")
+    cells = _states(spark, path).select(
+        "trial_id", "training_iteration", "live", F.posexplode(F.arrays_zip("params", "velocity"))
+    )
+    return cells.select(
+        "trial_id",
+        "training_iteration",
+        F.col("pos").alias("param_index"),
+        F.col("col.params").alias("value"),
+        "col.velocity",
+        "live",
+    )
 
 
 def latest(spark: SparkSession, path: str) -> SearchState | None:
-    """The last complete state, or None where there is none yet."""
+    """The last state, or None where there is none yet."""
     try:
-        states = read(spark, path)
+        states = _states(spark, path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -78,16 +87,13 @@ def latest(spark: SparkSession, path: str) -> SearchState | None:
     iteration = states.agg(F.max("training_iteration")).first()[0]
     if iteration is None:
         return None
-    rows = states.filter(F.col("training_iteration") == iteration).toPandas()
-    rows = rows.sort_values(["trial_id", "param_index"])
-    ids = rows["trial_id"].unique()
-    reports = spark.read.schema(_REPORTS).parquet(f"{path}/reports")
-    reports = reports.filter(F.col("training_iteration") <= iteration).orderBy("training_iteration", "trial_id")
+    rows = states.filter(F.col("training_iteration") == iteration).orderBy("trial_id").toPandas()
+    reports = states.filter("reported").orderBy("training_iteration", "trial_id")
     return SearchState(
         int(iteration),
-        ids,
-        rows["value"].to_numpy().reshape(len(ids), -1),
-        rows["velocity"].to_numpy().reshape(len(ids), -1),
-        rows["live"].to_numpy(bool).reshape(len(ids), -1)[:, 0],
+        rows["trial_id"].to_numpy(),
+        np.stack(rows["params"]),
+        np.stack(rows["velocity"]),
+        rows["live"].to_numpy(bool),
         [tuple(r) for r in reports.select("trial_id", "training_iteration", "mean_accuracy", "error").collect()],
     )

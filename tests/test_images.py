@@ -38,22 +38,36 @@ def test_decoding_and_suffixes(spark, tmp_path):
 
     assert np.array_equal(pixels("a.PNG"), rgb)
     assert np.array_equal(pixels("d.bmp"), rgb)
-    assert np.array_equal(pixels("b.png"), np.repeat(gray[:, :, None], 3, axis=2))
+    assert np.array_equal(pixels("b.png"), gray[:, :, None])
+    three = images.preprocess(np.repeat(gray[:, :, None], 3, axis=2))
+    assert np.array_equal(images.preprocess(pixels("b.png")), three)
     assert np.array_equal(pixels("c.png"), rgba[:, :, :3])
 
 
+def resize(pixels, height, width):
+    return images.resize_window(pixels, (height, width), 0, 0, height, width)
+
+
 def test_resize_keeps_a_flat_image_flat():
     flat = np.full((31, 77, 3), 200, dtype=np.uint8)
-    assert (images.resize(flat, 256, 300) == 200).all()
-    assert (images.resize(flat, 8, 9) == 200).all()
+    assert (resize(flat, 256, 300) == 200).all()
+    assert (resize(flat, 8, 9) == 200).all()
+
+
+@pytest.mark.parametrize("size", [(50, 90), (31, 120), (40, 77), (31, 77)])
+def test_a_window_equals_the_part_of_the_whole(size):
+    pixels = np.random.default_rng(5).integers(0, 256, (31, 77, 3), dtype=np.uint8)
+    whole = resize(pixels, *size)
+    part = images.resize_window(pixels, size, 3, 11, 20, 30)
+    assert np.array_equal(part, whole[:, 3:23, 11:41])
 
 
 def test_resize_by_hand():
     row = np.array([[[0], [100], [200], [60]]], dtype=np.uint8)
     # Halving: triangles two pixels wide around 1.0 and 3.0, weights 3/7 3/7 1/7 and the mirror image.
-    assert images.resize(row, 1, 2).ravel().tolist() == [round((0 * 3 + 100 * 3 + 200) / 7), round((100 + 200 * 3 + 60 * 3) / 7)]
+    assert resize(row, 1, 2).ravel().tolist() == [round((0 * 3 + 100 * 3 + 200) / 7), round((100 + 200 * 3 + 60 * 3) / 7)]
     # Doubling: each new pixel lies a quarter from an old one.
-    assert images.resize(row[:, :2], 1, 4).ravel().tolist() == [0, 25, 75, 100]
+    assert resize(row[:, :2], 1, 4).ravel().tolist() == [0, 25, 75, 100]
 
 
 @pytest.mark.parametrize("height,width", [(300, 500), (500, 300), (256, 256), (10, 11), (700, 256)])

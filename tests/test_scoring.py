@@ -71,6 +71,13 @@ def test_broken_rows_as_failure(spark):
         run(frame(spark, BROKEN), batch_size=0)
 
 
+def test_logits(spark):
+    got = scoring.score_logits(frame(spark, BROKEN).coalesce(1), lambda: MODEL, scoring.vector_features("x", 2), keep=["id"])
+    rows = {r["id"]: r["logits"] for r in got.collect()}
+    assert rows[1] == (WEIGHTS @ [1, 2]).tolist() and rows[5] == (WEIGHTS @ [3, 4]).tolist()
+    assert rows[2] is rows[3] is rows[4] is None
+
+
 def test_empty_input(spark):
     assert run(frame(spark, [])).count() == 0
 
