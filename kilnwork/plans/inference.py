@@ -239,13 +239,14 @@ class ChannelMeans:
         return batch.mean(axis=(2, 3))
 
 
+_CONV = training.ConvClassifier(side=8)
+
+
 def conv_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as 8x8 inputs of the small convolutional network."""
-    net = training.ConvClassifier(side=8)
-    model = net.model(net.initial([0])[0])
     scored = scoring.score(
         samples(spark, sf_dir).select("vec_id", "embedding"),
-        models.broadcast_loader(spark, model),
+        models.broadcast_loader(spark, _CONV.model(_CONV.initial([0])[0])),
         scoring.vector_features("embedding", 64),
         keep=["vec_id"],
         batch_size=_BATCH,
@@ -331,7 +332,26 @@ def _epoch_sql(name: str, key: str, rows: int) -> str:
     """
 
 
+def _conv_sql() -> str:
+    """The network with its parameters as a list: 3x9 kernels, 3 biases, 10x12 weights, 10 biases."""
+    flat = ", ".join(repr(float(v)) for v in _CONV.initial([0])[0])
+    return f"""
+    WITH p AS (SELECT '[{flat}]'::DOUBLE[] AS p),
+    x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS pos FROM embeddings),
+    k AS (SELECT f, a, b, p[f * 9 + a * 3 + b + 1] AS w FROM p, range(3) t(f), range(3) u(a), range(3) v(b)),
+    m AS (SELECT vec_id, f, pos // 8 - a AS i, pos % 8 - b AS j, sum(v * w) AS m FROM x, k
+          WHERE pos // 8 - a BETWEEN 0 AND 5 AND pos % 8 - b BETWEEN 0 AND 5 GROUP BY 1, 2, 3, 4),
+    h AS (SELECT vec_id, f * 4 + (i // 3) * 2 + j // 3 AS hidden, greatest(max(m) + any_value(p[28 + f]), 0.0) AS h
+          FROM m, p GROUP BY vec_id, f, i // 3, j // 3),
+    z AS (SELECT vec_id, class_id::INT AS class_id, sum(h * p[30 + class_id * 12 + hidden + 1])
+                 + any_value(p[150 + class_id + 1]) AS logit FROM h, p, range(10) c(class_id) GROUP BY 1, 2),
+    {_BY_VEC}
+    SELECT vec_id, class_id AS predicted_class, round(score, 4) AS confidence_score FROM r WHERE position = 1
+    """
+
+
 ORACLES = {
+    "conv_inference": _conv_sql(),
     "batch_inference": PREDICTIONS_SQL,
     "sink_parquet_roundtrip": PREDICTIONS_SQL,
     "sink_json_roundtrip": PREDICTIONS_SQL,

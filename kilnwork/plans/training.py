@@ -49,16 +49,17 @@ def _search(spark: SparkSession, sf_dir: str, **options) -> search.SearchResult:
     )
 
 
-def tune_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = _search(spark, sf_dir)
+def _accuracies(result: search.SearchResult) -> DataFrame:
     result.check_errors()
-    return result.metrics
+    return result.metrics.select("trial_id", "training_iteration", F.round("mean_accuracy", 6).alias("mean_accuracy"))
+
+
+def tune_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _accuracies(_search(spark, sf_dir))
 
 
 def tune_minibatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = _search(spark, sf_dir, mode="minibatch")
-    result.check_errors()
-    return result.metrics
+    return _accuracies(_search(spark, sf_dir, mode="minibatch"))
 
 
 def checkpoint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +182,103 @@ def _best_sql(rows: str) -> str:
     """
 
 
+def _start_sql(trials: int) -> str:
+    return f"""WITH
+    s AS MATERIALIZED (SELECT vec_id, label, left(md5('split-' || vec_id), 8) < '33333333' AS is_test,
+                              list_append(embedding::DOUBLE[], 1.0) AS x FROM embeddings),
+    n AS (SELECT max(label) + 1 AS classes, max(len(x)) AS width FROM s),
+    t AS MATERIALIZED (
+        SELECT trial_id, exp(ln(1e-4::DOUBLE) + {_draw('lr')} * (ln(1e-2::DOUBLE) - ln(1e-4::DOUBLE))) AS lr,
+               0.1::DOUBLE + {_draw('momentum')} * 0.8::DOUBLE AS momentum
+        FROM (SELECT unnest(range({trials})) AS trial_id)),
+    w0 AS (SELECT trial_id, class_id, pos, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v FROM t,
+           (SELECT unnest(range(classes)) AS class_id FROM n), (SELECT unnest(range(width)) AS pos FROM n)),
+    live0 AS (SELECT trial_id FROM t)"""
+
+
+def _descend_sql(step: int, rows: str, iteration: int) -> str:
+    """``w<step + 1>`` from ``w<step>`` by the mean gradient over ``rows``, for the trials going on."""
+    return f"""
+    d{step} AS MATERIALIZED (SELECT vec_id, label, x FROM {rows}),
+    z{step} AS (
+        SELECT trial_id, vec_id, label, class_id, list_dot_product(x, ws) AS z
+        FROM d{step}, (SELECT trial_id, class_id, list(w ORDER BY pos) AS ws
+                       FROM w{step} JOIN live{iteration - 1} USING (trial_id) GROUP BY 1, 2)),
+    g{step} AS (
+        SELECT trial_id, class_id, pos, sum(p * u) / (SELECT count(*) FROM d{step}) AS g
+        FROM (SELECT trial_id, vec_id, class_id,
+                     power / sum(power) OVER (PARTITION BY trial_id, vec_id) - (class_id = label)::INT AS p
+              FROM (SELECT *, exp(z - max(z) OVER (PARTITION BY trial_id, vec_id)) AS power FROM z{step}))
+        JOIN (SELECT vec_id, unnest(x) AS u, unnest(range(len(x))) AS pos FROM d{step}) USING (vec_id)
+        GROUP BY 1, 2, 3),
+    w{step + 1} AS MATERIALIZED (
+        SELECT trial_id, class_id, pos, CASE WHEN g IS NULL THEN w ELSE w - lr * (momentum * v + g) END AS w,
+               CASE WHEN g IS NULL THEN v ELSE momentum * v + g END AS v
+        FROM w{step} JOIN live{iteration - 1} USING (trial_id) LEFT JOIN g{step} USING (trial_id, class_id, pos)
+        JOIN t USING (trial_id))"""
+
+
+def _report_sql(iteration: int, step: int, rows: str, rungs: tuple[int, ...]) -> str:
+    """``acc<iteration>`` of ``w<step>`` on ``rows``, and the trials that go on."""
+    cut = f" AND mean_accuracy >= (SELECT quantile_cont(mean_accuracy, 0.75) FROM acc{iteration})"
+    return f"""
+    acc{iteration} AS MATERIALIZED (
+        SELECT trial_id, {iteration} AS training_iteration, avg((best = label)::INT) AS mean_accuracy
+        FROM (SELECT trial_id, vec_id, any_value(label) AS label,
+                     arg_min(class_id, (-list_dot_product(x, ws), class_id)) AS best
+              FROM {rows}, (SELECT trial_id, class_id, list(w ORDER BY pos) AS ws FROM w{step} GROUP BY 1, 2)
+              GROUP BY 1, 2) GROUP BY 1),
+    live{iteration} AS (SELECT trial_id FROM acc{iteration}
+        WHERE mean_accuracy < {search.TARGET_ACCURACY}{cut if iteration in rungs else ""})"""
+
+
+def _descent_sql(trials: int, iterations: int, rungs: tuple[int, ...]) -> str:
+    """A search of full passes: parameters ``w<i>`` and accuracies ``acc<i>`` of each iteration."""
+    parts = [_start_sql(trials)]
+    for i in range(1, iterations + 1):
+        parts.append(_descend_sql(i - 1, "s WHERE NOT is_test", i))
+        parts.append(_report_sql(i, i, "(FROM s WHERE is_test)", rungs))
+    return ",".join(parts)
+
+
+def _minibatch_sql(trials: int, iterations: int, rungs: tuple[int, ...]) -> str:
+    """The same with a capped sample in mini-batches for each iteration."""
+    parts = [_start_sql(trials)]
+    size = sampling.BATCH_SIZE
+    train, test = sampling.rows_within_cap(sampling.EPOCH_CAP), sampling.rows_within_cap(sampling.TEST_CAP)
+    batches = train // size
+    for i in range(1, iterations + 1):
+        for name, rows, n in (("train", "NOT is_test", train), ("test", "is_test", test)):
+            order = f"row_number() OVER (ORDER BY md5('{name}-{i}-' || vec_id), vec_id)"
+            parts.append(f"""
+    {name}{i} AS MATERIALIZED (SELECT *, ({order} - 1) // {size} AS batch FROM s WHERE {rows} QUALIFY {order} <= {n})""")
+        for b in range(batches):
+            parts.append(_descend_sql((i - 1) * batches + b, f"train{i} WHERE batch = {b}", i))
+        parts.append(_report_sql(i, i * batches, f"test{i}", rungs))
+    return ",".join(parts)
+
+
+def _all(iterations: int, select: str) -> str:
+    return " UNION ALL ".join(select.format(i=i) for i in range(1, iterations + 1))
+
+
 ORACLES = {
+    "tune_run": _descent_sql(search.NUM_TRIALS, search.SMOKE_ITERATIONS, (1, 4))
+    + _all(
+        search.SMOKE_ITERATIONS,
+        " SELECT trial_id, training_iteration, round(mean_accuracy, 6) AS mean_accuracy FROM acc{i}",
+    ),
+    "tune_minibatch": _minibatch_sql(search.NUM_TRIALS, search.SMOKE_ITERATIONS, (1, 4))
+    + _all(
+        search.SMOKE_ITERATIONS,
+        " SELECT trial_id, training_iteration, round(mean_accuracy, 6) AS mean_accuracy FROM acc{i}",
+    ),
+    "checkpoint_roundtrip": _descent_sql(4, search.SMOKE_ITERATIONS, ())
+    + _all(
+        search.SMOKE_ITERATIONS,
+        " SELECT trial_id, {i} AS training_iteration, (pos * classes + class_id)::INT AS param_index,"
+        f" round(w, 6) AS value, {{i}} < {search.SMOKE_ITERATIONS} AS live FROM w{{i}}, n",
+    ),
     "gradient_step": """
         WITH n AS (SELECT vec_id, label, list_append(embedding::DOUBLE[], 1.0) AS v FROM embeddings
                    WHERE left(md5('split-' || vec_id), 8) >= '33333333'),
