@@ -20,6 +20,9 @@ def scan_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     root = scratch_path(spark, "tree")
     docs = table(spark, sf_dir, "documents").select("lang", "source", F.col("text").alias("value"))
+    # Rebalanced by folder: otherwise every task leaves a small file in every folder. Spark splits
+    # a folder that is much larger than the others over several tasks.
+    docs = docs.hint("rebalance", "lang", "source")
     docs.write.option("maxRecordsPerFile", _ROWS_PER_FILE).partitionBy("lang", "source").text(root)
     found = files.scan_binary(spark, root, glob="*.txt")
     return (

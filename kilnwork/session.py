@@ -19,6 +19,10 @@ _DEFAULTS = {
     # Rows differ a lot in width (64 floats or a whole image), so cap Arrow
     # batches by bytes as well as by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # Keeps the state of streams off the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -12,8 +12,6 @@ from kilnwork.functions import status as states
 from kilnwork.operators import rollups
 
 WATERMARK = "10 minutes"
-# Keeps window state off the JVM heap.
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:

@@ -183,8 +183,16 @@ def test_map_batches_and_fanout(spark):
     assert df.columns == ["id"]
 
 
-def test_gpu_profile():
+def test_gpu_profile(spark):
     assert batches.gpu_profile(0) is None
+    assert batches.gpu_profile(0.5).taskResources["gpu"].amount == 0.5
+    assert batches.gpu_profile(2).executorResources["gpu"].amount == 2
+
+
+def test_spread_only_adds_partitions(spark):
+    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 50)
+    assert batches.spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert batches.spread(many) is many
 
 
 def test_accuracy_and_loss(spark):

@@ -23,9 +23,7 @@ def test_windows_of_a_stream_equal_the_batch_once_final(spark, tmp_path):
     arriving = streams.file_stream(spark, source, spark.read.parquet(source).schema)
     windows = streams.windowed_metrics(arriving.withColumn("ts", streams.as_instant(F.col("ts"))), watermark="1 minute")
     flat = windows.select(F.col("window.end").alias("ends"), "metric", "samples", "sum_value")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.ROCKSDB)
     streams.run_to_table(flat, out, str(tmp_path / "cp")).awaitTermination()
-    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     want = rollups.tumbling(batch).select(F.col("window.end").alias("ends"), "metric", "samples", "sum_value")
     final = want.filter(F.col("ends") <= F.lit(max(r[0] for r in rows) - dt.timedelta(minutes=1)))
     got = spark.read.parquet(out)
