@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -236,7 +237,7 @@ class ChannelMeans:
     """Brightness of each channel as its logit."""
 
     def logits(self, batch):
-        return batch.mean(axis=(2, 3))
+        return batch.mean(axis=(2, 3), dtype=np.float64)
 
 
 _CONV = training.ConvClassifier(side=8)
@@ -350,7 +351,34 @@ def _conv_sql() -> str:
     """
 
 
+# Pages as rasters: both directions are enlarged, so every pixel has two sources (the same one at an edge).
+_IMAGE = f"""
+WITH g AS (SELECT page_id, url, hex(encode(html)) AS bytes, ceil(octet_length(encode(html)) / 64)::INT AS height FROM pages),
+d AS (SELECT *, CASE WHEN height <= 64 THEN 256 ELSE 256 * height // 64 END AS rows_out,
+             CASE WHEN height <= 64 THEN 256 * 64 // height ELSE 256 END AS columns_out FROM g),
+q AS (SELECT height AS size, rows_out AS target FROM d UNION SELECT 64, columns_out FROM d),
+c AS (SELECT *, (round_even((target - 224) / 2, 0) + o + 0.5) * size / target AS centre, o FROM q, range(224) t(o)),
+a AS (SELECT *, greatest(floor(centre - 0.5), 0)::INT AS s0, least(floor(centre + 0.5), size - 1)::INT AS s1 FROM c),
+w AS (SELECT size, target, o, s0, s1, CASE WHEN s0 = s1 THEN 1.0 ELSE 1 - abs(s0 + 0.5 - centre) END AS w0,
+             CASE WHEN s0 = s1 THEN 0.0 ELSE 1 - abs(s1 + 0.5 - centre) END AS w1 FROM a),
+u AS (SELECT size, target, min(s0) AS low, max(s1) AS high FROM w GROUP BY 1, 2),
+b AS (SELECT page_id, r, [coalesce(try_cast('0x' || bytes[(r * 64 + x) * 2 + 1 : (r * 64 + x) * 2 + 2] AS INT), 0)
+                          FOR x IN range(64)] AS line
+      FROM (SELECT page_id, bytes, unnest(range(low, high + 1)) AS r FROM d JOIN u ON size = height AND target = rows_out)),
+h AS (SELECT page_id, o, list(floor(line[s0 + 1] * w0 + line[s1 + 1] * w1 + 0.5) ORDER BY r) AS line
+      FROM b JOIN d USING (page_id) JOIN w ON size = 64 AND target = columns_out GROUP BY 1, 2),
+m AS (SELECT page_id, avg(floor(line[s0 - low + 1] * w0 + line[s1 - low + 1] * w1 + 0.5)) / 255 AS mean
+      FROM h JOIN d USING (page_id) JOIN w ON size = height AND target = rows_out JOIN u USING (size, target) GROUP BY 1),
+z AS (SELECT page_id, class_id::INT AS class_id,
+             (mean - ({list(images.CHANNEL_MEAN)})[class_id + 1]) / ({list(images.CHANNEL_STD)})[class_id + 1] AS logit
+      FROM m, range(3) t(class_id)),
+{_RANKED.format(key="page_id")}
+SELECT page_id, class_id AS predicted_class, round(score, 4) AS confidence_score, url AS file_path, false AS failed
+FROM r JOIN g USING (page_id) WHERE position = 1
+"""
+
 ORACLES = {
+    "image_inference": _IMAGE,
     "conv_inference": _conv_sql(),
     "batch_inference": PREDICTIONS_SQL,
     "sink_parquet_roundtrip": PREDICTIONS_SQL,
