@@ -32,10 +32,14 @@ Loader = Callable[[], Model]
 
 @dataclass(frozen=True)
 class LinearModel:
-    """``x W^T + b`` with ``weights`` of shape [classes, features]."""
+    """``x W^T + b`` with ``weights`` of shape [classes, features].
+
+    ``class_ids`` names the classes in ascending order where they are not 0, 1, 2 and so on.
+    """
 
     weights: np.ndarray
     bias: np.ndarray
+    class_ids: np.ndarray | None = None
 
     def logits(self, batch: np.ndarray) -> np.ndarray:
         return batch.reshape(len(batch), -1).astype(np.float64, copy=False) @ self.weights.T + self.bias
@@ -125,27 +129,29 @@ def onnx_loader(spark: SparkSession, path: str) -> Loader:
     return lambda: OnnxModel(SparkFiles.get(name))
 
 
-def weights_fit_broadcast(weights: DataFrame) -> bool:
-    """Whether a ``class_id, pos, weight`` table is small enough to broadcast."""
-    limit = MAX_BROADCAST_BYTES // 8
-    return weights.limit(limit + 1).count() <= limit
-
-
-def linear_model(weights: DataFrame, classes: int | None = None) -> LinearModel:
-    """Gather a ``class_id, pos, weight`` table, checked by :func:`weights_fit_broadcast`, into a model.
+def gather_weights(weights: DataFrame) -> LinearModel | None:
+    """A ``class_id, pos, weight`` table as a model, or None where it is too large to broadcast.
 
     Position -1 holds the bias of a class.
     """
     limit = MAX_BROADCAST_BYTES // 8
     rows = weights.select("class_id", "pos", "weight").limit(limit + 1).toPandas()
     if len(rows) > limit:
-        raise ValueError("weights are too large to gather; use scoring.score_by_join")
+        return None
     if rows.empty:
         raise ValueError("the weight table is empty")
-    shape = (classes or int(rows["class_id"].max()) + 1, int(rows["pos"].max()) + 1)
-    matrix, bias = np.zeros(shape), np.zeros(shape[0])
-    is_bias = (rows["pos"] < 0).to_numpy()
-    entries = rows[~is_bias]
-    matrix[entries["class_id"].to_numpy(), entries["pos"].to_numpy()] = entries["weight"].to_numpy()
-    bias[rows["class_id"].to_numpy()[is_bias]] = rows["weight"].to_numpy()[is_bias]
-    return LinearModel(matrix, bias)
+    ids, index = np.unique(rows["class_id"].to_numpy(), return_inverse=True)
+    pos, values = rows["pos"].to_numpy(), rows["weight"].to_numpy()
+    matrix, bias = np.zeros((len(ids), int(pos.max()) + 1)), np.zeros(len(ids))
+    entry = pos >= 0
+    matrix[index[entry], pos[entry]] = values[entry]
+    bias[index[~entry]] = values[~entry]
+    return LinearModel(matrix, bias, None if np.array_equal(ids, np.arange(len(ids))) else ids)
+
+
+def linear_model(weights: DataFrame) -> LinearModel:
+    """:func:`gather_weights` for callers that have no other way."""
+    model = gather_weights(weights)
+    if model is None:
+        raise ValueError("weights are too large to gather; use scoring.score_linear")
+    return model

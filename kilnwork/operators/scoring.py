@@ -63,6 +63,8 @@ def _predict(
     # A stable sort of the negated scores puts the lowest class first on a tie.
     top = np.argsort(-probs, axis=1, kind="stable")[:, :k]
     scores = np.take_along_axis(probs, top, axis=1)
+    if getattr(model, "class_ids", None) is not None:
+        top = model.class_ids[top]
     lost = np.array([m is not None for m in errors]) if on_error == "null" else None
     offsets = pa.array(np.arange(0, n * k + 1, k, dtype=np.int32))
     gaps = None if lost is None else pa.array(lost)
@@ -165,6 +167,10 @@ def score_logits(
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             inputs, errors = featurise(batch)
             logits = np.ascontiguousarray(model.logits(inputs), dtype=np.float64)
+            ids = getattr(model, "class_ids", None)
+            if ids is not None:  # classes the model does not know are impossible
+                known, logits = logits, np.full((len(logits), ids.max() + 1), -np.inf)
+                logits[:, ids] = known
             offsets = pa.array(np.arange(0, logits.size + 1, logits.shape[1], dtype=np.int32))
             lost = pa.array([m is not None for m in errors])
             lists = pa.ListArray.from_arrays(offsets, pa.array(logits.ravel()), mask=lost)
@@ -218,11 +224,77 @@ def rank_logits(logits: DataFrame, key: str, k: int = TOP_K) -> DataFrame:
     )
 
 
+def score_linear(
+    df: DataFrame,
+    weights: DataFrame,
+    *,
+    key: str,
+    features: str,
+    path: str | None = "path",
+    keep: Sequence[str] = (),
+    batch_size: int = 4096,
+    on_error: str = "zero",
+    salts: int = 8,
+) -> DataFrame:
+    """Score with a ``class_id, pos, weight`` table: by broadcast if its size allows, else by joins.
+
+    Both ways return the columns of :func:`score` after ``key`` and ``keep``.
+    """
+    model = models.gather_weights(weights)
+    if model is not None:
+        loader = models.broadcast_loader(df.sparkSession, model)
+        featurise = vector_features(features, model.weights.shape[1])
+        return score(
+            df, loader, featurise, path=path, keep=[key, *keep], batch_size=batch_size, on_error=on_error
+        )
+    return _score_joined(df, weights, key, features, path, list(keep), on_error, salts)
+
+
+def _score_joined(
+    df: DataFrame,
+    weights: DataFrame,
+    key: str,
+    features: str,
+    path: str | None,
+    keep: list[str],
+    on_error: str,
+    salts: int,
+) -> DataFrame:
+    if on_error not in ON_ERROR:
+        raise ValueError(f"on_error must be one of {ON_ERROR}")
+    width = weights.agg(F.max("pos")).first()[0] + 1
+    usable = (F.size(features) == width) & ~F.exists(features, F.isnull)
+    message = F.lit(f"unusable features in {features}")
+    failure = F.raise_error(message).cast("string") if on_error == "fail" else message
+    rows = df.withColumn("error", F.when(F.coalesce(usable, F.lit(False)), None).otherwise(failure))
+    zeros = F.array_repeat(F.lit(0.0), width)
+    inputs = rows.withColumn(features, F.when(F.col("error").isNull(), F.col(features).cast("array<double>")).otherwise(zeros))
+    ranked = rank_logits(score_by_join(inputs, weights, key=key, features=features, salts=salts), key)
+    # At most TOP_K rows for each key.
+    best = ranked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "class_id", "score"))).alias("top"))
+    has_path = path is not None and path in df.columns
+    found = rows.select(
+        key, *keep, "error", (F.col(path) if has_path else F.lit(None).cast("string")).alias("file_path")
+    ).join(best, key)
+    top = F.when(F.col("error").isNull(), F.col("top")) if on_error == "null" else F.col("top")
+    return found.withColumn("top", top).select(
+        key,
+        *keep,
+        F.get("top", F.lit(0))["class_id"].cast("int").alias("predicted_class"),
+        F.get("top", F.lit(0))["score"].alias("confidence_score"),
+        F.col("top.class_id").cast("array<int>").alias("top_5_classes"),
+        F.col("top.score").alias("top_5_scores"),
+        "file_path",
+        "error",
+    )
+
+
 def class_means(df: DataFrame, features: str, label: str) -> DataFrame:
     """Mean vector of each label as ``class_id, pos, weight``, the simplest linear model.
 
     Partial sums are formed before the shuffle, which then moves one row per
     label and position from each task.
     """
-    cells = df.select(F.col(label).alias("class_id"), F.posexplode(features).alias("pos", "x"))
+    labelled = df.filter(F.col(label).isNotNull())
+    cells = labelled.select(F.col(label).alias("class_id"), F.posexplode(features).alias("pos", "x"))
     return cells.groupBy("class_id", "pos").agg(F.avg(F.col("x").cast("double")).alias("weight"))

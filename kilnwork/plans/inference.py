@@ -16,22 +16,28 @@ from kilnwork.sinks import predictions
 _BATCH = 4096
 
 
+def mean_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One mean vector per label, as the weights of a linear model."""
+    return scoring.class_means(samples(spark, sf_dir), "embedding", "label")
+
+
 def mean_model(spark: SparkSession, sf_dir: str) -> models.LinearModel:
-    """One mean vector per label."""
-    return models.linear_model(scoring.class_means(samples(spark, sf_dir), "embedding", "label"))
+    return models.linear_model(mean_weights(spark, sf_dir))
+
+
+def with_path(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("path", F.concat(F.lit("vectors/"), F.col("vec_id").cast("string")))
 
 
 def _scored(spark: SparkSession, sf_dir: str, *keep: str, rows: DataFrame | None = None) -> DataFrame:
     """Scores by the mean vectors."""
-    model = mean_model(spark, sf_dir)
     rows = samples(spark, sf_dir) if rows is None else rows
-    named = rows.withColumn("path", F.concat(F.lit("vectors/"), F.col("vec_id").cast("string")))
-    return scoring.score(
-        named.select("vec_id", "path", "embedding", *keep),
-        models.broadcast_loader(spark, model),
-        scoring.vector_features("embedding", model.weights.shape[1]),
-        keep=["vec_id", *keep],
-        batch_size=_BATCH,
+    return scoring.score_linear(
+        with_path(rows).select("vec_id", "path", "embedding", *keep),
+        mean_weights(spark, sf_dir),
+        key="vec_id",
+        features="embedding",
+        keep=keep,
     )
 
 
@@ -54,7 +60,7 @@ def batch_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = samples(spark, sf_dir)
-    weights = scoring.class_means(rows, "embedding", "label")
+    weights = mean_weights(spark, sf_dir)
     logits = scoring.score_by_join(rows, weights, key="vec_id", features="embedding", salts=4)
     ranked = scoring.rank_logits(logits, "vec_id")
     return ranked.withColumn("score", F.round("score", 4)).withColumnRenamed("rank", "position")

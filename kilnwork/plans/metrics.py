@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kilnwork.operators import models, rollups, scoring
-from kilnwork.plans.inference import PREDICTIONS_SQL, flat_predictions, mean_model
+from kilnwork.plans.inference import PREDICTIONS_SQL, flat_predictions, mean_model, with_path
 from kilnwork.plans.inputs import STATUS_OF_EVENT, STATUS_SQL, job_events as job_event_rows, samples, table
 from kilnwork.session import scratch_path
 from kilnwork.sources import tables
@@ -142,11 +142,10 @@ def stream_job_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "scores")
-    model = mean_model(spark, sf_dir)
     arriving = streams.file_stream(spark, _arrivals(sf_dir, "embeddings"), samples(spark, sf_dir).schema)
-    named = arriving.select("vec_id", F.concat(F.lit("vectors/"), F.col("vec_id").cast("string")).alias("path"), "embedding")
+    model = mean_model(spark, sf_dir)
     scored = scoring.score(
-        named,
+        with_path(arriving).select("vec_id", "path", "embedding"),
         models.broadcast_loader(spark, model),
         scoring.vector_features("embedding", model.weights.shape[1]),
         keep=["vec_id"],

@@ -129,13 +129,63 @@ def test_class_means(spark):
     assert got == {(1, 0): 2.0, (1, 1): 3.0, (0, 0): 5.0, (0, 1): 6.0}
 
 
+CELLS = [(k, p, float(WEIGHTS[k, p])) for k in range(6) for p in range(2)]
+
+
+def test_large_weights_are_joined_with_the_same_results(spark, monkeypatch):
+    cells = CELLS + [(k, -1, k / 10) for k in range(6)]
+    weights = spark.createDataFrame(cells, "class_id int, pos int, weight double")
+    df = frame(spark, BROKEN + [(6, [0.5, -3.0], "f")]).withColumn("extra", F.col("id") * 2)
+    options = dict(key="id", features="x", keep=["extra"])
+
+    def run_all():
+        return [
+            {r["id"]: r for r in scoring.score_linear(df, weights, on_error=mode, **options).collect()}
+            for mode in ("zero", "null")
+        ]
+
+    broadcast = run_all()
+    monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8 * 5)
+    joined = run_all()
+    for one, other in zip(broadcast, joined):
+        assert one.keys() == other.keys() == {1, 2, 3, 4, 5, 6}
+        for i in one:
+            a, b = one[i].asDict(), other[i].asDict()
+            assert list(a) == list(b)
+            scores = a.pop("top_5_scores"), b.pop("top_5_scores")
+            assert (scores[0] is scores[1] is None) or np.allclose(*scores)
+            sure = a.pop("confidence_score"), b.pop("confidence_score")
+            assert sure[0] is sure[1] is None or np.isclose(*sure)
+            assert a == b
+    with pytest.raises(Exception, match="unusable features"):
+        scoring.score_linear(df, weights, on_error="fail", **options).collect()
+
+
+def test_classes_with_gaps(spark, monkeypatch):
+    weights = spark.createDataFrame([(3, 0, 1.0), (3, 1, 0.0), (7, 0, 0.0), (7, 1, 1.0)], "class_id int, pos int, weight double")
+    df = frame(spark, [(1, [2.0, 1.0], "p"), (2, [1.0, 2.0], "q"), (3, [1.0, 1.0], "r")])
+
+    def top():
+        return {r["id"]: r["top_5_classes"] for r in scoring.score_linear(df, weights, key="id", features="x").collect()}
+
+    want = {1: [3, 7], 2: [7, 3], 3: [3, 7]}
+    assert top() == want
+    model = models.linear_model(weights)
+    logits = scoring.score_logits(df, lambda: model, scoring.vector_features("x", 2), keep=["id"]).filter("id = 1").first()["logits"]
+    assert logits[3] == 2.0 and logits[7] == 1.0 and logits[0] == -np.inf and len(logits) == 8
+    monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8)
+    assert top() == want
+
+
 def test_weights_are_checked_for_size(spark, monkeypatch):
-    weights = spark.createDataFrame([(0, p, 1.0) for p in range(10)], "class_id int, pos int, weight double")
-    assert models.weights_fit_broadcast(weights)
-    monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8 * 9)
-    assert not models.weights_fit_broadcast(weights)
+    weights = spark.createDataFrame(CELLS, "class_id int, pos int, weight double")
+    assert np.array_equal(models.gather_weights(weights).weights, WEIGHTS)
+    monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8 * 11)
+    assert models.gather_weights(weights) is None
     with pytest.raises(ValueError, match="too large"):
         models.linear_model(weights)
+    with pytest.raises(ValueError, match="empty"):
+        models.gather_weights(weights.limit(0))
 
 
 def test_registry_checks_names_on_the_driver():
