@@ -113,6 +113,9 @@ class ModelRegistry:
 
 def broadcast_loader(spark: SparkSession, model: Model) -> Loader:
     """Ship a model to the executors once each."""
+    size = sum(part.nbytes for part in vars(model).values() if isinstance(part, np.ndarray))
+    if size > MAX_BROADCAST_BYTES:
+        raise ValueError(f"a model of {size} bytes is too large to broadcast")
     shared = spark.sparkContext.broadcast(model)
     return lambda: shared.value
 

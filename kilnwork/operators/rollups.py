@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kilnwork.functions import status as states
-from kilnwork.functions.tensor import let
 
 SCRAPE_INTERVAL = "15 seconds"
 
@@ -66,9 +65,11 @@ def _no_labels() -> Column:
 
 
 def _merge(winner: Column, other: Column) -> Column:
-    return let(
-        winner, lambda kept: F.map_concat(kept, F.map_filter(other, lambda name, _: ~F.map_contains_key(kept, name)))
-    )
+    """Both maps in one, where ``winner`` keeps its value of a shared name."""
+    shared = F.arrays_overlap(F.map_keys(winner), F.map_keys(other))
+    rest = F.map_filter(other, lambda name, _: ~F.map_contains_key(winner, name))
+    # Shared names are rare, and the filter is interpreted; the plain concatenation is not.
+    return F.when(shared, F.map_concat(winner, rest)).otherwise(F.map_concat(winner, other))
 
 
 def tumbling(samples: DataFrame, every: str = SCRAPE_INTERVAL) -> DataFrame:

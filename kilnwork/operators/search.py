@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from kilnwork.functions import draws
 from kilnwork.operators import batches, sampling, training
+from kilnwork.operators.models import MAX_BROADCAST_BYTES
 from kilnwork.operators.quantiles import quantile_by_group
 from kilnwork.sinks import checkpoints
 
@@ -26,6 +28,9 @@ GRACE_PERIOD = 1
 REDUCTION_FACTOR = 4
 HALVING_HORIZON = 100
 
+# The driver holds one parameter vector for each trial.
+MAX_TRIALS = 10_000
+
 METRIC_SCHEMA = T.StructType(
     [
         T.StructField("trial_id", T.LongType()),
@@ -200,7 +205,9 @@ def run_search(
     if mode not in ("full", "minibatch"):
         raise ValueError("mode must be 'full' or 'minibatch'")
     spark = samples.sparkSession
-    table = trials.select("trial_id", "lr", "momentum").orderBy("trial_id").toPandas()
+    table = trials.select("trial_id", "lr", "momentum").orderBy("trial_id").limit(MAX_TRIALS + 1).toPandas()
+    if len(table) > MAX_TRIALS:
+        raise ValueError(f"at most {MAX_TRIALS} trials in one search")
     result = SearchResult(spark, table)
     ids = table["trial_id"].to_numpy(np.int64)
     lr, momentum = table["lr"].to_numpy(float), table["momentum"].to_numpy(float)
@@ -310,27 +317,40 @@ def _minibatch_pass(
     test: tuple[np.ndarray, np.ndarray],
     batch_size: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, str]]:
-    shared = spark.sparkContext.broadcast((params, velocity, lr, momentum, train, test))
-    slots = spark.range(len(params), numPartitions=min(len(params), 4 * spark.sparkContext.defaultParallelism))
+    sample_bytes = sum(part.nbytes for part in (*train, *test))
+    # Parameters and velocity of a block of trials, next to the sample.
+    block = (MAX_BROADCAST_BYTES - sample_bytes) // (16 * trainable.n_params)
+    if block < 1:
+        raise ValueError("sample and parameters are too large for one broadcast; use mode='full'")
+    parts = []
+    for start in range(0, len(params), block):
+        rows = slice(start, start + block)
+        state = spark.sparkContext.broadcast((params[rows], velocity[rows], lr[rows], momentum[rows], train, test))
+        part = _train_block(spark, trainable, state, len(params[rows]), batch_size)
+        parts.append(part.assign(slot=part["slot"] + start))
+        state.destroy()
+    done = pd.concat(parts)
+    errors = {int(s): e for s, e in zip(done["slot"], done["error"]) if isinstance(e, str)}
+    return np.stack(done["w"]), np.stack(done["v"]), done["accuracy"].to_numpy(float), errors
+
 
-    def run(stream):
-        all_params, all_velocity, rates, momenta, (x, y), (test_x, test_y) = shared.value
+def _train_block(
+    spark: SparkSession, trainable: training.Trainable, state: Broadcast, trials: int, batch_size: int
+) -> pd.DataFrame:
+    """``slot, w, v, accuracy, error`` of each trial of a block, trained in parallel tasks."""
+    slots = spark.range(trials, numPartitions=min(trials, 4 * spark.sparkContext.defaultParallelism))
+
+    def run(stream: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        params, velocity, rates, momenta, (x, y), (test_x, test_y) = state.value
         for frame in stream:
             for slot in frame["id"]:
-                w, v, accuracy, error = all_params[slot], all_velocity[slot], float("nan"), None
+                w, v, accuracy, error = params[slot], velocity[slot], float("nan"), None
                 try:
-                    w, v = training.minibatch_epoch(
-                        trainable, w, v, x, y, rates[slot], momenta[slot], batch_size
-                    )
+                    w, v = training.minibatch_epoch(trainable, w, v, x, y, rates[slot], momenta[slot], batch_size)
                     accuracy = float(trainable.correct(w[None], test_x, test_y)[0]) / len(test_x)
                 except Exception as e:  # a failing trial must not end the others
                     error = f"{type(e).__name__}: {e}"
-                yield pd.DataFrame(
-                    {"slot": [slot], "w": [w], "v": [v], "accuracy": [accuracy], "error": [error]}
-                )
+                yield pd.DataFrame({"slot": [slot], "w": [w], "v": [v], "accuracy": [accuracy], "error": [error]})
 
     schema = "slot long, w array<double>, v array<double>, accuracy double, error string"
-    done = slots.mapInPandas(run, schema).toPandas().sort_values("slot")
-    shared.destroy()
-    errors = {int(s): e for s, e in zip(done["slot"], done["error"]) if isinstance(e, str)}
-    return np.stack(done["w"]), np.stack(done["v"]), done["accuracy"].to_numpy(float), errors
+    return slots.mapInPandas(run, schema).toPandas().sort_values("slot")

@@ -133,9 +133,26 @@ def test_horizon_ends_all_trials(spark):
     assert result.metrics.count() == 3
 
 
-def test_minibatch_search_matches_training_by_hand(spark):
+def test_limits_of_a_search(spark, monkeypatch):
+    df, _, _ = blobs(spark, n=100)
+    trials = trials_table(spark, [0.1, 0.2], [0.1, 0.1])
+    options = dict(key="id", features="x", label="label", mode="minibatch", max_iterations=1)
+    monkeypatch.setattr(search, "MAX_BROADCAST_BYTES", 100)
+    with pytest.raises(ValueError, match="too large"):
+        search.run_search(df, trials, training.SoftmaxRegression(5, 3), **options)
+    monkeypatch.setattr(search, "MAX_TRIALS", 1)
+    with pytest.raises(ValueError, match="at most 1 trials"):
+        search.run_search(df, trials, training.SoftmaxRegression(5, 3), **options)
+
+
+@pytest.mark.parametrize("limit", [1 << 28, 100_000])
+def test_minibatch_search_matches_training_by_hand(spark, monkeypatch, limit):
+    monkeypatch.setattr(search, "MAX_BROADCAST_BYTES", limit)
     df, x, y = blobs(spark, n=1500)
     trainable = training.SoftmaxRegression(5, 3)
+    sample_bytes = (576 + 320) * (5 + 1) * 8
+    if limit < 1 << 28:  # room for one trial at a time
+        monkeypatch.setattr(search, "MAX_BROADCAST_BYTES", sample_bytes + 16 * trainable.n_params + 1)
     lr, momentum = [0.01, 0.1], [0.2, 0.9]
     result = search.run_search(
         df, trials_table(spark, lr, momentum), trainable, key="id", features="x", label="label",
