@@ -28,8 +28,9 @@ GRACE_PERIOD = 1
 REDUCTION_FACTOR = 4
 HALVING_HORIZON = 100
 
-# The driver holds one parameter vector for each trial.
+# The driver holds parameters and velocity of every trial.
 MAX_TRIALS = 10_000
+MAX_STATE_BYTES = 4 << 30
 
 METRIC_SCHEMA = T.StructType(
     [
@@ -208,6 +209,8 @@ def run_search(
     table = trials.select("trial_id", "lr", "momentum").orderBy("trial_id").limit(MAX_TRIALS + 1).toPandas()
     if len(table) > MAX_TRIALS:
         raise ValueError(f"at most {MAX_TRIALS} trials in one search")
+    if 16 * len(table) * trainable.n_params > MAX_STATE_BYTES:
+        raise ValueError("the parameters of all trials are too large for the driver")
     result = SearchResult(spark, table)
     ids = table["trial_id"].to_numpy(np.int64)
     lr, momentum = table["lr"].to_numpy(float), table["momentum"].to_numpy(float)
