@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, functions as F
 from kilnwork.operators import batches
 from kilnwork.operators.models import MAX_BROADCAST_BYTES, ConvModel
 
-# Doubles in one intermediate array; bounds the memory of a task.
-_WORK_CELLS = 4 << 20
+# Doubles in one intermediate array: bounds the memory of a task and stays near the caches.
+_WORK_CELLS = 1 << 20
 
 
 class Trainable(Protocol):

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kilnwork.cli import search as command
 from kilnwork.operators import quantiles, search
 
 METRICS = "trial_id long, training_iteration int, mean_accuracy double"
@@ -116,3 +117,39 @@ def test_trial_errors(spark):
     df = spark.createDataFrame([(1, None), (2, "boom")], "trial_id long, error string")
     assert search.trial_errors(df).first().asDict() == {"trials": 2, "errors": 1, "ok": False}
     assert search.trial_errors(df.filter("trial_id = 1")).first()["ok"] is True
+
+
+@pytest.mark.parametrize("options", [["--model", "conv"], ["--model", "linear", "--mode", "full"]])
+def test_search_command(spark, sf_dir, tmp_path, capsys, options):
+    state = str(tmp_path / "state")
+    command.main(
+        ["--data", f"{sf_dir}/embeddings.parquet", "--key", "vec_id", "--features", "embedding", "--smoke-test"]
+        + ["--checkpoint-path", state, *options]
+    )
+    assert "Best config is: {'trial_id': 0, 'training_iteration': 5, 'mean_accuracy': 0." in capsys.readouterr().out
+    command.main(
+        ["--data", f"{sf_dir}/embeddings.parquet", "--key", "vec_id", "--features", "embedding", "--smoke-test"]
+        + ["--checkpoint-path", state, "--resume", *options]
+    )
+    assert "'training_iteration': 5" in capsys.readouterr().out
+
+
+def test_conv_training_learns(spark):
+    """Bright left halves against bright right halves."""
+    from kilnwork.operators import sampling, training
+
+    rng = np.random.default_rng(0)
+    y = rng.integers(0, 2, 800)
+    x = rng.normal(size=(800, 8, 8))
+    x[y == 0, :, :4] += 1.5
+    x[y == 1, :, 4:] += 1.5
+    df = spark.createDataFrame(
+        [(i, v.ravel().tolist(), int(c)) for i, (v, c) in enumerate(zip(x, y))], "id long, x array<float>, label int"
+    )
+    trials = spark.createDataFrame([(0, 0.05, 0.9), (1, 1e-6, 0.1)], "trial_id long, lr double, momentum double")
+    result = search.run_search(
+        sampling.split_train_test(df, "id"), trials, training.ConvClassifier(side=8, classes=2),
+        key="id", features="x", label="label", mode="minibatch", max_iterations=4, horizon=None,
+    )
+    best = result.best.first()
+    assert best["trial_id"] == 0 and best["mean_accuracy"] > 0.9
