@@ -46,34 +46,43 @@ def probabilities(logits: np.ndarray) -> np.ndarray:
     return powers / powers.sum(axis=1, keepdims=True)
 
 
-def _predict(
-    batch: pa.RecordBatch, model: models.Model, featurise: Featuriser, batch_size: int, on_error: str
-) -> list[pa.Array]:
-    """The result columns of one batch, except ``file_path``."""
-    parts, errors = [], []
+def _infer(
+    batch: pa.RecordBatch,
+    ready: dict[str, models.Model],
+    featurise: Featuriser,
+    batch_size: int,
+    on_error: str,
+) -> tuple[dict[str, np.ndarray], list[str | None]]:
+    """Probabilities by each model, from features that are prepared once for all, and the errors of the rows."""
+    parts: dict[str, list[np.ndarray]] = {name: [] for name in ready}
+    errors: list[str | None] = []
     for start in range(0, batch.num_rows, batch_size):
         inputs, messages = featurise(batch.slice(start, batch_size))
         failed = next((m for m in messages if m), None)
         if failed and on_error == "fail":
             raise ValueError(failed)
-        parts.append(probabilities(model.logits(inputs)))
         errors.extend(messages)
-    probs = np.concatenate(parts)
+        for name, model in ready.items():
+            parts[name].append(probabilities(model.logits(inputs)))
+    return {name: np.concatenate(found) for name, found in parts.items()}, errors
+
+
+def _ranked(probs: np.ndarray, class_ids: np.ndarray | None, lost: np.ndarray | None) -> list[pa.Array]:
+    """Best class and score, and the top classes and scores; NULL where ``lost``."""
     n, k = len(probs), min(TOP_K, probs.shape[1])
     # A stable sort of the negated scores puts the lowest class first on a tie.
     top = np.argsort(-probs, axis=1, kind="stable")[:, :k]
     scores = np.take_along_axis(probs, top, axis=1)
-    if getattr(model, "class_ids", None) is not None:
-        top = model.class_ids[top]
-    lost = np.array([m is not None for m in errors]) if on_error == "null" else None
+    if class_ids is not None:
+        top = class_ids[top]
+    top = top.astype(np.int32)
     offsets = pa.array(np.arange(0, n * k + 1, k, dtype=np.int32))
     gaps = None if lost is None else pa.array(lost)
     return [
-        pa.array(top[:, 0].astype(np.int32), mask=lost),
+        pa.array(top[:, 0], mask=lost),
         pa.array(scores[:, 0], mask=lost),
-        pa.ListArray.from_arrays(offsets, pa.array(top.astype(np.int32).ravel()), mask=gaps),
+        pa.ListArray.from_arrays(offsets, pa.array(top.ravel()), mask=gaps),
         pa.ListArray.from_arrays(offsets, pa.array(scores.ravel()), mask=gaps),
-        pa.array(errors, pa.string()),
     ]
 
 
@@ -138,9 +147,12 @@ def score_variants(
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             kept = [batch.column(name) for name in keep]
             paths = batch.column(path) if has_path else pa.nulls(batch.num_rows, pa.string())
+            found, messages = _infer(batch, ready, featurise, batch_size, on_error)
+            errors = pa.array(messages, pa.string())
+            lost = np.array([m is not None for m in messages]) if on_error == "null" else None
             outputs = []
-            for name, model in ready.items():
-                *results, errors = _predict(batch, model, featurise, batch_size, on_error)
+            for name, probs in found.items():
+                results = _ranked(probs, getattr(ready[name], "class_ids", None), lost)
                 label = pa.array([name] * batch.num_rows, pa.string())
                 outputs.append(
                     pa.RecordBatch.from_arrays([*kept, *results, paths, errors, label], names=schema.names)
