@@ -41,6 +41,7 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once for each application.
 
     Needed where it is neither installed on the executors nor passed with ``--py-files``.
+    The archive is made next to the driver, and Spark hands it to the executors.
     """
     context = spark.sparkContext
     if getattr(context, "_kilnwork_shipped", False):

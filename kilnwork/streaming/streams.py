@@ -51,18 +51,24 @@ def track_jobs(
     path: str,
     checkpoint: str,
     on_terminal: Callable[[DataFrame, int], None] | None = None,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Keep the last status of each job; jobs that have ended are handed to ``on_terminal``.
 
     Each trigger writes the jobs that changed into a folder of its own, which a
-    repeated trigger overwrites. :func:`tracked_jobs` reads the current state.
+    repeated trigger overwrites. Every ``compact_every`` triggers the state of all
+    jobs is written too, so that :func:`tracked_jobs` never reads a long history.
     """
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = changed.sparkSession
+        folder = f"{path}/kind=change/batch={batch_id}"
+        changed.write.mode("overwrite").parquet(folder)
         if on_terminal:
-            written = changed.sparkSession.read.parquet(f"{path}/batch={batch_id}")
-            on_terminal(written.filter(states.is_terminal(F.col("status"))), batch_id)
+            on_terminal(spark.read.parquet(folder).filter(states.is_terminal(F.col("status"))), batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            state = tracked_jobs(spark, path, compacted_before=batch_id)
+            state.write.mode("overwrite").parquet(f"{path}/kind=whole/batch={batch_id}")
 
     return (
         rollups.latest_status(events)
@@ -74,9 +80,17 @@ def track_jobs(
     )
 
 
-def tracked_jobs(spark: SparkSession, path: str) -> DataFrame:
-    """The last written status of each job."""
+def tracked_jobs(spark: SparkSession, path: str, compacted_before: int | None = None) -> DataFrame:
+    """The last written status of each job: the last state of all jobs, and the changes after it."""
     rows = spark.read.parquet(path)
+    whole = rows.filter("kind = 'whole'")
+    if compacted_before is not None:
+        whole = whole.filter(F.col("batch") < compacted_before)
+    base = whole.agg(F.max("batch")).first()[0]
+    if base is None:
+        rows = rows.filter("kind = 'change'")
+    else:
+        rows = whole.filter(F.col("batch") == base).unionByName(rows.filter((F.col("kind") == "change") & (F.col("batch") > base)))
     return (
         rows.groupBy("job_id")
         .agg(F.max_by(F.struct("status", "ts"), "batch").alias("last"))

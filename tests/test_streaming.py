@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from kilnwork.operators import models, rollups, scoring
@@ -31,13 +32,16 @@ def test_windows_of_a_stream_equal_the_batch_once_final(spark, tmp_path):
     assert got.exceptAll(final).count() == 0
 
 
-def test_job_states_follow_arriving_files(spark, tmp_path):
+@pytest.mark.parametrize("compact_every", [1, 2, 100])
+def test_job_states_follow_arriving_files(spark, tmp_path, compact_every):
     source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
     ended = []
 
     def poll():
         stream = streams.file_stream(spark, source, spark.read.parquet(source).schema, files_per_trigger=1)
-        streams.track_jobs(stream, out, checkpoint, lambda df, _: ended.extend(r["job_id"] for r in df.collect())).awaitTermination()
+        streams.track_jobs(
+            stream, out, checkpoint, lambda df, _: ended.extend(r["job_id"] for r in df.collect()), compact_every
+        ).awaitTermination()
         return {r["job_id"]: r["status"] for r in streams.tracked_jobs(spark, out).collect()}
 
     def arrive(rows):
