@@ -91,7 +91,9 @@ def argmax(values: Column) -> Column:
 def top_k(values: Column, k: int = 5) -> Column:
     """The ``k`` largest values as ``array<struct<class_id, score>>``, best first, lowest index on a tie."""
     # sort_array compares structs natively; array_sort would call a lambda for every comparison.
-    ranked = F.sort_array(F.transform(values, lambda v, i: F.struct((-v).alias("order"), i.alias("class_id"), v.alias("score"))))
+    ranked = F.sort_array(
+        F.transform(values, lambda v, i: F.struct((-v).alias("order"), i.alias("class_id"), v.alias("score")))
+    )
     return F.transform(
         F.slice(ranked, 1, k),
         lambda r: F.struct(r["class_id"].cast("int").alias("class_id"), r["score"].alias("score")),

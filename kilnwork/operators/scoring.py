@@ -279,8 +279,8 @@ def _score_joined(
     message = F.lit(f"unusable features in {features}")
     failure = F.raise_error(message).cast("string") if on_error == "fail" else message
     rows = df.withColumn("error", F.when(F.coalesce(usable, F.lit(False)), None).otherwise(failure))
-    zeros = F.array_repeat(F.lit(0.0), width)
-    inputs = rows.withColumn(features, F.when(F.col("error").isNull(), F.col(features).cast("array<double>")).otherwise(zeros))
+    readable = F.when(F.col("error").isNull(), F.col(features).cast("array<double>"))
+    inputs = rows.withColumn(features, readable.otherwise(F.array_repeat(F.lit(0.0), width)))
     ranked = rank_logits(score_by_join(inputs, weights, key=key, features=features, salts=salts), key)
     # At most TOP_K rows for each key.
     best = ranked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "class_id", "score"))).alias("top"))

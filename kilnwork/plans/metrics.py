@@ -170,7 +170,11 @@ QUERIES = {
     "stream_inference": stream_inference,
 }
 
-_TS = "CASE WHEN microsecond({0}) % 1000000 = 0 THEN strftime({0}, '%Y-%m-%d %H:%M:%S') ELSE rtrim(strftime({0}, '%Y-%m-%d %H:%M:%S.%f'), '0') END"
+# Spark prints a timestamp without the zeros at the end of its fraction.
+_TS = """
+    CASE WHEN microsecond({0}) % 1000000 = 0 THEN strftime({0}, '%Y-%m-%d %H:%M:%S')
+         ELSE rtrim(strftime({0}, '%Y-%m-%d %H:%M:%S.%f'), '0') END
+"""
 _WINDOWS = """
     SELECT time_bucket(INTERVAL 15 SECOND, ts) AS w, event_type AS metric, count(*) AS samples,
            round(sum(value), 4) AS sum_value, min(value) AS min_value, max(value) AS max_value

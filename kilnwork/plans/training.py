@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kilnwork.operators import sampling, search, training
 from kilnwork.plans.inputs import METRICS_SQL, event_metrics, samples, table
@@ -24,14 +24,15 @@ def gradient_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = training.partial_sums(rows, trainable, zeros, "embedding", "label")
     # The row count comes out of the same pass, at its own position.
     n = trainable.n_params
-    cells = sums.groupBy("trial").agg(
-        F.max(F.when(F.col("pos") == n + 1, F.col("value"))).alias("rows"),
-        F.collect_list(F.when(F.col("pos") < n, F.struct("pos", "value"))).alias("cells"),
-    )
-    return cells.select("rows", F.explode("cells").alias("c")).select(
-        (F.col("c.pos") % trainable.classes).cast("int").alias("class_id"),
-        F.floor(F.col("c.pos") / trainable.classes).cast("int").alias("pos"),
-        F.round(F.col("c.value") / F.col("rows"), 6).alias("gradient"),
+    rows_used = F.max(F.when(F.col("pos") == n + 1, F.col("value"))).over(Window.partitionBy("trial"))
+    return (
+        sums.withColumn("rows", rows_used)
+        .filter(F.col("pos") < n)
+        .select(
+            (F.col("pos") % trainable.classes).cast("int").alias("class_id"),
+            F.floor(F.col("pos") / trainable.classes).cast("int").alias("pos"),
+            F.round(F.col("value") / F.col("rows"), 6).alias("gradient"),
+        )
     )
 
 

@@ -14,10 +14,11 @@ def metric_samples(
 ) -> DataFrame:
     """``ts, metric, labels, value`` from any table, batch or streaming."""
     pairs = [x for name, label in (labels or {}).items() for x in (F.lit(name), label.cast("string"))]
+    none = F.map_from_arrays(F.array(), F.array()).cast("map<string,string>")
     return df.select(
         ts.alias("ts"),
         metric.alias("metric"),
-        (F.create_map(*pairs) if pairs else F.map_from_arrays(F.array(), F.array()).cast("map<string,string>")).alias("labels"),
+        (F.create_map(*pairs) if pairs else none).alias("labels"),
         value.cast("double").alias("value"),
     )
 

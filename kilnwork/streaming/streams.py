@@ -90,7 +90,8 @@ def tracked_jobs(spark: SparkSession, path: str, compacted_before: int | None =
     if base is None:
         rows = rows.filter("kind = 'change'")
     else:
-        rows = whole.filter(F.col("batch") == base).unionByName(rows.filter((F.col("kind") == "change") & (F.col("batch") > base)))
+        later = rows.filter((F.col("kind") == "change") & (F.col("batch") > base))
+        rows = whole.filter(F.col("batch") == base).unionByName(later)
     return (
         rows.groupBy("job_id")
         .agg(F.max_by(F.struct("status", "ts"), "batch").alias("last"))
