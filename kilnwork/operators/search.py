@@ -189,6 +189,7 @@ def run_search(
     test_cap: int = sampling.TEST_CAP,
     checkpoint_path: str | None = None,
     resume: bool = False,
+    max_tasks: int | None = None,
 ) -> SearchResult:
     """Train all trials until each is stopped; ``samples`` carry ``is_test``.
 
@@ -201,7 +202,7 @@ def run_search(
     Trials end at ``target`` or ``max_iterations``, below the cut at a rung, or
     at ``horizon`` (None turns halving off). Rungs are synchronous. With
     ``checkpoint_path`` the state is written after every report, and ``resume``
-    continues from the last one.
+    continues from the last one. ``max_tasks`` is passed on to :func:`training.partial_sums`.
     """
     if mode not in ("full", "minibatch"):
         raise ValueError("mode must be 'full' or 'minibatch'")
@@ -238,14 +239,14 @@ def run_search(
         errors: dict[int, str] = {}
         if mode == "full":
             if gradient is None:
-                gradient = _full_pass(rows, trainable, params[now], features, label)[0]
+                gradient = _full_pass(rows, trainable, params[now], features, label, max_tasks)[0]
             params[now], velocity[now] = training.momentum_step(
                 params[now], velocity[now], gradient, lr[now], momentum[now]
             )
             iteration += 1
             last = iteration >= max_iterations or (horizon is not None and iteration >= horizon)
             tested = rows.filter("is_test") if last else rows
-            gradient, accuracy = _full_pass(tested, trainable, params[now], features, label)
+            gradient, accuracy = _full_pass(tested, trainable, params[now], features, label, max_tasks)
         else:
             iteration += 1
             train, test = (
@@ -282,9 +283,15 @@ def run_search(
 
 
 def _full_pass(
-    rows: DataFrame, trainable: training.Trainable, params: np.ndarray, features: str, label: str
+    rows: DataFrame,
+    trainable: training.Trainable,
+    params: np.ndarray,
+    features: str,
+    label: str,
+    max_tasks: int | None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    sums = training.training_pass(rows, trainable, params, features, label)
+    """Mean gradients and test accuracies."""
+    sums = training.training_pass(rows, trainable, params, features, label, max_tasks=max_tasks)
     accuracy = sums.correct / sums.test_rows if sums.test_rows else np.full(len(params), np.nan)
     return sums.gradient / max(sums.train_rows, 1), accuracy
 

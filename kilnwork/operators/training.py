@@ -160,10 +160,14 @@ def partial_sums(
     features: str,
     label: str,
     is_test: str = "is_test",
+    max_tasks: int | None = None,
 ) -> DataFrame:
     """``trial, pos, value``: gradients, then loss, training rows, correct and test rows, summed over all rows.
 
     Each task emits one row per trial; the shuffle moves those and not the samples.
+    ``max_tasks`` lets a task read several input splits one after the other, which
+    makes the shuffle smaller where a table has very many splits. A few tasks for
+    each core of the cluster are enough.
     """
     width = _feature_width(trainable)
 
@@ -197,7 +201,9 @@ def partial_sums(
             totals[:, -2] += trainable.correct(weights, x[test], y[test])
             totals[:, -1] += test.sum()
 
-    partial = df.select(features, label, is_test).mapInArrow(run, "trial int, sums array<double>")
+    rows = df.select(features, label, is_test)
+    rows = rows.coalesce(max_tasks) if max_tasks else rows
+    partial = rows.mapInArrow(run, "trial int, sums array<double>")
     cells = partial.select("trial", F.posexplode("sums").alias("pos", "value"))
     return cells.groupBy("trial", "pos").agg(F.sum("value").alias("value"))
 
@@ -216,6 +222,7 @@ def training_pass(
     features: str,
     label: str,
     is_test: str = "is_test",
+    max_tasks: int | None = None,
 ) -> PassResult:
     """One pass over the rows for all trials, in blocks of trials that fit a broadcast."""
     if trainable.n_params * 8 > MAX_BROADCAST_BYTES:
@@ -224,7 +231,7 @@ def training_pass(
     sums = np.zeros((len(params), trainable.n_params + 4))
     for start in range(0, len(params), block):
         part = df.sparkSession.sparkContext.broadcast(params[start : start + block])
-        cells = partial_sums(df, trainable, part, features, label, is_test).toPandas()
+        cells = partial_sums(df, trainable, part, features, label, is_test, max_tasks).toPandas()
         part.destroy()  # a search makes one for every iteration
         trial, pos = cells["trial"].to_numpy(np.int64), cells["pos"].to_numpy(np.int64)
         sums[start + trial, pos] = cells["value"].to_numpy()

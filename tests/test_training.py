@@ -44,10 +44,10 @@ def test_training_pass_matches_numpy_on_any_partitioning(spark, monkeypatch):
     trainable = training.SoftmaxRegression(5, 3)
     params = np.random.default_rng(2).normal(size=(4, trainable.n_params))
     grads, losses = trainable.gradient(params, x[~test], y[~test])
-    for partitions, block in ((1, None), (8, None), (3, 2)):
+    for partitions, block, tasks in ((1, None, None), (8, None, None), (8, None, 2), (3, 2, None)):
         if block:  # trials in blocks of two
             monkeypatch.setattr(training, "MAX_BROADCAST_BYTES", 8 * (trainable.n_params + 4) * block)
-        got = training.training_pass(df.repartition(partitions), trainable, params, "x", "label")
+        got = training.training_pass(df.repartition(partitions), trainable, params, "x", "label", max_tasks=tasks)
         assert np.allclose(got.gradient, grads) and np.allclose(got.loss, losses)
         assert got.train_rows == (~test).sum() and got.test_rows == test.sum()
         assert np.array_equal(got.correct, trainable.correct(params, x[test], y[test]))
