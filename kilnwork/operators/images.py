@@ -23,43 +23,46 @@ def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=256)
-def _resample(size: int, target: int, start: int, count: int) -> tuple[slice, np.ndarray]:
+def _resample(size: int, target: int, start: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Bilinear resampling of ``size`` to ``target`` pixels, for ``count`` of them from ``start``.
 
     When it shrinks, the triangle widens so that all source pixels count. Returns
-    the source pixels that matter and their weights ``[count, pixels]``.
+    the source pixels and their weights, both ``[taps, count]``.
     """
     scale = size / target
     reach = max(scale, 1.0)
     centres = (np.arange(start, start + count) + 0.5) * scale
-    weights = np.maximum(0.0, 1.0 - np.abs(np.arange(size) + 0.5 - centres[:, None]) / reach)
-    used = np.flatnonzero(weights.any(axis=0))
-    window = slice(int(used[0]), int(used[-1]) + 1)
-    return window, weights[:, window] / weights.sum(axis=1, keepdims=True)
+    taps = np.floor(centres - reach).astype(int) + np.arange(int(np.ceil(2 * reach)) + 2)[:, None]
+    weights = np.maximum(0.0, 1.0 - np.abs(taps + 0.5 - centres) / reach)
+    weights[(taps < 0) | (taps >= size)] = 0.0
+    used = weights.any(axis=1)
+    taps, weights = taps[used].clip(0, size - 1), weights[used]
+    return taps, (weights / weights.sum(axis=0)).astype(np.float32)
 
 
 def resize_window(
     pixels: np.ndarray, size: tuple[int, int], top: int, left: int, height: int, width: int
 ) -> np.ndarray:
-    """A window of the image ``[h, w, c]`` resized to ``size``; the rest is not computed.
+    """A window of the image ``[h, w, c]`` resized to ``size``, as ``[c, height, width]``; the rest is not computed.
 
     The width comes first, and values are rounded to 8 bits after each direction.
     """
-    planes = pixels.transpose(2, 0, 1)
     rows, down = _resample(pixels.shape[0], size[0], top, height)
     columns, across = _resample(pixels.shape[1], size[1], left, width)
-    planes = planes[:, rows, columns]
-    if size[1] != pixels.shape[1]:
-        planes = _to_bytes(planes @ across.T)
-    else:
-        planes = planes[:, :, left - columns.start : left - columns.start + width]
-    if size[0] != pixels.shape[0]:
-        return _to_bytes(down @ planes)
-    return planes[:, top - rows.start : top - rows.start + height]
-
-
-def _to_bytes(values: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(values + 0.5), 0, 255).astype(np.uint8)
+    first = int(rows.min())
+    planes = np.ascontiguousarray(pixels[first : int(rows.max()) + 1].transpose(2, 0, 1))
+    planes = _weighted(planes, 2, columns, across)
+    return _weighted(planes, 1, rows - first, down[:, :, None])
+
+
+def _weighted(planes: np.ndarray, axis: int, taps: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Sum over taps of the pixels along ``axis`` times their weights, in 8 bits."""
+    total = np.take(planes, taps[0], axis=axis) * weights[0]
+    part = np.empty_like(total)
+    for at, weight in zip(taps[1:], weights[1:]):
+        total += np.multiply(np.take(planes, at, axis=axis), weight, out=part)
+    total += np.float32(0.5)
+    return np.clip(total, 0, 255, out=total).astype(np.uint8)
 
 
 def preprocess(pixels: np.ndarray, resize_side: int = RESIZE_SIDE, crop: int = CROP_SIDE) -> np.ndarray:

@@ -44,6 +44,20 @@ def test_decoding_and_suffixes(spark, tmp_path):
     assert np.array_equal(pixels("c.png"), rgba[:, :, :3])
 
 
+@pytest.mark.parametrize("suffix,kind", [("jpg", "jpg"), ("JPEG", "jpg"), ("tiff", "tiff")])
+def test_other_formats_decode(spark, tmp_path, suffix, kind):
+    flat = np.full((30, 40, 3), (200, 100, 50), dtype=np.uint8)
+    (tmp_path / "flat.png").write_bytes(png(flat))
+    java = spark.sparkContext._jvm.java.io.File
+    picture = spark.sparkContext._jvm.javax.imageio.ImageIO.read(java(str(tmp_path / "flat.png")))
+    target = tmp_path / "out" / f"x.{suffix}"
+    target.parent.mkdir()
+    assert spark.sparkContext._jvm.javax.imageio.ImageIO.write(picture, kind, java(str(target)))
+    r = images.flatten_images(files.scan_images(spark, str(target.parent))).first()
+    got = images.to_rgb(bytes(r["data"]), r["height"], r["width"], r["channels"])
+    assert got.shape == (30, 40, 3) and np.abs(got.astype(int) - flat).max() <= 4
+
+
 def resize(pixels, height, width):
     return images.resize_window(pixels, (height, width), 0, 0, height, width)
 
