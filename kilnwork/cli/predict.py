@@ -35,10 +35,10 @@ def predict_images(
     """Predictions for every image file below ``uri``."""
     loader = registry.loader(model_name)  # an unknown name fails before anything is read
     uri, anonymous = files.resolve_uri(uri)
+    store = None
     if uri.startswith("s3a://"):
-        options = files.s3a_options(access_key, secret_key, session_token, endpoint, anonymous)
-        files.apply_store_options(spark, options)
-    decoded = batches.spread(images.flatten_images(files.scan_images(spark, uri)))
+        store = files.s3a_options(access_key, secret_key, session_token, endpoint, anonymous)
+    decoded = batches.spread(images.flatten_images(files.scan_images(spark, uri, store)))
     return scoring.score(
         decoded,
         loader,
@@ -92,8 +92,11 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session("predict")
     registry = models.ModelRegistry()
-    path = f"{args.models_dir.rstrip('/')}/{args.model_name}.onnx"
-    registry.register(args.model_name, models.onnx_loader(spark, path))
+    path, anonymous = files.resolve_uri(f"{args.models_dir.rstrip('/')}/{args.model_name}.onnx")
+    store = None
+    if path.startswith("s3a://"):
+        store = files.s3a_options(args.access_key, args.secret_key, args.session_token, args.endpoint, anonymous)
+    registry.register(args.model_name, models.onnx_loader(spark, path, store))
     rows = predict_images(
         spark,
         args.uri,

@@ -15,6 +15,8 @@ import numpy as np
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from kilnwork.sources import files
+
 # A model above this size is not broadcast: linear weights are joined instead
 # (``scoring.score_by_join``), and model files are fetched once per executor.
 MAX_BROADCAST_BYTES = 256 << 20
@@ -120,9 +122,9 @@ def broadcast_loader(spark: SparkSession, model: Model) -> Loader:
     return lambda: shared.value
 
 
-def onnx_loader(spark: SparkSession, path: str) -> Loader:
-    """Loader for a model file on any file system Spark reads."""
-    found = spark.read.format("binaryFile").load(path)
+def onnx_loader(spark: SparkSession, path: str, store: dict[str, str] | None = None) -> Loader:
+    """Loader for a model file on any file system Spark reads, with settings for its store if it needs any."""
+    found = files.scan_files(spark, path, store)
     size = found.agg(F.max("length")).first()[0]
     if size <= MAX_BROADCAST_BYTES:
         shared = spark.sparkContext.broadcast(bytes(found.select("content").first()[0]))

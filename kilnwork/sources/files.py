@@ -16,7 +16,10 @@ def s3a_options(
     endpoint: str | None = None,
     anonymous: bool = False,
 ) -> dict[str, str]:
-    """Spark settings for an S3-compatible store. Without a key, the default credential chain applies."""
+    """Settings for an S3-compatible store. Without a key, the default credential chain applies.
+
+    Pass them to the scans below, which then apply to that read only, or set them on a session.
+    """
     if anonymous and access_key:
         raise ValueError("anonymous access takes no key")
     if bool(access_key) != bool(secret_key):
@@ -48,32 +51,31 @@ def resolve_uri(uri: str) -> tuple[str, bool]:
     return f"s3a://{found.group(2)}", found.group(1) is not None
 
 
-def apply_store_options(spark: SparkSession, options: dict[str, str]) -> None:
-    """Set store options on a running session."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    for key, value in options.items():
-        hadoop.set(key.removeprefix("spark.hadoop."), value)
+def scan_files(spark: SparkSession, uri: str, store: dict[str, str] | None = None) -> DataFrame:
+    """``path, modificationTime, length, content`` of every file; unused columns are not read."""
+    return _tree(spark, "binaryFile", uri, None, store)
 
 
-def scan_binary(spark: SparkSession, uri: str, glob: str | None = None) -> DataFrame:
+def scan_binary(
+    spark: SparkSession, uri: str, glob: str | None = None, store: dict[str, str] | None = None
+) -> DataFrame:
     """``path, bytes`` of every file below ``uri``; ``glob`` skips files without opening them."""
-    return _binary(spark, uri, glob).select("path", F.col("content").alias("bytes"))
+    return _tree(spark, "binaryFile", uri, glob, store).select("path", F.col("content").alias("bytes"))
 
 
-def scan_images(spark: SparkSession, uri: str) -> DataFrame:
+def scan_images(spark: SparkSession, uri: str, store: dict[str, str] | None = None) -> DataFrame:
     """Image files below ``uri``, decoded: ``path`` and an ``image`` struct.
 
     The suffix test runs twice: as a glob, so that other files are not read,
     and on the path. ``height`` is -1 where the bytes could not be decoded.
     """
-    reader = spark.read.format("image").option("recursiveFileLookup", "true")
-    decoded = reader.option("pathGlobFilter", text.suffix_glob()).load(uri)
+    decoded = _tree(spark, "image", uri, text.suffix_glob(), store)
     return decoded.select(F.col("image.origin").alias("path"), "image").filter(text.is_image(F.col("path")))
 
 
-def inventory(spark: SparkSession, uri: str) -> DataFrame:
+def inventory(spark: SparkSession, uri: str, store: dict[str, str] | None = None) -> DataFrame:
     """``key, size, modified`` of every file; contents are not read."""
-    return _binary(spark, uri, None).select(
+    return _tree(spark, "binaryFile", uri, None, store).select(
         F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")
     )
 
@@ -90,15 +92,19 @@ def describe_objects(objects: DataFrame) -> DataFrame:
     )
 
 
-def preview_texts(spark: SparkSession, uri: str) -> DataFrame:
+def preview_texts(spark: SparkSession, uri: str, store: dict[str, str] | None = None) -> DataFrame:
     """``key, preview`` of the text objects below ``uri``; NULL where the bytes are not UTF-8."""
     globs = "*.{" + ",".join(s.lstrip(".") for s in text.PREVIEW_TEXT_SUFFIXES) + "}"
-    found = _binary(spark, uri, globs).filter(text.preview_kind(F.col("path")) == "text")
+    found = _tree(spark, "binaryFile", uri, globs, store).filter(text.preview_kind(F.col("path")) == "text")
     return found.select(F.col("path").alias("key"), text.text_preview(F.col("content")).alias("preview"))
 
 
-def _binary(spark: SparkSession, uri: str, glob: str | None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+def _tree(
+    spark: SparkSession, source: str, uri: str, glob: str | None, store: dict[str, str] | None
+) -> DataFrame:
+    reader = spark.read.format(source).option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    for name, value in (store or {}).items():
+        reader = reader.option(name.removeprefix("spark.hadoop."), value)
     return reader.load(uri)

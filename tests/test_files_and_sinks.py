@@ -104,6 +104,18 @@ def test_store_options():
             files.s3a_options(**bad)
 
 
+def test_store_options_reach_one_read_only(spark, tmp_path):
+    make_tree(tmp_path)
+    # A made-up scheme is known to the read that defines it, and to no other.
+    store = {"spark.hadoop.fs.made.impl": "org.apache.hadoop.fs.LocalFileSystem"}
+    with pytest.raises(Exception, match="No FileSystem for scheme"):
+        files.scan_binary(spark, f"made://{tmp_path}").count()
+    with pytest.raises(Exception) as failure:
+        files.scan_binary(spark, f"made://{tmp_path}", store=store).count()
+    assert "No FileSystem for scheme" not in str(failure.value)
+    assert files.scan_binary(spark, str(tmp_path), store=files.s3a_options("k", "s")).count() == 4
+
+
 def test_uris():
     assert files.resolve_uri("s3://anonymous@bucket/a/") == ("s3a://bucket/a/", True)
     assert files.resolve_uri("s3://bucket/a") == ("s3a://bucket/a", False)
