@@ -1,5 +1,5 @@
 """Batch machine-learning data work on Spark: score, train, search, summarise."""
 
-from kilnwork.session import build_session, scratch_path
+from kilnwork.session import build_session, materialise, scratch_path, ship_package
 
-__all__ = ["build_session", "scratch_path"]
+__all__ = ["build_session", "materialise", "scratch_path", "ship_package"]

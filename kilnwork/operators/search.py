@@ -88,7 +88,8 @@ def halving_rungs(
     """Trials at each rung with the cut they must reach to go on.
 
     The cut is the ``1 - 1/reduction`` quantile of the rung. There are at most
-    a few rungs, so the cuts travel as a literal map.
+    a few rungs, so the cuts travel as a literal map. ``metrics`` is read several
+    times; where it is not a table already, ``session.materialise`` makes it one.
     """
     levels = rung_levels(grace, reduction, horizon)
     rungs = metrics.filter(F.col("training_iteration").isin(*levels))
