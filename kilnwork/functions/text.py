@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -17,8 +18,10 @@ LOG_TAIL_CHARS = 1024
 
 def has_suffix(path: Column, suffixes: Sequence[str], ignore_case: bool = False) -> Column:
     """True when ``path`` ends with one of ``suffixes``."""
-    names = "|".join(re.escape(s.lower() if ignore_case else s) for s in suffixes)
-    return F.rlike(F.lower(path) if ignore_case else path, F.lit(rf"({names})\z"))
+    if not ignore_case:
+        return reduce(Column.__or__, [path.endswith(s) for s in suffixes])
+    # The flag covers ASCII letters, which is all that suffixes have, and spares a lower-cased copy of each path.
+    return F.rlike(path, F.lit(f"(?i)({'|'.join(map(re.escape, suffixes))})\\z"))
 
 
 def is_image(path: Column, suffixes: Sequence[str] = IMAGE_SUFFIXES) -> Column:
