@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kilnwork.llm import fingerprints, mixing, rules
+from kilnwork.llm import fingerprints, language, mixing, pieces, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A public vocabulary; its path is a parameter of ``read_model``.
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents"), pieces.read_model(MODEL_PATH))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -23,7 +32,28 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit_text_model(docs)).select("doc_id", "lid.*")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the language of their markup, the suffix and host of their address, and the model of the documents."""
+    model = language.fit_text_model(_table(spark, sf_dir, "documents"))
+    pages = _table(spark, sf_dir, "pages").select(
+        "page_id",
+        F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>|&\w+;", " ").alias("text"),
+        F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([a-z]+)", 1).alias("lang"),
+        F.lower(F.regexp_extract("url", "^[^:/]+://([^/:?#]+)", 1)).alias("host"),
+    )
+    found = language.identify(pages, model, host="host", suffix=language.address_suffix(F.col("host")))
+    return found.select("page_id", "lid.*")
+
+
 QUERIES = {
+    "language_id_pages": language_id_pages,
+    "op7_language_id": op7_language_id,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_fingerprints": op6_fingerprints,
