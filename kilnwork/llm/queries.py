@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwork.llm import fingerprints, language, mixing, pieces, rules
+from kilnwork.llm import fingerprints, language, mixing, near_dedup, pieces, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit_text_model(docs)).select("doc_id", "lid.*")
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the language of their markup, the suffix and host of their address, and the model of the documents."""
     model = language.fit_text_model(_table(spark, sf_dir, "documents"))
@@ -53,6 +57,7 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "language_id_pages": language_id_pages,
     "op7_language_id": op7_language_id,
+    "op8_near_dedup": op8_near_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
