@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwork.llm import fingerprints, language, mixing, near_dedup, pieces, rules
+from kilnwork.llm import fingerprints, language, mixing, near_dedup, pieces, rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 #: A public vocabulary; its path is a parameter of ``read_model``.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -55,6 +60,7 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "language_id_pages": language_id_pages,
     "op7_language_id": op7_language_id,
     "op8_near_dedup": op8_near_dedup,
