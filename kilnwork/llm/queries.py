@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwork.llm import fingerprints, language, mixing, near_dedup, pieces, rules, suffix_dedup
+from kilnwork.llm import extraction, fingerprints, language, mixing, near_dedup, pieces, rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +59,12 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "lid.*")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op10_html_extraction": op10_html_extraction,
     "op1_suffix_dedup": op1_suffix_dedup,
     "language_id_pages": language_id_pages,
     "op7_language_id": op7_language_id,
