@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwork.llm import extraction, fingerprints, language, mixing, near_dedup, pieces, rules, suffix_dedup
+from kilnwork.llm import (
+    extraction,
+    fingerprints,
+    language,
+    mixing,
+    near_dedup,
+    pieces,
+    pseudo_likelihood,
+    quality_model,
+    rules,
+    suffix_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +28,18 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    _, scorer = quality_model.fit(docs)
+    return quality_model.score(docs, scorer)
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    vocabulary = pseudo_likelihood.fit_vocabulary(docs)
+    return pseudo_likelihood.score(docs, vocabulary, pseudo_likelihood.fit(docs, vocabulary))
+
+
 #: A public vocabulary; its path is a parameter of ``read_model``.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -69,6 +92,8 @@ QUERIES = {
     "language_id_pages": language_id_pages,
     "op7_language_id": op7_language_id,
     "op8_near_dedup": op8_near_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op9_lm_scoring": op9_lm_scoring,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
