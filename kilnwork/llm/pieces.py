@@ -26,7 +26,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Words a worker remembers, about 150 bytes each.
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 500_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
