@@ -158,9 +158,12 @@ def _reached(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: int
 
 
 def _pieces_of(by: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The columns' rows for each value of ``by``."""
+    if not len(by):
+        return
     order = np.argsort(by, kind="stable")
     by = by[order]
-    at = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]])) if len(by) else []
+    at = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]]))
     for a, b in zip(at, [*at[1:], len(by)], strict=True):
         yield int(by[a]), [c[order[a:b]] for c in columns]
 
