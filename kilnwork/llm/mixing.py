@@ -72,14 +72,20 @@ def _fit(margin: list[float], now: list[float]) -> list[float]:
 
 
 def mix_sources(
-    docs: DataFrame, targets: Targets = Targets(), text: str = "text", key: str = "doc_id", seed: str = "mix"
+    docs: DataFrame,
+    targets: Targets = Targets(),
+    text: str = "text",
+    key: str = "doc_id",
+    seed: str = "mix",
+    into: str = "mix",
 ) -> DataFrame:
-    """Every row's ``n_tokens``, ``topic``, ``factor`` (raked weight of its cell), ``probability`` and ``sampled``.
+    """``docs`` with a struct ``into``: topic, n_tokens, factor (raked weight of the cell), probability and sampled.
 
     The draw compares the MD5 of seed and key with the probability, so it is the same on every run; rows with equal
     keys share a draw. Null texts have no tokens and are prose. A null source is a source of its own; null languages
     count as ``other``. A margin whose target is missing from the table leaves its share to the others. Probabilities
-    stop at 1: what such cells cannot give is made up by the rest. Other columns of ``docs`` are ignored.
+    stop at 1: what such cells cannot give is made up by the rest. Other columns pass through; one named ``into`` is
+    replaced.
 
     Sources are rows of a table; languages and topics, whose names are parameters, are positions in arrays. So only one
     number for each language and topic comes to the driver in each round, however many sources there are.
@@ -88,23 +94,25 @@ def mix_sources(
     topics, topic_share = _shares(targets.topics)
     n_l, n_t = len(langs), len(topics)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key), F.col("source"), F.col("lang"), body.alias("_text"))
-    rows = rows.select(key, "source", "lang", topic_of("_text").alias("topic"), token_count("_text").alias("n_tokens"))
-    cell = (_index(F.col("lang"), langs) * n_t + _index(F.col("topic"), topics)).cast("int")
-    rows = materialise(rows.withColumn("cell", cell), "mixing")
+    rows = docs.withColumns({"_source": F.col("source"), "_topic": topic_of(body), "_tokens": token_count(body)})
+    rows = rows.withColumn("_cell", (_index(F.col("lang"), langs) * n_t + _index(F.col("_topic"), topics)).cast("int"))
 
     cells = [f"c{i}" for i in range(n_l * n_t)]
-    table = rows.groupBy("source").agg(
-        *(F.sum(F.when(F.col("cell") == i, F.col("n_tokens")).otherwise(0)).cast("double").alias(c) for i, c in enumerate(cells))
+    table = rows.groupBy(F.col("_source").alias("source")).agg(
+        *(F.sum(F.when(F.col("_cell") == i, F.col("_tokens")).otherwise(0)).cast("double").alias(c) for i, c in enumerate(cells))
     )
     table = materialise(table.withColumn("total", sum((F.col(c) for c in cells), F.lit(0.0))), "sources")
     # Powers of the sources' tokens; their sum and the tokens in all scale the first margin.
     spread = table.agg(F.sum("total").alias("tokens"), F.sum(F.pow("total", F.lit(targets.source_power))).alias("powers")).first()
     tokens, powers = spread["tokens"] or 0.0, spread["powers"] or 0.0
+    plain = [c for c in docs.columns if c != into]
+
+    def result(factor: Column, probability: Column, sampled: Column) -> list[Column]:
+        parts = {"topic": F.col("_topic"), "n_tokens": F.col("_tokens"), "factor": factor, "probability": probability, "sampled": sampled}
+        return [*(F.col(c) for c in plain), F.struct(*(c.alias(n) for n, c in parts.items())).alias(into)]
+
     if not tokens:
-        return rows.select(
-            key, "source", "lang", "topic", "n_tokens", F.lit(0.0).alias("factor"), F.lit(0.0).alias("probability"), F.lit(False).alias("sampled")
-        )
+        return rows.select(*result(F.lit(0.0), F.lit(0.0), F.lit(False)))
     lang_of = [i // n_t for i in range(n_l * n_t)]
     topic_at = [i % n_t for i in range(n_l * n_t)]
     by_lang, by_topic = [1.0] * n_l, [1.0] * n_t
@@ -137,13 +145,13 @@ def mix_sources(
         return factors.agg(F.sum(sum(part, F.lit(0.0)))).first()[0] or 0.0
 
     scale = _solve(kept_at, targets.keep * tokens, targets.keep)
-    factors = factors.select(F.col("source").alias("_source"), "_by_source")
-    joined = rows.join(factors, F.col("source").eqNullSafe(F.col("_source")))
-    factor = F.col("_by_source") * pair[F.col("cell")]
-    draw = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.col(key).cast("string"))), 1, 13), 16, 10).cast("double") / float(16**13)
-    return joined.select(
-        key, "source", "lang", "topic", "n_tokens", factor.alias("factor"), F.least(F.lit(1.0), factor * scale).alias("probability")
-    ).withColumn("sampled", draw < F.col("probability"))
+    factors = factors.select(F.col("source").alias("_of"), "_by_source")
+    joined = rows.join(factors, F.col("_source").eqNullSafe(F.col("_of")))
+    factor = F.col("_by_source") * pair[F.col("_cell")]
+    probability = F.least(F.lit(1.0), factor * scale)
+    digits = F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.col(key).cast("string"))), 1, 13)
+    draw = F.conv(digits, 16, 10).cast("double") / float(16**13)
+    return joined.select(*result(factor, probability, draw < probability))
 
 
 def _solve(kept_at, wanted: float, start: float, rounds: int = 12) -> float:

@@ -119,7 +119,7 @@ def _links_in_block(table: pa.Table) -> pa.Table:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", block_rows: int = 1000, block_bytes: int = 8 << 20) -> DataFrame:
-    """Key, ``class_id`` and ``kept`` for every row: the least key of its near-duplicate class, and whether it is that.
+    """Key, ``class_id``, ``kept`` and ``text_md5`` for every row: the least key of its class, and whether its own is that.
 
     Classes are what links of multiset similarity 0.8 or more (five-word shingles) connect, directly or through others.
     Equal texts count once, by the least of their keys. Texts that share a band, directly or through others, form a
@@ -156,4 +156,4 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", bl
     named = texts.join(classes, "node", "left").select(F.col("digest"), F.coalesce("root", "node").alias("class_id"))
     out = rows.join(materialise(named, "classes"), "digest")
     kept = F.col("key").eqNullSafe(F.col("class_id"))
-    return out.select(F.col("key").alias(key), "class_id", kept.alias("kept"))
+    return out.select(F.col("key").alias(key), "class_id", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_md5"))

@@ -49,7 +49,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "mix.*")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
