@@ -8,7 +8,7 @@ and those of a suffix with those of the whole corpus; all come from one grouped
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,12 +36,25 @@ class TextModel:
     logp: np.ndarray
 
 
-def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def parts_of(texts: Sequence[str | None], size: int = 1 << 20) -> Iterator[list[str]]:
+    """Runs of texts of about ``size`` characters (a longer text is a run by itself), so that arrays stay small."""
+    part: list[str] = []
+    held = 0
+    for text in texts:
+        if part and held + len(text or "") > size:
+            yield part
+            part, held = [], 0
+        part.append(text or "")
+        held += len(text or "")
+    yield part
+
+
+def trigrams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Trigram buckets of all texts in a row, and where each text's begin (one more offset than texts).
 
     Letters are lower case; everything else is a gap, and trigrams around a gap's middle are left out.
     """
-    lowered = [t.lower().encode() if t else b"" for t in texts.to_pylist()]
+    lowered = [t.lower().encode() for t in texts]
     data = np.frombuffer(b"\n \n".join([b"", *lowered, b""]), np.uint8)
     sizes = np.array([len(t) for t in lowered], np.int64)
     letters = _LETTERS[data].astype(np.uint32)
@@ -82,10 +95,13 @@ def fit_text_model(
     def count(batches):
         sums = np.zeros((len(wanted), BUCKETS))
         for batch in batches:
-            buckets, bounds = trigrams(batch.column("t"))
             which = np.array([wanted.index(x) for x in batch.column("l").to_pylist()], np.int64)
-            rows_of = np.repeat(which, np.diff(bounds))
-            sums += np.bincount(rows_of * BUCKETS + buckets, minlength=sums.size).reshape(sums.shape)
+            at = 0
+            for part in parts_of(batch.column("t").to_pylist()):
+                buckets, bounds = trigrams(part)
+                rows_of = np.repeat(which[at : at + len(part)], np.diff(bounds))
+                sums += np.bincount(rows_of * BUCKETS + buckets, minlength=sums.size).reshape(sums.shape)
+                at += len(part)
         yield pa.RecordBatch.from_arrays([pa.array([sums.astype("<f8").tobytes()])], ["sums"])
 
     # One fixed-size row from each of at most 16 tasks.
@@ -103,15 +119,18 @@ def text_scores(model: TextModel, text: str) -> Column:
 
     @F.arrow_udf("array<float>")
     def scores(texts: pa.Array) -> pa.Array:
-        buckets, bounds = trigrams(texts)
-        sums = np.zeros((len(texts), len(logp)))
-        for j, row in enumerate(logp):
-            running = np.concatenate([[0.0], np.cumsum(row[buckets], dtype=np.float64)])
-            sums[:, j] = (running[bounds[1:]] - running[bounds[:-1]]) / _OVERLAP
-        flat = pa.array(sums.ravel().astype(np.float32))
+        if not len(texts):
+            return pa.array([], pa.list_(pa.float32()))
+        sums, sizes = [], []
+        for part in parts_of(texts.to_pylist()):
+            buckets, bounds = trigrams(part)
+            running = np.zeros((len(logp), len(buckets) + 1))
+            np.cumsum(logp[:, buckets], axis=1, dtype=np.float64, out=running[:, 1:])
+            sums.append((running[:, bounds[1:]] - running[:, bounds[:-1]]).T / _OVERLAP)
+            sizes.append(np.diff(bounds))
+        flat = pa.array(np.concatenate(sums).ravel().astype(np.float32))
         offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * len(logp))
-        empty = pa.array(np.diff(bounds) == 0)
-        return pa.ListArray.from_arrays(offsets, flat, mask=empty) if len(texts) else pa.array([], pa.list_(pa.float32()))
+        return pa.ListArray.from_arrays(offsets, flat, mask=pa.array(np.concatenate(sizes) == 0))
 
     return scores(F.col(text))
 
