@@ -9,7 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.resource import ExecutorResourceRequests, ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 
 def map_batches(
@@ -47,14 +48,25 @@ def map_batches_with(
     return df.mapInArrow(run, schema, profile=profile)
 
 
-def fanout(df: DataFrame, fn: Callable[[], str], column: str = "result") -> DataFrame:
-    """Call a function without arguments once for each row, spread over the tasks."""
+def fanout(
+    df: DataFrame, fn: Callable[..., object], *args: str, column: str = "result", kind: str = "string"
+) -> DataFrame:
+    """Call a function once for each row, spread over the tasks, with the values of columns ``args``.
+
+    ``kind`` is the type of its results. For work that is long for each call; what a column expression
+    or a batch function can say is faster there.
+    """
+    names = df.schema.names
 
-    def call(batch: pa.RecordBatch) -> pa.RecordBatch:
-        results = pa.array([fn() for _ in range(batch.num_rows)], pa.string())
-        return pa.RecordBatch.from_arrays([*batch.columns, results], [*batch.schema.names, column])
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = [batch.column(name).to_pylist() for name in args]
+            results = [fn(*values) for values in (zip(*given, strict=True) if given else [()] * batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(results, wanted)], [*names, column])
 
-    return map_batches(df, call, StructType([*df.schema.fields, StructField(column, StringType())]))
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(f"`{column}` {kind}").fields])
+    wanted = to_arrow_type(schema[column].dataType)
+    return df.mapInArrow(call, schema)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -80,25 +92,21 @@ def gpu_profile(num_gpus: float) -> ResourceProfile | None:
 def vectors(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """A list column as ``[n, width]`` and a mask of the rows that are usable.
 
-    Rows that are NULL, hold a NULL or have another length are left at zero.
+    Rows that are NULL, have another length, or hold a NULL, NaN or infinity are left at zero.
     """
     n = len(column)
     lengths = pc.list_value_length(column)
     if width is None:
         width = int(pc.max(lengths).as_py() or 0)
-    usable = pc.fill_null(pc.equal(lengths, width), False).to_numpy(zero_copy_only=False)
-    kept = column if usable.all() else column.filter(pa.array(usable))
-    flat = kept.flatten()
-    values = flat.to_numpy(zero_copy_only=False).reshape(-1, width)
-    if flat.null_count:
-        holes = flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, width).any(axis=1)
-        values = np.where(holes[:, None], 0, values)
-        usable[np.flatnonzero(usable)[holes]] = False
-        dense = np.zeros((n, width), dtype=values.dtype)
-        dense[pc.fill_null(pc.equal(lengths, width), False).to_numpy(zero_copy_only=False)] = values
-        return dense, usable
-    if usable.all():
-        return values, usable
+    fits = pc.fill_null(pc.equal(lengths, width), False).to_numpy(zero_copy_only=False)
+    kept = column if fits.all() else column.filter(pa.array(fits))
+    # Integers with gaps come as floats with NaN.
+    values = kept.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    finite = np.isfinite(values).all(axis=1)
+    if fits.all() and finite.all():
+        return values, fits
+    usable = fits.copy()
+    usable[fits] = finite
     dense = np.zeros((n, width), dtype=values.dtype)
-    dense[usable] = values
+    dense[usable] = values[finite]
     return dense, usable

@@ -7,19 +7,24 @@ it closes over must be small or a broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+import contextlib
+import os
+import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from typing import Protocol
 
 import numpy as np
-from pyspark import SparkFiles
+from pyspark import SparkFiles, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kilnwork.sources import files
 
-# A model above this size is not broadcast: linear weights are joined instead
-# (``scoring.score_by_join``), and model files are fetched once per executor.
+# A model above this size is not broadcast: linear weights are cut into blocks of
+# classes (``weight_blocks``), and model files are fetched once per executor.
 MAX_BROADCAST_BYTES = 256 << 20
+_OVERHEAD_BYTES = 64 << 10  # names and small parts of a model, besides its weights
 
 # The named image classifiers a caller may ask for.
 IMAGE_MODELS = ("resnet18", "resnet34", "resnet50", "resnet101")
@@ -110,13 +115,14 @@ class ModelRegistry:
             return self._loaders[name]
         if name in self._declared:
             raise ValueError(f"no weights registered for model: {name}")
-        raise ValueError(f"Unsupported model: {name}")
+        raise ValueError(f"{name!r} is none of the declared models")
 
 
 def broadcast_loader(spark: SparkSession, model: Model) -> Loader:
     """Ship a model to the executors once each."""
-    size = sum(part.nbytes for part in vars(model).values() if isinstance(part, np.ndarray))
-    if size > MAX_BROADCAST_BYTES:
+    # What is really sent, whatever the model keeps its weights in.
+    size = len(cloudpickle.dumps(model))
+    if size > MAX_BROADCAST_BYTES + _OVERHEAD_BYTES:
         raise ValueError(f"a model of {size} bytes is too large to broadcast")
     shared = spark.sparkContext.broadcast(model)
     return lambda: shared.value
@@ -129,34 +135,64 @@ def onnx_loader(spark: SparkSession, path: str, store: dict[str, str] | None = N
     if size <= MAX_BROADCAST_BYTES:
         shared = spark.sparkContext.broadcast(bytes(found.select("content").first()[0]))
         return lambda: OnnxModel(shared.value)
-    spark.sparkContext.addFile(path)
-    name = path.rstrip("/").rsplit("/", 1)[-1]
+    # Read with the settings of the store, then handed out by Spark's file server, once for each executor.
+    folder = tempfile.mkdtemp(prefix="kilnwork-model-")
+    name = f"{uuid.uuid4().hex}.onnx"
+    with open(os.path.join(folder, name), "wb") as out:
+        out.write(found.select("content").first()[0])
+    spark.sparkContext.addFile(os.path.join(folder, name))
     return lambda: OnnxModel(SparkFiles.get(name))
 
 
-def gather_weights(weights: DataFrame) -> LinearModel | None:
-    """A ``class_id, pos, weight`` table as a model, or None where it is too large to broadcast.
+@contextlib.contextmanager
+def broadcast_limit(size: int) -> Iterator[None]:
+    """Another limit for weights that are gathered meanwhile, for clusters with small drivers."""
+    global MAX_BROADCAST_BYTES
+    before, MAX_BROADCAST_BYTES = MAX_BROADCAST_BYTES, size
+    try:
+        yield
+    finally:
+        MAX_BROADCAST_BYTES = before
 
-    Position -1 holds the bias of a class.
+
+def weight_blocks(weights: DataFrame) -> Iterator[LinearModel]:
+    """A ``class_id, pos, weight`` table as models of some classes each, whose cells fit a broadcast.
+
+    Position -1 holds the bias of a class. All blocks have the same width. Only one block is on the driver at a time.
     """
-    limit = MAX_BROADCAST_BYTES // 8
-    rows = weights.select("class_id", "pos", "weight").limit(limit + 1).toPandas()
-    if len(rows) > limit:
-        return None
-    if rows.empty:
+    shape = weights.agg(F.max("pos").alias("pos"), F.count(F.lit(1)).alias("cells")).first()
+    if not shape["cells"]:
         raise ValueError("the weight table is empty")
-    ids, index = np.unique(rows["class_id"].to_numpy(), return_inverse=True)
-    pos, values = rows["pos"].to_numpy(), rows["weight"].to_numpy()
-    matrix, bias = np.zeros((len(ids), int(pos.max()) + 1)), np.zeros(len(ids))
-    entry = pos >= 0
-    matrix[index[entry], pos[entry]] = values[entry]
-    bias[index[~entry]] = values[~entry]
-    return LinearModel(matrix, bias, None if np.array_equal(ids, np.arange(len(ids))) else ids)
+    width = max(shape["pos"], -1) + 1
+    size = MAX_BROADCAST_BYTES // (8 * (width + 1))
+    if size < 1:
+        raise ValueError("the weights of one class are too large to broadcast")
+    known = weights.select("class_id").filter("class_id is not null").distinct()
+    last = None
+    while True:
+        ahead = known if last is None else known.filter(F.col("class_id") > last)
+        ids = [r["class_id"] for r in ahead.orderBy("class_id").limit(size).collect()]
+        if not ids:
+            return
+        last = ids[-1]
+        part = weights.filter(F.col("class_id").between(ids[0], last))
+        # A cell that is there twice counts with its sum, so there are no more rows than cells.
+        cells = part.groupBy("class_id", "pos").agg(F.sum("weight").alias("weight")).toArrow()
+        index = np.searchsorted(np.array(ids), cells.column("class_id").to_numpy())
+        pos, values = cells.column("pos").to_numpy(), cells.column("weight").to_numpy()
+        matrix, bias = np.zeros((len(ids), width)), np.zeros(len(ids))
+        entry = pos >= 0
+        matrix[index[entry], pos[entry]] = values[entry]
+        bias[index[~entry]] = values[~entry]
+        yield LinearModel(matrix, bias, np.array(ids))
 
 
 def linear_model(weights: DataFrame) -> LinearModel:
-    """:func:`gather_weights` for callers that have no other way."""
-    model = gather_weights(weights)
-    if model is None:
-        raise ValueError("weights are too large to gather; use scoring.score_linear")
+    """All classes of a ``class_id, pos, weight`` table as one model."""
+    blocks = weight_blocks(weights)
+    model = next(blocks)
+    if next(blocks, None) is not None:
+        raise ValueError("weights are too large for one model; use scoring.score_linear")
+    if np.array_equal(model.class_ids, np.arange(len(model.class_ids))):
+        return replace(model, class_ids=None)
     return model

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.resource import ResourceProfile
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from kilnwork.operators import batches, models
+from kilnwork.session import materialise
 
 TOP_K = 5
 ON_ERROR = ("zero", "null", "fail")
@@ -193,114 +196,97 @@ def score_logits(
     return batches.map_batches_with(df, build, schema, batch_size)
 
 
-def score_by_join(
-    df: DataFrame,
-    weights: DataFrame,
-    *,
-    key: str,
-    features: str,
-    salts: int = 1,
-) -> DataFrame:
-    """Linear scoring as a join with a ``class_id, pos, weight`` table of any size.
-
-    This is the way for weights too large to broadcast. Spark picks the join
-    by the size of the tables: a broadcast for small weights, otherwise a sort-merge
-    join on ``pos``. Every position then holds one value of each row, so
-    ``salts`` spreads a position over that many tasks, at the price of as many
-    copies of the weights. Position -1 holds the bias. ``key`` must be unique.
-    One row per ``key`` and class comes out: ``key, class_id, logit``.
-    """
-    # A leading 1 stands at position -1, so the bias is one more product.
-    inputs = F.concat(F.array(F.lit(1.0)), F.col(features).cast("array<double>"))
-    values = df.select(key, F.posexplode(inputs).alias("pos", "x")).withColumn("pos", F.col("pos") - 1)
-    entries = weights.select("class_id", "pos", "weight")
-    on = ["pos"]
-    if salts > 1:
-        values = values.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-        entries = entries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = ["pos", "salt"]
-    products = values.join(entries, on)
-    return products.groupBy(key, "class_id").agg(F.sum(F.col("x") * F.col("weight")).alias("logit"))
-
-
-def rank_logits(logits: DataFrame, key: str, k: int = TOP_K) -> DataFrame:
-    """Softmax and rank of long-form logits; groups are as large as the number of classes."""
-    whole = Window.partitionBy(key)
-    power = F.exp(F.col("logit") - F.max("logit").over(whole))
-    ranked = logits.withColumn("power", power).withColumn("score", F.col("power") / F.sum("power").over(whole))
-    order = Window.partitionBy(key).orderBy(F.desc("score"), "class_id")
-    return (
-        ranked.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select(key, "rank", "class_id", "score")
-    )
-
-
 def score_linear(
     df: DataFrame,
     weights: DataFrame,
     *,
-    key: str,
     features: str,
     path: str | None = "path",
     keep: Sequence[str] = (),
     batch_size: int = 4096,
     on_error: str = "zero",
-    salts: int = 8,
 ) -> DataFrame:
-    """Score with a ``class_id, pos, weight`` table: by broadcast if its size allows, else by joins.
+    """Score with a ``class_id, pos, weight`` table of any size; returns the columns of :func:`score` after ``keep``.
 
-    Both ways return the columns of :func:`score` after ``key`` and ``keep``.
+    Weights that fit one broadcast take one pass over the rows. Larger ones are cut into blocks of classes; each block
+    passes over the rows in a job of its own and adds to what a row carries: its best logits so far, and the sum for its
+    softmax. No row is moved or needs a key, so repeated and NULL values are scored alike at every size.
     """
-    model = models.gather_weights(weights)
-    if model is not None:
-        loader = models.broadcast_loader(df.sparkSession, model)
-        featurise = vector_features(features, model.weights.shape[1])
-        return score(
-            df, loader, featurise, path=path, keep=[key, *keep], batch_size=batch_size, on_error=on_error
-        )
-    return _score_joined(df, weights, key, features, path, list(keep), on_error, salts)
-
-
-def _score_joined(
-    df: DataFrame,
-    weights: DataFrame,
-    key: str,
-    features: str,
-    path: str | None,
-    keep: list[str],
-    on_error: str,
-    salts: int,
-) -> DataFrame:
+    blocks = models.weight_blocks(weights)
+    first, second = next(blocks), next(blocks, None)
+    spark = df.sparkSession
+    if second is None:
+        loader = models.broadcast_loader(spark, first)
+        featurise = vector_features(features, first.weights.shape[1])
+        return score(df, loader, featurise, path=path, keep=keep, batch_size=batch_size, on_error=on_error)
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    width = weights.agg(F.max("pos")).first()[0] + 1
-    usable = (F.size(features) == width) & ~F.exists(features, F.isnull)
-    message = F.lit(f"unusable features in {features}")
-    failure = F.raise_error(message).cast("string") if on_error == "fail" else message
-    rows = df.withColumn("error", F.when(F.coalesce(usable, F.lit(False)), None).otherwise(failure))
-    readable = F.when(F.col("error").isNull(), F.col(features).cast("array<double>"))
-    inputs = rows.withColumn(features, readable.otherwise(F.array_repeat(F.lit(0.0), width)))
-    ranked = rank_logits(score_by_join(inputs, weights, key=key, features=features, salts=salts), key)
-    # At most TOP_K rows for each key.
-    best = ranked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "class_id", "score"))).alias("top"))
     has_path = path is not None and path in df.columns
-    found = rows.select(
-        key, *keep, "error", (F.col(path) if has_path else F.lit(None).cast("string")).alias("file_path")
-    ).join(best, key)
-    top = F.when(F.col("error").isNull(), F.col("top")) if on_error == "null" else F.col("top")
-    return found.withColumn("top", top).select(
-        key,
-        *keep,
-        F.get("top", F.lit(0))["class_id"].cast("int").alias("predicted_class"),
-        F.get("top", F.lit(0))["score"].alias("confidence_score"),
-        F.col("top.class_id").cast("array<int>").alias("top_5_classes"),
-        F.col("top.score").alias("top_5_scores"),
+    carried = df.select(
+        F.struct(*keep).alias("kept") if keep else F.struct(F.lit(0)).alias("kept"),
+        (F.col(path) if has_path else F.lit(None)).cast("string").alias("file_path"),
+        F.col(features).alias("x"),
+        F.array().cast("array<int>").alias("ids"),
+        F.array().cast("array<double>").alias("logits"),
+        F.lit(-math.inf).alias("peak"),
+        F.lit(0.0).alias("total"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    for block in itertools.chain([first, second], blocks):
+        # Written after every block: only one block of weights is in memory at a time.
+        carried = materialise(_add_block(carried, block, features, batch_size, on_error), "scores")
+    lost = F.col("error").isNotNull() if on_error == "null" else F.lit(False)
+    ids, scores = F.col("ids"), F.transform("logits", lambda v: F.exp(v - F.col("peak")) / F.col("total"))
+    return carried.select(
+        *(F.col("kept")[name].alias(name) for name in keep),
+        F.when(~lost, F.get(ids, F.lit(0))).alias("predicted_class"),
+        F.when(~lost, F.get(scores, F.lit(0))).alias("confidence_score"),
+        F.when(~lost, ids).alias("top_5_classes"),
+        F.when(~lost, scores).alias("top_5_scores"),
         "file_path",
         "error",
     )
 
 
+def _add_block(rows: DataFrame, block: models.LinearModel, features: str, batch_size: int, on_error: str) -> DataFrame:
+    loader = models.broadcast_loader(rows.sparkSession, block)
+    width = block.weights.shape[1]
+
+    def build() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        model = loader()
+        read = vector_features("x", width)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            inputs, messages = read(batch)
+            named = [m and f"unusable features in {features}" for m in messages]
+            if on_error == "fail" and any(named):
+                raise ValueError(next(filter(None, named)))
+            logits = model.logits(inputs)
+            peak, total = batch.column("peak").to_numpy(), batch.column("total").to_numpy()
+            new = np.maximum(peak, logits.max(axis=1))
+            total = total * np.exp(peak - new) + np.exp(logits - new[:, None]).sum(axis=1)
+            # Earlier blocks hold lower classes, so a stable sort keeps the lowest class first on a tie.
+            seen = batch.column("logits").flatten().to_numpy().reshape(len(logits), -1)
+            ids = batch.column("ids").flatten().to_numpy().reshape(len(logits), -1)
+            every = np.concatenate([seen, logits], axis=1)
+            classes = np.concatenate([ids, np.broadcast_to(model.class_ids, logits.shape)], axis=1)
+            top = np.argsort(-every, axis=1, kind="stable")[:, :TOP_K]
+            offsets = pa.array(np.arange(len(logits) + 1, dtype=np.int32) * top.shape[1])
+            columns = {
+                "ids": pa.ListArray.from_arrays(offsets, pa.array(np.take_along_axis(classes, top, 1).ravel().astype(np.int32))),
+                "logits": pa.ListArray.from_arrays(offsets, pa.array(np.take_along_axis(every, top, 1).ravel())),
+                "peak": pa.array(new),
+                "total": pa.array(total),
+                "error": pa.array(named, pa.string()),
+            }
+            names = batch.schema.names
+            return pa.RecordBatch.from_arrays([columns.get(n, batch.column(n)) for n in names], names)
+
+        return run
+
+    return batches.map_batches_with(rows, build, rows.schema, batch_size)
+
+
 def class_means(df: DataFrame, features: str, label: str) -> DataFrame:
     """Mean vector of each label as ``class_id, pos, weight``, the simplest linear model.
 

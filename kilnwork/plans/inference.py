@@ -35,9 +35,8 @@ def _scored(spark: SparkSession, sf_dir: str, *keep: str, rows: DataFrame | None
     return scoring.score_linear(
         with_path(rows).select("vec_id", "path", "embedding", *keep),
         mean_weights(spark, sf_dir),
-        key="vec_id",
         features="embedding",
-        keep=keep,
+        keep=["vec_id", *keep],
     )
 
 
@@ -61,9 +60,21 @@ def batch_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = samples(spark, sf_dir)
     weights = mean_weights(spark, sf_dir)
-    logits = scoring.score_by_join(rows, weights, key="vec_id", features="embedding", salts=4)
-    ranked = scoring.rank_logits(logits, "vec_id")
-    return ranked.withColumn("score", F.round("score", 4)).withColumnRenamed("rank", "position")
+    scored = scoring.score_linear(rows, weights, features="embedding", path=None, keep=["vec_id"])
+    ranked = scored.select("vec_id", F.posexplode(F.arrays_zip("top_5_classes", "top_5_scores")).alias("at", "top"))
+    return ranked.select(
+        "vec_id",
+        (F.col("at") + 1).alias("position"),
+        F.col("top.top_5_classes").alias("class_id"),
+        F.round("top.top_5_scores", 4).alias("score"),
+    )
+
+
+def score_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores where the weights of only three classes fit a broadcast."""
+    width = samples(spark, sf_dir).select(F.size("embedding").alias("d")).first()["d"]
+    with models.broadcast_limit(3 * 8 * (width + 1)):
+        return batch_inference(spark, sf_dir)
 
 
 def softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,12 +219,13 @@ def etl_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(sizes.schema).parquet(path)
 
 
-def hello() -> str:
-    return "hello world"
+def greeting(role: str, turn: int) -> str:
+    return f"hello {role} {turn}"
 
 
 def fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches.fanout(table(spark, sf_dir, "conversations").select("conv_id", "turn"), hello)
+    turns = table(spark, sf_dir, "conversations")
+    return batches.fanout(turns, greeting, "role", "turn").select("conv_id", "turn", "result")
 
 
 def image_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,6 +289,7 @@ def _epoch(name: str, key: str, cap: int):
 QUERIES = {
     "batch_inference": batch_inference,
     "score_sql": score_sql,
+    "score_blocks": score_blocks,
     "softmax": softmax,
     "top5": top5,
     "argmax_conf": argmax_conf,
@@ -390,6 +403,7 @@ ORACLES = {
     "sink_parquet_roundtrip": PREDICTIONS_SQL,
     "sink_json_roundtrip": PREDICTIONS_SQL,
     "sink_csv_roundtrip": PREDICTIONS_SQL,
+    "score_blocks": PREDICTIONS_SQL,
     "score_sql": f"""
         WITH {_LOGITS}, {_BY_VEC}
         SELECT vec_id, position::INT AS position, class_id, round(score, 4) AS score FROM r WHERE position <= 5
@@ -449,7 +463,7 @@ ORACLES = {
     "etl_map": """
         SELECT doc_id, length(text)::INT AS characters, octet_length(encode(text))::INT AS utf8_bytes FROM documents
     """,
-    "fanout": "SELECT conv_id, turn, 'hello world' AS result FROM conversations",
+    "fanout": "SELECT conv_id, turn, 'hello ' || role || ' ' || turn AS result FROM conversations",
     "split_train_test": "SELECT vec_id, label, left(md5('split-' || vec_id), 8) < '33333333' AS is_test FROM embeddings",
     "epoch_sample": _epoch_sql("embeddings", "vec_id", 576),
     "epoch_sample_test_pass": _epoch_sql("documents", "doc_id", 320),

@@ -120,7 +120,7 @@ def test_onnx_inference_over_a_tree(spark, tmp_path):
     assert got["error"] is None and by_name["d.bmp"]["top_5_classes"] == got["top_5_classes"]
     assert "not a readable image" in by_name["broken.jpg"]["error"]
     assert np.isclose(by_name["broken.jpg"]["confidence_score"], 0.1)
-    with pytest.raises(ValueError, match="Unsupported model"):
+    with pytest.raises(ValueError, match="none of the declared models"):
         predict.predict_images(spark, str(photos), registry, "vgg")
 
 

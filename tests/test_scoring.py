@@ -100,7 +100,7 @@ def test_models_load_once_per_task(spark):
     assert loads.value == 2
 
 
-def test_joined_scoring_matches_broadcast(spark):
+def test_linear_scoring_matches_the_model(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(50, 2))
     df = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
@@ -110,17 +110,11 @@ def test_joined_scoring_matches_broadcast(spark):
     model = models.linear_model(weights)
     assert np.array_equal(model.weights, WEIGHTS) and np.array_equal(model.bias, bias)
     want = model.logits(x)
-    for salts in (1, 4):
-        for threshold in ("10485760", "-1"):
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-            got = scoring.score_by_join(df, weights, key="id", features="x", salts=salts).collect()
-            assert len(got) == 300
-            assert all(np.isclose(r["logit"], want[r["id"], r["class_id"]]) for r in got)
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    ranked = scoring.rank_logits(scoring.score_by_join(df, weights, key="id", features="x"), "id").collect()
+    got = {r["id"]: r for r in scoring.score_linear(df, weights, features="x", keep=["id"]).collect()}
     probs = scoring.probabilities(want)
-    assert len(ranked) == 250
-    assert all(np.isclose(r["score"], np.sort(probs[r["id"]])[-r["rank"]]) for r in ranked)
+    assert len(got) == 50
+    for i, row in got.items():
+        assert np.allclose(row["top_5_scores"], np.sort(probs[i])[::-1][:5])
 
 
 def test_class_means(spark):
@@ -132,33 +126,36 @@ def test_class_means(spark):
 CELLS = [(k, p, float(WEIGHTS[k, p])) for k in range(6) for p in range(2)]
 
 
-def test_large_weights_are_joined_with_the_same_results(spark, monkeypatch):
+def test_weights_in_blocks_give_the_same_rows(spark, monkeypatch):
     cells = CELLS + [(k, -1, k / 10) for k in range(6)]
     weights = spark.createDataFrame(cells, "class_id int, pos int, weight double")
-    df = frame(spark, BROKEN + [(6, [0.5, -3.0], "f")]).withColumn("extra", F.col("id") * 2)
-    options = dict(key="id", features="x", keep=["extra"])
+    odd = [(7, [float("nan"), 1.0], "g"), (8, [float("inf"), 1.0], "h"), (1, [0.5, 0.25], "a"), (None, [2.0, 1.0], "n")]
+    df = frame(spark, [*BROKEN, (6, [0.5, -3.0], "f"), *odd]).withColumn("extra", F.col("id") * 2)
 
     def run_all():
-        return [
-            {r["id"]: r for r in scoring.score_linear(df, weights, on_error=mode, **options).collect()}
-            for mode in ("zero", "null")
-        ]
-
-    broadcast = run_all()
-    monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8 * 5)
-    joined = run_all()
-    for one, other in zip(broadcast, joined):
-        assert one.keys() == other.keys() == {1, 2, 3, 4, 5, 6}
-        for i in one:
-            a, b = one[i].asDict(), other[i].asDict()
-            assert list(a) == list(b)
-            scores = a.pop("top_5_scores"), b.pop("top_5_scores")
-            assert (scores[0] is scores[1] is None) or np.allclose(*scores)
-            sure = a.pop("confidence_score"), b.pop("confidence_score")
-            assert sure[0] is sure[1] is None or np.isclose(*sure)
-            assert a == b
+        found = []
+        for mode in ("zero", "null"):
+            rows = scoring.score_linear(df, weights, features="x", keep=["id", "extra"], on_error=mode).collect()
+            found.append(sorted(rows, key=lambda r: (str(r["id"]), str(r["confidence_score"]))))
+        return found
+
+    one_block = run_all()
+    for classes in (1, 2, 4):
+        monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8 * 3 * classes)
+        for want, got in zip(one_block, run_all(), strict=True):
+            assert len(want) == len(got) == 10
+            for a, b in zip(want, got, strict=True):
+                for name in ("id", "extra", "predicted_class", "top_5_classes", "file_path", "error"):
+                    assert a[name] == b[name]
+                if a["top_5_scores"] is not None:
+                    assert np.allclose(a["top_5_scores"], b["top_5_scores"]) and np.isclose(a["confidence_score"], b["confidence_score"])
+    broken = {r["file_path"] for r in one_block[0] if r["error"]}
+    assert broken == {"b", "c", "d", "g", "h"}
     with pytest.raises(Exception, match="unusable features"):
-        scoring.score_linear(df, weights, on_error="fail", **options).collect()
+        scoring.score_linear(df, weights, features="x", on_error="fail").collect()
+    monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8)
+    with pytest.raises(ValueError, match="one class"):
+        scoring.score_linear(df, weights, features="x")
 
 
 def test_classes_with_gaps(spark, monkeypatch):
@@ -166,31 +163,34 @@ def test_classes_with_gaps(spark, monkeypatch):
     df = frame(spark, [(1, [2.0, 1.0], "p"), (2, [1.0, 2.0], "q"), (3, [1.0, 1.0], "r")])
 
     def top():
-        return {r["id"]: r["top_5_classes"] for r in scoring.score_linear(df, weights, key="id", features="x").collect()}
+        return {r["id"]: r["top_5_classes"] for r in scoring.score_linear(df, weights, features="x", keep=["id"]).collect()}
 
     want = {1: [3, 7], 2: [7, 3], 3: [3, 7]}
     assert top() == want
     model = models.linear_model(weights)
     logits = scoring.score_logits(df, lambda: model, scoring.vector_features("x", 2), keep=["id"]).filter("id = 1").first()["logits"]
     assert logits[3] == 2.0 and logits[7] == 1.0 and logits[0] == -np.inf and len(logits) == 8
-    monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8)
+    monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8 * 3)
     assert top() == want
 
 
 def test_weights_are_checked_for_size(spark, monkeypatch):
     weights = spark.createDataFrame(CELLS, "class_id int, pos int, weight double")
-    assert np.array_equal(models.gather_weights(weights).weights, WEIGHTS)
+    assert np.array_equal(models.linear_model(weights).weights, WEIGHTS)
     monkeypatch.setattr(models, "MAX_BROADCAST_BYTES", 8 * 11)
-    assert models.gather_weights(weights) is None
     with pytest.raises(ValueError, match="too large"):
         models.linear_model(weights)
     with pytest.raises(ValueError, match="empty"):
-        models.gather_weights(weights.limit(0))
+        models.linear_model(weights.limit(0))
+    listed = type("Listed", (), {"logits": None})()
+    listed.cells = [0.5] * 100_000
+    with pytest.raises(ValueError, match="too large to broadcast"):
+        models.broadcast_loader(spark, listed)
 
 
 def test_registry_checks_names_on_the_driver():
     registry = models.ModelRegistry()
-    with pytest.raises(ValueError, match="Unsupported model: other"):
+    with pytest.raises(ValueError, match="'other' is none of the declared models"):
         registry.loader("other")
     with pytest.raises(ValueError, match="no weights registered"):
         registry.loader("resnet18")
@@ -228,6 +228,8 @@ def test_map_batches_and_fanout(spark):
         range(0, 20, 2)
     )
     assert {r["result"] for r in batches.fanout(spark.range(5), lambda: "hi").collect()} == {"hi"}
+    squares = batches.fanout(spark.range(5), lambda i: i * i, "id", column="square", kind="bigint")
+    assert {(r["id"], r["square"]) for r in squares.collect()} == {(i, i * i) for i in range(5)}
     df = spark.range(3)
     batches.fanout(df, lambda: "hi")
     assert df.columns == ["id"]
