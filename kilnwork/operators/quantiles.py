@@ -25,6 +25,8 @@ class _Search:
     fraction: float
 
     def value(self, first: float, second: float) -> float:
+        if not self.fraction or first == second:
+            return first
         return first + (second - first) * self.fraction
 
 
@@ -90,11 +92,18 @@ def _inside(rows: DataFrame, searches: dict[int, _Search]) -> DataFrame:
 
 def _narrow(rows: DataFrame, active: dict[int, _Search], done: dict[int, float]) -> None:
     """Shrink each bracket to the bucket of its rank, or finish where two buckets hold the two ranks."""
-    if not all(math.isfinite(s.high - s.low) for s in active.values()):
-        raise ValueError("values span more than a double can hold")
+    # Halves don't overflow. Infinite ends have buckets of their own, so the next pass lies between finite ends.
     # Subtraction, division and multiplication are monotone, so buckets keep the order of the
     # values; the lowest and the highest value never share one, so every pass gets closer.
-    bucket = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (_BUCKETS - 1))
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    halves = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    share = F.when(hi - lo == math.inf, halves).otherwise((v - lo) / (hi - lo))
+    finite = F.when(F.col("v") == -math.inf, -1.0).when(F.col("v") == math.inf, float(_BUCKETS))
+    wide = F.abs(F.col("lo")) == math.inf, F.abs(F.col("hi")) == math.inf
+    # With an infinite end the finite values are told apart by sign and binary exponent for this pass.
+    size = F.signum("v") * (F.log2(F.abs("v")) + 1080)
+    rough = F.floor(F.coalesce((F.when(F.col("v") == 0, 0.0).otherwise(size) / 2200 + 1) / 2, F.lit(0.5)) * (_BUCKETS - 1))
+    bucket = finite.when(wide[0] | wide[1], rough.cast("double")).otherwise(F.floor(share * (_BUCKETS - 1)).cast("double"))
     counts = (
         _inside(rows, active)
         .groupBy("g", bucket.alias("bucket"))

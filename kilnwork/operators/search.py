@@ -6,10 +6,9 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kilnwork.functions import draws
 from kilnwork.operators import batches, sampling, training
@@ -32,12 +31,12 @@ HALVING_HORIZON = 100
 MAX_TRIALS = 10_000
 MAX_STATE_BYTES = 4 << 30
 
-METRIC_SCHEMA = T.StructType(
+METRIC_SCHEMA = pa.schema(
     [
-        T.StructField("trial_id", T.LongType()),
-        T.StructField("training_iteration", T.IntegerType()),
-        T.StructField("mean_accuracy", T.DoubleType()),
-        T.StructField("error", T.StringType()),
+        ("trial_id", pa.int64()),
+        ("training_iteration", pa.int32()),
+        ("mean_accuracy", pa.float64()),
+        ("error", pa.string()),
     ]
 )
 
@@ -61,6 +60,11 @@ def param_space(spark: SparkSession, num_trials: int = NUM_TRIALS) -> DataFrame:
     return draw_params(spark.range(num_trials).withColumnRenamed("id", "trial_id"))
 
 
+def is_finite(metric: Column) -> Column:
+    """Neither NULL nor NaN nor infinite: only such reports are compared, kept or counted as reached."""
+    return metric.isNotNull() & ~F.isnan(metric) & (F.abs(metric) != float("inf"))
+
+
 def report_metrics(outcomes: DataFrame, correct: str, total: str) -> DataFrame:
     """Accuracy per trial and iteration from partial counts of any granularity."""
     return outcomes.groupBy("trial_id", "training_iteration").agg(
@@ -97,7 +101,7 @@ def halving_rungs(
     known = cuts or {0: 0.0}
     table = F.create_map(*[x for level, cut in known.items() for x in (F.lit(level), F.lit(cut))])
     return rungs.withColumn("cut", F.try_element_at(table, F.col("training_iteration").cast("int"))).withColumn(
-        "keep", F.col("mean_accuracy") >= F.col("cut")
+        "keep", F.coalesce(is_finite(F.col("mean_accuracy")) & (F.col("mean_accuracy") >= F.col("cut")), F.lit(False))
     )
 
 
@@ -114,7 +118,8 @@ def until_stopped(
     metrics: DataFrame, target: float = TARGET_ACCURACY, max_iterations: int = MAX_ITERATIONS
 ) -> DataFrame:
     """Rows of each trial up to the first that meets a stop criterion."""
-    met = (F.col("mean_accuracy") >= target) | (F.col("training_iteration") >= max_iterations)
+    reached = is_finite(F.col("mean_accuracy")) & (F.col("mean_accuracy") >= target)
+    met = reached | (F.col("training_iteration") >= max_iterations)
     # Grouped with map-side combine, then joined back: a trial with very many rows
     # is neither sorted in one task nor held as a window.
     stops = metrics.groupBy("trial_id").agg(F.min(F.when(met, F.col("training_iteration"))).alias("stop_iteration"))
@@ -125,16 +130,15 @@ def until_stopped(
 def best_trial(metrics: DataFrame, params: DataFrame, scope: str = "last") -> DataFrame:
     """The trial with the highest accuracy, the lowest id on a tie, with its parameters.
 
-    ``scope="last"`` compares the last report of each trial, ``"all"`` every report.
+    ``scope="last"`` compares the last report of each trial (the highest of repeated ones), ``"all"`` every report.
+    Reports that are not finite are left out.
     """
     if scope not in ("last", "all"):
         raise ValueError("scope must be 'last' or 'all'")
-    rows = metrics
+    rows = metrics.filter(is_finite(F.col("mean_accuracy")))
     if scope == "last":
-        rows = metrics.groupBy("trial_id").agg(
-            F.max_by("mean_accuracy", "training_iteration").alias("mean_accuracy"),
-            F.max("training_iteration").alias("training_iteration"),
-        )
+        last = F.max(F.struct("training_iteration", "mean_accuracy")).alias("last")
+        rows = rows.groupBy("trial_id").agg(last).select("trial_id", "last.*")
     rank = F.struct("mean_accuracy", -F.col("trial_id"), -F.col("training_iteration"))
     best = rows.agg(F.max_by(F.struct("trial_id", "training_iteration", "mean_accuracy"), rank).alias("best"))
     return best.select("best.*").join(params, "trial_id")
@@ -149,17 +153,19 @@ def trial_errors(trials: DataFrame) -> DataFrame:
 @dataclass
 class SearchResult:
     spark: SparkSession
-    trials: pd.DataFrame
+    trials: pa.Table
     reports: list[tuple[int, int, float, str | None]] = field(default_factory=list)
     params: dict[int, np.ndarray] = field(default_factory=dict)
 
     @property
     def metrics(self) -> DataFrame:
-        return self.spark.createDataFrame([Row(*r) for r in self.reports], METRIC_SCHEMA)
+        columns = list(zip(*self.reports, strict=True)) or [[]] * len(METRIC_SCHEMA)
+        arrays = [pa.array(list(c), kind.type) for c, kind in zip(columns, METRIC_SCHEMA, strict=True)]
+        return self.spark.createDataFrame(pa.Table.from_arrays(arrays, schema=METRIC_SCHEMA))
 
     @property
     def param_table(self) -> DataFrame:
-        return self.spark.createDataFrame(self.trials, "trial_id long, lr double, momentum double")
+        return self.spark.createDataFrame(self.trials)
 
     @property
     def best(self) -> DataFrame:
@@ -208,14 +214,14 @@ def run_search(
     if mode not in ("full", "minibatch"):
         raise ValueError("mode must be 'full' or 'minibatch'")
     spark = samples.sparkSession
-    table = trials.select("trial_id", "lr", "momentum").orderBy("trial_id").limit(MAX_TRIALS + 1).toPandas()
+    table = trials.select("trial_id", "lr", "momentum").orderBy("trial_id").limit(MAX_TRIALS + 1).toArrow()
     if len(table) > MAX_TRIALS:
         raise ValueError(f"at most {MAX_TRIALS} trials in one search")
     if 16 * len(table) * trainable.n_params > MAX_STATE_BYTES:
         raise ValueError("the parameters of all trials are too large for the driver")
     result = SearchResult(spark, table)
-    ids = table["trial_id"].to_numpy(np.int64)
-    lr, momentum = table["lr"].to_numpy(float), table["momentum"].to_numpy(float)
+    ids = table.column("trial_id").to_numpy().astype(np.int64)
+    lr, momentum = (table.column(name).to_numpy().astype(float) for name in ("lr", "momentum"))
     params = trainable.initial(ids)
     velocity = np.zeros_like(params)
     live = np.ones(len(ids), dtype=bool)
@@ -224,8 +230,12 @@ def run_search(
         state = checkpoints.latest(spark, checkpoint_path)
         if state is not None:
             iteration = state.iteration
+            if sorted(state.trial_ids.tolist()) != sorted(ids.tolist()):
+                raise ValueError("the checkpoint holds other trials than the search")
             index = {int(t): i for i, t in enumerate(ids)}
             at = np.array([index[int(t)] for t in state.trial_ids])
+            if not np.array_equal(np.stack([state.lr, state.momentum]), np.stack([lr[at], momentum[at]])):
+                raise ValueError("the checkpoint's trials have other parameters than the search")
             params[at], velocity[at], live[at] = state.params, state.velocity, state.live
             result.reports = [r for r in state.reports]
     rungs = set(rung_levels(grace, reduction, horizon)) if horizon else set()
@@ -235,7 +245,8 @@ def run_search(
     if mode == "minibatch":
         totals.update({r["is_test"]: r["count"] for r in rows.groupBy("is_test").count().collect()})
 
-    while live.any():
+    end = max_iterations if horizon is None else min(max_iterations, horizon)
+    while live.any() and iteration < end:
         now = np.flatnonzero(live)
         errors: dict[int, str] = {}
         if mode == "full":
@@ -245,8 +256,7 @@ def run_search(
                 params[now], velocity[now], gradient, lr[now], momentum[now]
             )
             iteration += 1
-            last = iteration >= max_iterations or (horizon is not None and iteration >= horizon)
-            tested = rows.filter("is_test") if last else rows
+            tested = rows.filter("is_test") if iteration >= end else rows
             gradient, accuracy = _full_pass(tested, trainable, params[now], features, label, max_tasks)
         else:
             iteration += 1
@@ -265,20 +275,22 @@ def run_search(
             error = errors.get(slot)
             if error is None and not (np.isfinite(value) and np.isfinite(params[i]).all()):
                 error = "parameters or accuracy are not finite"
-            result.reports.append((int(ids[i]), iteration, float(value), error))
-            stop = error is not None or value >= target or iteration >= max_iterations
-            if not stop and not (horizon and iteration >= horizon):
+            result.reports.append((int(ids[i]), iteration, float(value) if np.isfinite(value) else None, error))
+            if error is None and value < target:
                 going.append((int(i), float(value)))
         kept = {i for i, _ in going}
         if iteration in rungs:
             reached = [(int(i), float(v)) for i, v in zip(now, accuracy)]
             kept &= survivors(reached, reduction)
         live[:] = False
+        # Trials that only the limit or the horizon ends stay live in the checkpoint, so that a search can
+        # be resumed with a higher one.
         live[sorted(kept)] = True
         if gradient is not None:
             gradient = gradient[np.isin(now, sorted(kept))]
         if checkpoint_path:
-            checkpoints.write(spark, checkpoint_path, iteration, ids, params, velocity, live, result.reports)
+            now_reported = result.reports[-len(now) :]
+            checkpoints.write(spark, checkpoint_path, iteration, ids, lr, momentum, params, velocity, live, now_reported)
     result.params = {int(t): p for t, p in zip(ids, params)}
     return result
 
@@ -337,31 +349,32 @@ def _minibatch_pass(
     for start in range(0, len(params), block):
         rows = slice(start, start + block)
         state = spark.sparkContext.broadcast((params[rows], velocity[rows], lr[rows], momentum[rows], train, test))
-        part = _train_block(spark, trainable, state, len(params[rows]), batch_size)
-        parts.append(part.assign(slot=part["slot"] + start))
+        parts.append(_train_block(spark, trainable, state, len(params[rows]), batch_size))
         state.destroy()
-    done = pd.concat(parts)
-    errors = {int(s): e for s, e in zip(done["slot"], done["error"]) if isinstance(e, str)}
-    return np.stack(done["w"]), np.stack(done["v"]), done["accuracy"].to_numpy(float), errors
+    done = pa.concat_tables(parts)
+    errors = {i: e for i, e in enumerate(done.column("error").to_pylist()) if e is not None}
+    w, v = (done.column(n).combine_chunks().flatten().to_numpy().reshape(len(done), -1) for n in ("w", "v"))
+    return w, v, done.column("accuracy").to_numpy(), errors
 
 
 def _train_block(
     spark: SparkSession, trainable: training.Trainable, state: Broadcast, trials: int, batch_size: int
-) -> pd.DataFrame:
-    """``slot, w, v, accuracy, error`` of each trial of a block, trained in parallel tasks."""
+) -> pa.Table:
+    """``slot, w, v, accuracy, error`` of each trial of a block in their order, trained in parallel tasks."""
     slots = spark.range(trials, numPartitions=min(trials, 4 * spark.sparkContext.defaultParallelism))
 
-    def run(stream: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         params, velocity, rates, momenta, (x, y), (test_x, test_y) = state.value
-        for frame in stream:
-            for slot in frame["id"]:
+        for batch in stream:
+            for slot in batch.column("id").to_pylist():
                 w, v, accuracy, error = params[slot], velocity[slot], float("nan"), None
                 try:
                     w, v = training.minibatch_epoch(trainable, w, v, x, y, rates[slot], momenta[slot], batch_size)
                     accuracy = float(trainable.correct(w[None], test_x, test_y)[0]) / len(test_x)
                 except Exception as e:  # a failing trial must not end the others
                     error = f"{type(e).__name__}: {e}"
-                yield pd.DataFrame({"slot": [slot], "w": [w], "v": [v], "accuracy": [accuracy], "error": [error]})
+                done = {"slot": [slot], "w": [w], "v": [v], "accuracy": [accuracy], "error": pa.array([error], pa.string())}
+                yield pa.RecordBatch.from_pydict(done)
 
     schema = "slot long, w array<double>, v array<double>, accuracy double, error string"
-    return slots.mapInPandas(run, schema).toPandas().sort_values("slot")
+    return slots.mapInArrow(run, schema).toArrow().sort_by("slot")

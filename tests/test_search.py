@@ -153,3 +153,32 @@ def test_conv_training_learns(spark):
     )
     best = result.best.first()
     assert best["trial_id"] == 0 and best["mean_accuracy"] > 0.9
+
+
+def test_quantiles_of_groups_with_infinities_are_the_same_at_any_size(spark):
+    inf = float("inf")
+    groups = {
+        1: [float(i) for i in range(20)] + [inf] * 3,
+        2: [-inf, -inf, 1e308, -1e308, 0.0, 5e-324, 1.0, 2.0, inf],
+        3: [inf, inf],
+        4: [-1.5e308, 1.5e308, 0.25],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g long, v double")
+    for q in (0.0, 0.25, 0.5, 0.75, 1.0):
+        sorted_in_one = quantiles.quantile_by_group(df, "g", "v", q, list(groups))
+        narrowed = quantiles.quantile_by_group(df, "g", "v", q, list(groups), sort_limit=0)
+        assert repr(sorted_in_one) == repr(dict(sorted(narrowed.items(), key=lambda x: list(sorted_in_one).index(x[0]))))
+
+
+def test_reports_that_are_not_finite_never_win(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, 1, 0.5), (2, 1, nan), (3, 1, None), (4, 1, inf), (5, 1, 0.7), (5, 1, 0.6)]
+    metrics = spark.createDataFrame(rows, "trial_id long, training_iteration int, mean_accuracy double")
+    params = spark.createDataFrame([(i, 0.1, 0.2) for i in range(1, 6)], "trial_id long, lr double, momentum double")
+    for scope in ("last", "all"):
+        best = search.best_trial(metrics, params, scope).first()
+        assert (best["trial_id"], best["mean_accuracy"]) == (5, 0.7)
+    kept = {(r["trial_id"], r["mean_accuracy"]): r["keep"] for r in search.halving_rungs(metrics.filter("trial_id <> 4")).collect()}
+    assert not any(k for (t, _), k in kept.items() if t in (2, 3)) and kept[5, 0.7]
+    stopped = search.until_stopped(metrics, target=0.65).collect()
+    assert {r["trial_id"] for r in stopped if r["stop_iteration"] == 1} == {5}

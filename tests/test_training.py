@@ -208,8 +208,11 @@ def test_checkpoints_and_resume(spark, tmp_path):
     search.run_search(df, trials, trainable, max_iterations=2, checkpoint_path=path, **options)
     state = checkpoints.latest(spark, path)
     assert state.iteration == 2 and state.params.shape == (3, 18)
-    # The first run ended at its limit, so its trials are marked as done; go on with a copy that is not.
-    checkpoints.write(spark, path, 2, state.trial_ids, state.params, state.velocity, np.array([True] * 3), state.reports)
+    changed = trials_table(spark, [0.02, 0.1, 0.5], [0.2, 0.9, 0.5])
+    with pytest.raises(ValueError, match="other parameters"):
+        search.run_search(df, changed, trainable, max_iterations=4, checkpoint_path=path, resume=True, **options)
+    with pytest.raises(ValueError, match="other trials"):
+        search.run_search(df, changed.limit(2), trainable, max_iterations=4, checkpoint_path=path, resume=True, **options)
     rest = search.run_search(df, trials, trainable, max_iterations=4, checkpoint_path=path, resume=True, **options)
     assert [r[:2] for r in rest.reports] == [r[:2] for r in whole.reports]
     assert np.allclose([r[2] for r in rest.reports], [r[2] for r in whole.reports])
