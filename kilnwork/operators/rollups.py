@@ -83,8 +83,8 @@ def tumbling(samples: DataFrame, every: str = SCRAPE_INTERVAL) -> DataFrame:
 
 
 def target_up(samples: DataFrame, target: str) -> DataFrame:
-    """``UP`` or ``DOWN`` by the last sample of each target; 0 is down."""
-    last = F.max_by("value", "ts")
+    """``UP`` or ``DOWN`` by the last sample of each target; 0 is down. Of samples at one instant the highest counts."""
+    last = F.max(F.struct("ts", "value"))["value"]
     return samples.groupBy(target).agg(
         F.when(last == 0, "DOWN").otherwise("UP").alias("state"), F.max("ts").alias("last_seen")
     )

@@ -53,7 +53,8 @@ def metric_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    is_user = F.col("event_type").isin(*_USER_TYPES)
+    # An event without a type is no user's.
+    is_user = F.coalesce(F.col("event_type").isin(*_USER_TYPES), F.lit(False))
     return rollups.union_metrics({"users": events.filter(is_user), "system": events.filter(~is_user)})
 
 
@@ -210,7 +211,7 @@ ORACLES = {
         WHERE w + INTERVAL 15 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
     """,
     "target_up": f"""
-        SELECT user_id, CASE WHEN arg_max(event_type, ts) = 'error' THEN 'DOWN' ELSE 'UP' END AS state,
+        SELECT user_id, CASE WHEN arg_max(event_type, (ts, event_type <> 'error')) = 'error' THEN 'DOWN' ELSE 'UP' END AS state,
                {_TS.format('max(ts)')} AS last_seen
         FROM events GROUP BY 1
     """,

@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+
+_FORMATS = {".csv": "csv", ".json": "json"}
+# Spaces, empty strings, NULLs, quotes and line breaks all come back as they were written.
+_CSV = {
+    "header": "true",
+    "escape": '"',
+    "emptyValue": '""',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def output_format(path: str) -> str:
     """``.json`` and ``.csv`` paths name their format, every other path means Parquet."""
-    if path.endswith(".parquet") or path.endswith("/"):
-        return "parquet"
-    if path.endswith(".json"):
-        return "json"
-    if path.endswith(".csv"):
-        return "csv"
-    return "parquet"
+    return next((name for suffix, name in _FORMATS.items() if path.endswith(suffix)), "parquet")
 
 
 def write_predictions(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write ``df``; the result is a folder of part files, also for ``x.json`` and ``x.csv``."""
     fmt = output_format(path)
     if fmt == "csv":
-        df = _arrays_as_json(df)
+        df = _as_text(df)
     writer = df.write.mode(mode)
     if fmt == "csv":
-        # The defaults escape quotes with a backslash; doubled quotes are the common form.
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(**_CSV)
     writer.format(fmt).save(path)
 
 
@@ -36,17 +41,41 @@ def read_predictions(spark: SparkSession, path: str, schema: T.StructType) -> Da
     flat = T.StructType(
         [T.StructField(f.name, T.StringType() if _nested(f.dataType) else f.dataType) for f in schema]
     )
-    rows = spark.read.schema(flat).option("header", True).option("escape", '"').csv(path)
-    return rows.select(
-        [F.from_json(f.name, f.dataType).alias(f.name) if _nested(f.dataType) else F.col(f.name) for f in schema]
-    )
+    rows = spark.read.schema(flat).options(**_CSV).csv(path)
+    return rows.select([_restored(f).alias(f.name) for f in schema])
+
+
+def _restored(field: T.StructField) -> Column:
+    if _nested(field.dataType):
+        return F.from_json(field.name, field.dataType)
+    return _unescaped(F.col(field.name)) if isinstance(field.dataType, T.StringType) else F.col(field.name)
+
+
+# Every backslash of a written text begins one of these, so they can be undone one after the other.
+_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _escaped(text: Column) -> Column:
+    """Line breaks as escapes: a row is one line, so that files can be split, and no text looks like NULL."""
+    for plain, sign in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(sign))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    for plain, sign in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(sign), F.lit(plain))
+    return text
 
 
 def _nested(kind: T.DataType) -> bool:
     return isinstance(kind, (T.ArrayType, T.MapType, T.StructType))
 
 
-def _arrays_as_json(df: DataFrame) -> DataFrame:
-    return df.select(
-        [F.to_json(f.name).alias(f.name) if _nested(f.dataType) else F.col(f.name) for f in df.schema]
-    )
+def _as_text(df: DataFrame) -> DataFrame:
+    def flat(field: T.StructField) -> Column:
+        if _nested(field.dataType):
+            return F.to_json(field.name)
+        return _escaped(F.col(field.name)) if isinstance(field.dataType, T.StringType) else F.col(field.name)
+
+    return df.select([flat(f).alias(f.name) for f in df.schema])
