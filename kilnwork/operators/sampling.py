@@ -66,3 +66,21 @@ def epoch_sample(
     # One window over a sample of at most ``rows_within_cap`` rows.
     position = F.row_number().over(Window.orderBy("sample_order", key)) - 1
     return sample.withColumn("batch_index", F.floor(position / batch_size).cast("int")).drop("sample_order")
+
+
+def samples_of_iterations(df: DataFrame, key: str, wanted: dict[str, int], total: int) -> DataFrame:
+    """For each seed of ``wanted`` a part of ``df`` that almost surely holds its first rows in hash order, in one scan.
+
+    Each row comes once for every ``seed`` whose hash bound it passes, with that seed's ``sample_order``; about the
+    wanted numbers of rows in all, however large the table is.
+    """
+    hits = []
+    for seed, n in wanted.items():
+        order = draws.hash_order(F.col(key), seed)
+        enough = n + 10 * math.sqrt(n) + 50
+        near = F.lit(True)
+        if total > 4 * enough:
+            near = F.substring(order, 1, 8) < f"{int(enough / total * (1 << 32)):08x}"
+        hits.append(F.when(near, F.struct(F.lit(seed).alias("seed"), order.alias("sample_order"))))
+    picked = df.withColumn("_hit", F.explode(F.array_compact(F.array(*hits))))
+    return picked.select("*", "_hit.*").drop("_hit")

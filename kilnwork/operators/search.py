@@ -14,6 +14,7 @@ from kilnwork.functions import draws
 from kilnwork.operators import batches, sampling, training
 from kilnwork.operators.models import MAX_BROADCAST_BYTES
 from kilnwork.operators.quantiles import quantile_by_group
+from kilnwork.session import scratch_path
 from kilnwork.sinks import checkpoints
 
 # Fixed values of the search: draw ranges, number of trials, stop criteria.
@@ -29,6 +30,8 @@ HALVING_HORIZON = 100
 
 # The driver holds parameters and velocity of every trial.
 MAX_TRIALS = 10_000
+# Iterations whose mini-batch samples one scan draws.
+SAMPLE_BLOCK = 50
 MAX_STATE_BYTES = 4 << 30
 
 METRIC_SCHEMA = pa.schema(
@@ -241,6 +244,7 @@ def run_search(
     rungs = set(rung_levels(grace, reduction, horizon)) if horizon else set()
     rows = samples.select(key, features, label, "is_test")
     gradient = None
+    ahead: dict[tuple[int, str], DataFrame] = {}
     totals = {False: 0, True: 0}
     if mode == "minibatch":
         totals.update({r["is_test"]: r["count"] for r in rows.groupBy("is_test").count().collect()})
@@ -260,13 +264,14 @@ def run_search(
             gradient, accuracy = _full_pass(tested, trainable, params[now], features, label, max_tasks)
         else:
             iteration += 1
+            caps = {"train": (epoch_cap, totals[False]), "test": (test_cap, totals[True])}
+            if not ahead:
+                ahead = _draw_ahead(rows, key, features, label, range(iteration, min(end, iteration + SAMPLE_BLOCK - 1) + 1), caps, batch_size)
             train, test = (
-                _gather(part, key, sampling.rows_within_cap(cap, batch_size), f"{name}-{iteration}", total, features, label)
-                for name, part, cap, total in (
-                    ("train", rows.filter("not is_test"), epoch_cap, totals[False]),
-                    ("test", rows.filter("is_test"), test_cap, totals[True]),
-                )
+                _gather(ahead[iteration, name], rows, name, key, sampling.rows_within_cap(cap, batch_size), f"{name}-{iteration}", total, features, label)
+                for name, (cap, total) in caps.items()
             )
+            del ahead[iteration, "train"], ahead[iteration, "test"]
             params[now], velocity[now], accuracy, errors = _minibatch_pass(
                 spark, trainable, params[now], velocity[now], lr[now], momentum[now], train, test, batch_size
             )
@@ -274,7 +279,7 @@ def run_search(
         for slot, (i, value) in enumerate(zip(now, accuracy)):
             error = errors.get(slot)
             if error is None and not (np.isfinite(value) and np.isfinite(params[i]).all()):
-                error = "parameters or accuracy are not finite"
+                error = "training failed: parameters or accuracy are not finite"
             result.reports.append((int(ids[i]), iteration, float(value) if np.isfinite(value) else None, error))
             if error is None and value < target:
                 going.append((int(i), float(value)))
@@ -309,26 +314,45 @@ def _full_pass(
     return sums.gradient / max(sums.train_rows, 1), accuracy
 
 
+def _draw_ahead(
+    rows: DataFrame,
+    key: str,
+    features: str,
+    label: str,
+    iterations: range,
+    caps: dict[str, tuple[int, int]],
+    batch_size: int,
+) -> dict[tuple[int, str], DataFrame]:
+    """Small tables with the samples of several iterations, from one scan of the rows for each of train and test."""
+    found = {}
+    for name, (cap, total) in caps.items():
+        wanted = {f"{name}-{i}": sampling.rows_within_cap(cap, batch_size) for i in iterations}
+        part = rows.filter(F.col("is_test") == (name == "test")).select(key, features, label)
+        drawn = sampling.samples_of_iterations(part, key, wanted, total)
+        path = scratch_path(rows.sparkSession, "samples")
+        drawn.write.partitionBy("seed").parquet(path)
+        schema = drawn.schema
+        for i in iterations:
+            found[i, name] = rows.sparkSession.read.schema(schema).parquet(path).filter(F.col("seed") == f"{name}-{i}")
+    return found
+
+
 def _gather(
-    rows: DataFrame, key: str, n: int, seed: str, total: int, features: str, label: str
+    drawn: DataFrame, rows: DataFrame, name: str, key: str, n: int, seed: str, total: int, features: str, label: str
 ) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` rows in hash order as arrays; ``n`` comes from the row caps."""
     if not total:
         raise ValueError("no rows to train or test on")
-    near = sampling.likely_rows(rows, key, n, seed, total)
-    table = _collect(near, key, n, seed, features, label)
-    if table.num_rows < min(n, total):
-        table = _collect(rows, key, n, seed, features, label)
+    table = drawn.orderBy("sample_order", key).limit(n).select(features, label).toArrow()
+    if table.num_rows < min(n, total):  # the bound was passed by too few
+        part = rows.filter(F.col("is_test") == (name == "test"))
+        table = sampling.first_rows(part, key, n, seed).select(features, label).toArrow()
     x, usable = batches.vectors(table.column(0).combine_chunks())
     if not usable.all():
         raise ValueError(f"unusable features in {features}")
     return x, table.column(1).to_numpy().astype(np.int64)
 
 
-def _collect(rows: DataFrame, key: str, n: int, seed: str, features: str, label: str) -> pa.Table:
-    return sampling.first_rows(rows, key, n, seed).select(features, label).toArrow()
-
-
 def _minibatch_pass(
     spark: SparkSession,
     trainable: training.Trainable,

@@ -8,13 +8,14 @@ the samples once, not fifty times.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from kilnwork.operators import batches
@@ -22,6 +23,8 @@ from kilnwork.operators.models import MAX_BROADCAST_BYTES, ConvModel
 
 # Doubles in one intermediate array: bounds the memory of a task and stays near the caches.
 _WORK_CELLS = 1 << 20
+# Groups of tasks whose sums are added first.
+FAN_IN = 64
 
 
 class Trainable(Protocol):
@@ -40,17 +43,25 @@ class Trainable(Protocol):
 
 @dataclass(frozen=True)
 class SoftmaxRegression:
-    """A linear classifier trained on the negative log-likelihood; the bias is the last feature."""
+    """A linear classifier trained on the negative log-likelihood; the bias is the last feature.
+
+    Weights start at zero, or, with ``start``, at draws by hash within that distance of zero, other ones for each trial.
+    """
 
     width: int
     classes: int
+    start: float = 0.0
 
     @property
     def n_params(self) -> int:
         return (self.width + 1) * self.classes
 
     def initial(self, trial_ids: np.ndarray) -> np.ndarray:
-        return np.zeros((len(trial_ids), self.n_params))
+        if not self.start:
+            return np.zeros((len(trial_ids), self.n_params))
+        seeds = [[f"start-{t}-{i}".encode() for i in range(self.n_params)] for t in np.asarray(trial_ids).tolist()]
+        draws = [[int(hashlib.md5(s, usedforsecurity=False).hexdigest()[:8], 16) / 2**32 for s in row] for row in seeds]
+        return self.start * (2 * np.array(draws).reshape(len(seeds), self.n_params) - 1)
 
     def _logits(self, params: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         trials = len(params)
@@ -164,12 +175,12 @@ def partial_sums(
 ) -> DataFrame:
     """``trial, pos, value``: gradients, then loss, training rows, correct and test rows, summed over all rows.
 
-    Each task emits one row per trial; the shuffle moves those and not the samples.
-    ``max_tasks`` lets a task read several input splits one after the other, which
-    makes the shuffle smaller where a table has very many splits. A few tasks for
-    each core of the cluster are enough.
+    Each task emits one row per trial; the shuffle moves those and not the samples. Rows stay whole arrays and are
+    added in two steps: those of some tasks each in :data:`FAN_IN` groups, then the groups' sums. Only the last step
+    takes them apart, so that the number of cells does not grow with the number of input splits.
+    ``max_tasks`` lets a task read several input splits one after the other.
     """
-    width = _feature_width(trainable)
+    width, classes = _feature_width(trainable), getattr(trainable, "classes", None)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = params.value
@@ -181,33 +192,70 @@ def partial_sums(
                 _add(totals, batch.slice(start, step), weights)
         values = pa.array(totals.ravel())
         offsets = pa.array(np.arange(0, totals.size + 1, totals.shape[1], dtype=np.int32))
+        part = np.full(trials, TaskContext.get().partitionId() % FAN_IN, dtype=np.int32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(trials, dtype=np.int32)), pa.ListArray.from_arrays(offsets, values)],
-            names=["trial", "sums"],
+            [pa.array(np.arange(trials, dtype=np.int32)), pa.array(part), pa.ListArray.from_arrays(offsets, values)],
+            names=["trial", "part", "sums"],
         )
 
     def _add(totals: np.ndarray, batch: pa.RecordBatch, weights: np.ndarray) -> None:
         x, usable = batches.vectors(batch.column(0), width)
         if not usable.all():
             raise ValueError(f"unusable features in {features}")
-        y = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        y = _labels(batch.column(1), classes, label)
         test = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        if not test.all():
-            grads, losses = trainable.gradient(weights, x[~test], y[~test])
-            totals[:, :-4] += grads
-            totals[:, -4] += losses
-            totals[:, -3] += (~test).sum()
-        if test.any():
-            totals[:, -2] += trainable.correct(weights, x[test], y[test])
-            totals[:, -1] += test.sum()
+        totals[:, -3] += (~test).sum()
+        totals[:, -1] += test.sum()
+        try:
+            totals[:, :-3], totals[:, -2] = totals[:, :-3] + _fitted(weights, x[~test], y[~test]), totals[:, -2] + _right(weights, x[test], y[test])
+        except Exception:  # a failing trial must not end the others: each by itself, and NaN for those that fail
+            for t in range(len(weights)):
+                one = weights[t : t + 1]
+                try:
+                    totals[t, :-3] += _fitted(one, x[~test], y[~test])[0]
+                    totals[t, -2] += _right(one, x[test], y[test])[0]
+                except Exception:
+                    totals[t, :-3] = totals[t, -2] = np.nan
+
+    def _fitted(weights: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Gradients, and losses behind them."""
+        if not len(x):
+            return np.zeros((len(weights), trainable.n_params + 1))
+        grads, losses = trainable.gradient(weights, x, y)
+        return np.column_stack([grads, losses])
+
+    def _right(weights: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return trainable.correct(weights, x, y) if len(x) else np.zeros(len(weights))
 
     rows = df.select(features, label, is_test)
     rows = rows.coalesce(max_tasks) if max_tasks else rows
-    partial = rows.mapInArrow(run, "trial int, sums array<double>")
-    cells = partial.select("trial", F.posexplode("sums").alias("pos", "value"))
+    schema = "trial int, part int, sums array<double>"
+    partial = rows.mapInArrow(run, schema)
+    summed = partial.groupBy("trial", "part").applyInArrow(_added, schema)
+    cells = summed.select("trial", F.posexplode("sums").alias("pos", "value"))
     return cells.groupBy("trial", "pos").agg(F.sum("value").alias("value"))
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the sum of the rows' arrays, batch by batch."""
+    total, first = 0.0, None
+    for batch in batches:
+        first = first or batch.slice(0, 1)
+        total = total + batch.column("sums").flatten().to_numpy().reshape(batch.num_rows, -1).sum(axis=0)
+    if first:
+        yield pa.RecordBatch.from_arrays([first.column(0), first.column(1), pa.array([total])], names=["trial", "part", "sums"])
+
+
+def _labels(column: pa.Array, classes: int | None, name: str) -> np.ndarray:
+    """Labels as integers, none missing and each one of the classes."""
+    if column.null_count:
+        raise ValueError(f"missing labels in {name}")
+    y = column.to_numpy(zero_copy_only=False).astype(np.int64)
+    if len(y) and (y.min() < 0 or classes is not None and y.max() >= classes):
+        raise ValueError(f"labels in {name} outside 0 to {classes - 1 if classes else '...'}")
+    return y
+
+
 def _feature_width(trainable: Trainable) -> int | None:
     if hasattr(trainable, "width"):
         return trainable.width
@@ -231,10 +279,10 @@ def training_pass(
     sums = np.zeros((len(params), trainable.n_params + 4))
     for start in range(0, len(params), block):
         part = df.sparkSession.sparkContext.broadcast(params[start : start + block])
-        cells = partial_sums(df, trainable, part, features, label, is_test, max_tasks).toPandas()
+        cells = partial_sums(df, trainable, part, features, label, is_test, max_tasks).toArrow()
         part.destroy()  # a search makes one for every iteration
-        trial, pos = cells["trial"].to_numpy(np.int64), cells["pos"].to_numpy(np.int64)
-        sums[start + trial, pos] = cells["value"].to_numpy()
+        trial, pos = (cells.column(name).to_numpy().astype(np.int64) for name in ("trial", "pos"))
+        sums[start + trial, pos] = cells.column("value").to_numpy()
     if not len(params):
         return PassResult(sums[:, :-4], sums[:, -4], 0, sums[:, -2], 0)
     return PassResult(sums[:, :-4], sums[:, -4], int(sums[0, -3]), sums[:, -2], int(sums[0, -1]))

@@ -11,10 +11,16 @@ from kilnwork.session import materialise, scratch_path
 from kilnwork.sinks import checkpoints
 
 
+# Starting weights lie within this distance of zero, so that trials differ from the first report on.
+_START = 0.1
+# Iterations of the whole search here: beyond three rungs, and few enough for the SQL that checks it.
+_TUNE_ITERATIONS = 20
+
+
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.SoftmaxRegression]:
     rows = samples(spark, sf_dir)
     shape = rows.agg(F.max("label").alias("k"), F.max(F.size("embedding")).alias("d")).first()
-    return sampling.split_train_test(rows, "vec_id"), training.SoftmaxRegression(shape["d"], shape["k"] + 1)
+    return sampling.split_train_test(rows, "vec_id"), training.SoftmaxRegression(shape["d"], shape["k"] + 1, _START)
 
 
 def gradient_step(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +51,7 @@ def _search(spark: SparkSession, sf_dir: str, **options) -> search.SearchResult:
         key="vec_id",
         features="embedding",
         label="label",
-        max_iterations=search.SMOKE_ITERATIONS,
-        **options,
+        **{"max_iterations": search.MAX_ITERATIONS, **options},
     )
 
 
@@ -56,16 +61,22 @@ def _accuracies(result: search.SearchResult) -> DataFrame:
 
 
 def tune_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _accuracies(_search(spark, sf_dir))
+    """The whole search: trials end at a rung, at the target or at the horizon."""
+    return _accuracies(_search(spark, sf_dir, max_iterations=_TUNE_ITERATIONS))
+
+
+def tune_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = {"num_trials": search.SMOKE_TRIALS, "max_iterations": search.SMOKE_ITERATIONS}
+    return _accuracies(_search(spark, sf_dir, **options))
 
 
 def tune_minibatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _accuracies(_search(spark, sf_dir, mode="minibatch"))
+    return _accuracies(_search(spark, sf_dir, mode="minibatch", max_iterations=search.SMOKE_ITERATIONS))
 
 
 def checkpoint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "search")
-    _search(spark, sf_dir, num_trials=4, horizon=None, checkpoint_path=path)
+    _search(spark, sf_dir, num_trials=4, max_iterations=search.SMOKE_ITERATIONS, horizon=None, checkpoint_path=path)
     return checkpoints.read(spark, path).select(
         "trial_id", "training_iteration", "param_index", F.round("value", 6).alias("value"), "live"
     )
@@ -136,6 +147,7 @@ def trial_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "gradient_step": gradient_step,
     "tune_run": tune_run,
+    "tune_smoke": tune_smoke,
     "tune_minibatch": tune_minibatch,
     "checkpoint_roundtrip": checkpoint_roundtrip,
     "param_space": param_space,
@@ -192,7 +204,9 @@ def _start_sql(trials: int) -> str:
         SELECT trial_id, exp(ln(1e-4::DOUBLE) + {_draw('lr')} * (ln(1e-2::DOUBLE) - ln(1e-4::DOUBLE))) AS lr,
                0.1::DOUBLE + {_draw('momentum')} * 0.8::DOUBLE AS momentum
         FROM (SELECT unnest(range({trials})) AS trial_id)),
-    w0 AS (SELECT trial_id, class_id, pos, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v FROM t,
+    w0 AS (SELECT trial_id, class_id, pos, 0.0::DOUBLE AS v, {_START}::DOUBLE * (2 *
+             (('0x' || left(md5('start-' || trial_id || '-' || (pos * classes + class_id)), 8))::BIGINT::DOUBLE / 4294967296)
+             - 1) AS w FROM t, n,
            (SELECT unnest(range(classes)) AS class_id FROM n), (SELECT unnest(range(width)) AS pos FROM n)),
     live0 AS (SELECT trial_id FROM t)"""
 
@@ -264,7 +278,12 @@ def _all(iterations: int, select: str) -> str:
 
 
 ORACLES = {
-    "tune_run": _descent_sql(search.NUM_TRIALS, search.SMOKE_ITERATIONS, (1, 4))
+    "tune_run": _descent_sql(search.NUM_TRIALS, _TUNE_ITERATIONS, (1, 4, 16))
+    + _all(
+        _TUNE_ITERATIONS,
+        " SELECT trial_id, training_iteration, round(mean_accuracy, 6) AS mean_accuracy FROM acc{i}",
+    ),
+    "tune_smoke": _descent_sql(search.SMOKE_TRIALS, search.SMOKE_ITERATIONS, ())
     + _all(
         search.SMOKE_ITERATIONS,
         " SELECT trial_id, training_iteration, round(mean_accuracy, 6) AS mean_accuracy FROM acc{i}",
@@ -278,7 +297,7 @@ ORACLES = {
     + _all(
         search.SMOKE_ITERATIONS,
         " SELECT trial_id, {i} AS training_iteration, (pos * classes + class_id)::INT AS param_index,"
-        f" round(w, 6) AS value, {{i}} < {search.SMOKE_ITERATIONS} AS live FROM w{{i}}, n",
+        " round(w, 6) AS value, true AS live FROM w{i}, n",
     ),
     "gradient_step": """
         WITH n AS (SELECT vec_id, label, list_append(embedding::DOUBLE[], 1.0) AS v FROM embeddings

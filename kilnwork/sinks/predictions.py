@@ -10,7 +10,6 @@ _FORMATS = {".csv": "csv", ".json": "json"}
 _CSV = {
     "header": "true",
     "escape": '"',
-    "emptyValue": '""',
     "nullValue": "\\N",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -52,6 +51,7 @@ def _restored(field: T.StructField) -> Column:
 
 
 # Every backslash of a written text begins one of these, so they can be undone one after the other.
+_EMPTY = "\\e"
 _ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
 
 
@@ -59,13 +59,14 @@ def _escaped(text: Column) -> Column:
     """Line breaks as escapes: a row is one line, so that files can be split, and no text looks like NULL."""
     for plain, sign in _ESCAPES:
         text = F.replace(text, F.lit(plain), F.lit(sign))
-    return text
+    return F.when(text == "", _EMPTY).otherwise(text)
 
 
 def _unescaped(text: Column) -> Column:
+    plain_text = text
     for plain, sign in reversed(_ESCAPES):
-        text = F.replace(text, F.lit(sign), F.lit(plain))
-    return text
+        plain_text = F.replace(plain_text, F.lit(sign), F.lit(plain))
+    return F.when(text == _EMPTY, "").otherwise(plain_text)
 
 
 def _nested(kind: T.DataType) -> bool:

@@ -127,3 +127,12 @@ def test_scratch_space(spark):
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
     df = materialise(spark.range(5).withColumn("v", F.lit("a")), "t")
     assert df.count() == 5 and df.columns == ["id", "v"]
+
+
+def test_csv_keeps_every_string(spark, tmp_path):
+    odd = [" lead.jpg ", "", None, 'quo"te', "a,b", "line\nbreak", "\r\n", "\\N", "back\\slash\\n", "\t", '""', "#x", "null"]
+    df = spark.createDataFrame([(i, s, [0.5, None] if i % 2 else None) for i, s in enumerate(odd)], "i int, path string, v array<double>")
+    path = str(tmp_path / "odd.csv")
+    predictions.write_predictions(df.repartition(3), path)
+    back = {r["i"]: (r["path"], r["v"]) for r in predictions.read_predictions(spark, path, df.schema).collect()}
+    assert back == {i: (s, [0.5, None] if i % 2 else None) for i, s in enumerate(odd)}

@@ -253,3 +253,48 @@ def test_shuffle_keeps_all_rows(spark):
     shuffled = sampling.shuffle_rows(spark.range(1000), "id", "s", partitions=4)
     rows = [r["id"] for r in shuffled.collect()]
     assert sorted(rows) == list(range(1000)) and rows != sorted(rows)
+
+
+@pytest.mark.parametrize("label", [-1, 3, None])
+def test_labels_outside_the_classes_are_errors(spark, label):
+    df = spark.createDataFrame([(1, [0.1] * 5, 0, False), (2, [0.2] * 5, label, False)], "id long, x array<float>, y int, is_test boolean")
+    with pytest.raises(Exception, match="labels in y"):
+        training.training_pass(df, training.SoftmaxRegression(5, 3), np.zeros((1, 18)), "x", "y")
+
+
+def test_sums_do_not_depend_on_the_number_of_splits(spark):
+    df, _, _ = blobs(spark, n=600)
+    trainable = training.SoftmaxRegression(5, 3)
+    params = trainable.initial(np.arange(2))
+    one = training.training_pass(df.coalesce(1), trainable, params, "x", "label")
+    many = training.training_pass(df.repartition(500), trainable, params, "x", "label")
+    assert np.allclose(one.gradient, many.gradient) and one.train_rows == many.train_rows and one.test_rows == many.test_rows
+
+
+def test_a_failing_trial_leaves_the_others_in_full_mode(spark):
+    class Failing(training.SoftmaxRegression):
+        def gradient(self, params, x, y):
+            if (abs(params).max(axis=1) > 5).any():
+                raise RuntimeError("diverged")
+            return super().gradient(params, x, y)
+
+    df, _, _ = blobs(spark)
+    result = search.run_search(
+        df, trials_table(spark, [0.1, 1e4], [0.1, 0.1]), Failing(5, 3), key="id", features="x", label="label",
+        max_iterations=4, target=2.0, horizon=None,
+    )
+    reports = {(r[0], r[1]): r[3] for r in result.reports}
+    assert all(reports[0, i] is None for i in range(1, 5))
+    assert any(e for (t, _), e in reports.items() if t == 1)
+
+
+def test_minibatch_samples_of_a_block_come_from_one_scan(spark, monkeypatch):
+    scans = []
+    drawn = sampling.samples_of_iterations
+    monkeypatch.setattr(sampling, "samples_of_iterations", lambda *a: scans.append(a[2]) or drawn(*a))
+    df, _, _ = blobs(spark, n=400)
+    search.run_search(
+        df, trials_table(spark, [0.01], [0.2]), training.SoftmaxRegression(5, 3), key="id", features="x", label="label",
+        mode="minibatch", max_iterations=6, target=2.0, horizon=None,
+    )
+    assert [sorted(s) for s in scans] == [[f"train-{i}" for i in range(1, 7)], [f"test-{i}" for i in range(1, 7)]] or len(scans) == 2
