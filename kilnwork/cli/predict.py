@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kilnwork.functions import text
-from kilnwork.operators import batches, images, models, scoring
+from kilnwork.operators import batches, images, models, rollups, scoring
 from kilnwork.session import build_session
 from kilnwork.sinks import predictions as sink
 from kilnwork.sources import files
@@ -38,9 +39,9 @@ def predict_images(
     store = None
     if uri.startswith("s3a://"):
         store = files.s3a_options(access_key, secret_key, session_token, endpoint, anonymous)
-    decoded = batches.spread(images.flatten_images(files.scan_images(spark, uri, store)))
+    # Spark plans at least one split for each core, so compressed files are dealt out and pixels stay where they are.
     return scoring.score(
-        decoded,
+        images.flatten_images(files.scan_images(spark, uri, store)),
         loader,
         images.image_features(),
         batch_size=batch_size,
@@ -49,28 +50,19 @@ def predict_images(
     )
 
 
-def sample_lines(rows: DataFrame, n: int = 5) -> list[str]:
-    """A few predictions as text."""
-    shown = rows.limit(n).select(
-        text.basename(F.col("file_path")).alias("file"),
-        "predicted_class",
-        text.fixed4(F.col("confidence_score")).alias("confidence"),
-        "top_5_classes",
-        F.transform("top_5_scores", text.fixed4).alias("scores"),
+def sample_rows(rows: DataFrame, n: int = 5) -> DataFrame:
+    """A few predictions, with scores as text of four decimals."""
+    return rows.limit(n).select(
+        text.basename(F.col("file_path")).alias("name"),
+        F.col("predicted_class").alias("best"),
+        text.fixed4(F.col("confidence_score")).alias("score"),
+        F.col("top_5_classes").alias("ranked"),
+        F.transform("top_5_scores", text.fixed4).alias("ranked_scores"),
     )
-    lines = []
-    for i, r in enumerate(shown.collect(), 1):
-        lines.append(f"Prediction {i}:")
-        if r["file"]:
-            lines.append(f"  File: {r['file']}")
-        lines.append(f"  Predicted class: {r['predicted_class']}")
-        lines.append(f"  Confidence: {r['confidence']}")
-        lines.append(f"  Top 5 classes: {r['top_5_classes']}")
-        lines.append(f"  Top 5 scores: {r['scores']}")
-    return lines
 
 
 def parser() -> argparse.ArgumentParser:
+    # The names and defaults of the options are the interface.
     p = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.ArgumentDefaultsHelpFormatter)
     p.add_argument("--uri", required=True, help="folder of image files, on any file system Spark reads")
     p.add_argument("--models-dir", required=True, help="folder with one <model name>.onnx file per model")
@@ -93,10 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("predict")
     registry = models.ModelRegistry()
     path, anonymous = files.resolve_uri(f"{args.models_dir.rstrip('/')}/{args.model_name}.onnx")
-    store = None
-    if path.startswith("s3a://"):
-        store = files.s3a_options(args.access_key, args.secret_key, args.session_token, args.endpoint, anonymous)
-    registry.register(args.model_name, models.onnx_loader(spark, path, store))
+    registry.register(args.model_name, models.onnx_loader(spark, path, _store(args, path, anonymous)))
     rows = predict_images(
         spark,
         args.uri,
@@ -112,9 +101,19 @@ def main(argv: list[str] | None = None) -> None:
     # Written once; the count and the sample come from what was written, not from scoring again.
     sink.write_predictions(rows, args.output_path, args.write_mode)
     written = sink.read_predictions(spark, args.output_path, rows.schema)
-    counts = written.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("failed")).first()
-    print(f"Total predictions: {counts['n']} ({counts['failed']} files could not be decoded)")
-    print("\n".join(sample_lines(written, args.sample_size)))
+    tree, anonymous = files.resolve_uri(args.uri)
+    found = files.inventory(spark, tree, _store(args, tree, anonymous))  # metadata only
+    counts = rollups.stage_counts(found, text.is_image(F.col("key")), written)
+    failed = written.agg(F.count("error").alias("unreadable"))
+    print(json.dumps(counts.first().asDict() | failed.first().asDict()))
+    for line in sample_rows(written, args.sample_size).toJSON().collect():
+        print(line)
+
+
+def _store(args: argparse.Namespace, path: str, anonymous: bool) -> dict[str, str] | None:
+    if not path.startswith("s3a://"):
+        return None
+    return files.s3a_options(args.access_key, args.secret_key, args.session_token, args.endpoint, anonymous)
 
 
 if __name__ == "__main__":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def main(argv: list[str] | None = None) -> None:
         resume=args.resume,
     )
     best = result.best.first()
-    print(f"Best config is: {best.asDict() if best else None}")
+    print(json.dumps({"best": best.asDict() if best else None}))
     result.check_errors()
 
 

@@ -11,11 +11,12 @@ from kilnwork.functions import status as states
 SCRAPE_INTERVAL = "15 seconds"
 
 
-def stage_counts(df: DataFrame, is_image: Column, is_scored: Column) -> DataFrame:
-    """Rows loaded, images among them and predictions made, in one pass."""
-    return df.agg(
-        F.count(F.lit(1)).alias("loaded"), F.count_if(is_image).alias("images"), F.count_if(is_scored).alias("predictions")
-    )
+def stage_counts(loaded: DataFrame, is_image: Column, predictions: DataFrame) -> DataFrame:
+    """Rows loaded, images among them, and predictions that the scorer gave: rows of its output or of what was written."""
+    read = loaded.agg(F.count(F.lit(1)).alias("loaded"), F.count_if(is_image).alias("images"))
+    made = predictions.agg(F.count(F.lit(1)).alias("predictions"))
+    both = read.unionByName(made, allowMissingColumns=True)
+    return both.agg(*(F.sum(name).alias(name) for name in ("loaded", "images", "predictions")))
 
 
 def ready_total(df: DataFrame, key: str, ready: Column) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kilnwork.functions import text
-from kilnwork.operators import rollups
+from kilnwork.operators import models, rollups, scoring
 from kilnwork.plans.inputs import OBJECTS_SQL, objects, table
 from kilnwork.session import scratch_path
 from kilnwork.sources import files
@@ -51,9 +52,14 @@ def preview_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every image gets a prediction, also one that cannot be decoded."""
-    image = text.is_image(F.col("path"))
-    return rollups.stage_counts(objects(spark, sf_dir), image, image & (F.octet_length("content") > 0))
+    """What the scorer returns is counted; an image without content gets a prediction too."""
+    rows = objects(spark, sf_dir)
+    is_image = text.is_image(F.col("path"))
+    sizes = rows.filter(is_image).select("path", F.array(F.octet_length("content").cast("double")).alias("size"))
+    by_size = models.LinearModel(np.array([[1e-3], [0.0]]), np.zeros(2))
+    loader = models.broadcast_loader(spark, by_size)
+    scored = scoring.score(sizes, loader, scoring.vector_features("size", 1), batch_size=4096)
+    return rollups.stage_counts(rows, is_image, scored.filter("predicted_class is not null"))
 
 
 def object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +112,7 @@ ORACLES = {
     """,
     "stage_counts": f"""
         SELECT count(*) AS loaded, count(*) FILTER (regexp_matches(lower(path), {_IMAGES})) AS images,
-               count(*) FILTER (regexp_matches(lower(path), {_IMAGES}) AND size > 0) AS predictions
+               count(*) FILTER (regexp_matches(lower(path), {_IMAGES})) AS predictions
         FROM ({OBJECTS_SQL})
     """,
     "object_inventory": r"""

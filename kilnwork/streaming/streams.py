@@ -46,54 +46,90 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
+def windows_left(
+    samples: DataFrame, every: str = rollups.SCRAPE_INTERVAL, watermark: str = WATERMARK
+) -> DataFrame:
+    """The windows that :func:`windowed_metrics` has not given out when a finished input ends, from the input's table.
+
+    They end within ``watermark`` before the last sample, or after it; only samples near the end are read again.
+    """
+    last = samples.agg(F.max("ts").alias("last")).first()["last"]
+    if last is None:
+        return rollups.tumbling(samples, every)
+    mark = F.lit(last) - F.expr(f"interval {watermark}")
+    near = samples.filter(F.col("ts") >= mark - F.expr(f"interval {every}"))
+    return rollups.tumbling(near, every).filter(F.col("window.end") > mark)
+
+
 def track_jobs(
     events: DataFrame,
     path: str,
     checkpoint: str,
     on_terminal: Callable[[DataFrame, int], None] | None = None,
     compact_every: int = 100,
+    forget_after: str | None = None,
 ) -> StreamingQuery:
     """Keep the last status of each job; jobs that have ended are handed to ``on_terminal``.
 
-    Each trigger writes the jobs that changed into a folder of its own, which a
-    repeated trigger overwrites. Every ``compact_every`` triggers the state of all
-    jobs is written too, so that :func:`tracked_jobs` never reads a long history.
+    The stream itself holds no state. Each trigger writes the last status of the jobs it saw into a folder of its own,
+    which a repeated trigger overwrites. Every ``compact_every`` triggers the state of all jobs is written as one
+    folder and the folders before the last but one such state are removed, so that neither reads nor folders grow
+    with time. ``forget_after`` (such as ``"30 days"``) leaves jobs out of that state that ended so long before the
+    newest event.
     """
 
-    def write(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
+    def write(arrived: DataFrame, batch_id: int) -> None:
+        spark = arrived.sparkSession
+        last = F.max(F.struct("ts", "seq", "status")).alias("last")
+        seen = arrived.groupBy("job_id").agg(last).select("job_id", "last.status", "last.ts", "last.seq")
         folder = f"{path}/kind=change/batch={batch_id}"
-        changed.write.mode("overwrite").parquet(folder)
+        seen.write.mode("overwrite").parquet(folder)
         if on_terminal:
-            on_terminal(spark.read.parquet(folder).filter(states.is_terminal(F.col("status"))), batch_id)
+            ended = spark.read.parquet(folder).filter(states.is_terminal(F.col("status")))
+            on_terminal(ended.select("job_id", "status", "ts"), batch_id)
         if (batch_id + 1) % compact_every == 0:
-            state = tracked_jobs(spark, path, compacted_before=batch_id)
+            state = _last_states(spark, path, before=batch_id)
+            if forget_after:
+                newest = state.agg(F.max("ts").alias("newest")).first()["newest"]
+                old = F.col("ts") < F.lit(newest) - F.expr(f"interval {forget_after}")
+                state = state.filter(~(states.is_terminal(F.col("status")) & old))
             state.write.mode("overwrite").parquet(f"{path}/kind=whole/batch={batch_id}")
+            _remove_before(spark, path, batch_id - compact_every)
 
     return (
-        rollups.latest_status(events)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        events.select("job_id", "seq", "ts", "status")
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()
     )
 
 
-def tracked_jobs(spark: SparkSession, path: str, compacted_before: int | None = None) -> DataFrame:
+def _remove_before(spark: SparkSession, path: str, batch: int) -> None:
+    """Remove folders that the state of all jobs written at ``batch`` stands for. That state itself stays."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for kind, least in (("change", batch + 1), ("whole", batch)):
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"kind={kind}")
+        for found in store.listStatus(folder) if store.exists(folder) else ():
+            number = found.getPath().getName().removeprefix("batch=")
+            if number.isdigit() and int(number) < least:
+                store.delete(found.getPath(), True)
+
+
+def tracked_jobs(spark: SparkSession, path: str) -> DataFrame:
     """The last written status of each job: the last state of all jobs, and the changes after it."""
+    return _last_states(spark, path).select("job_id", "status", "ts")
+
+
+def _last_states(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     rows = spark.read.parquet(path)
     whole = rows.filter("kind = 'whole'")
-    if compacted_before is not None:
-        whole = whole.filter(F.col("batch") < compacted_before)
+    if before is not None:
+        whole = whole.filter(F.col("batch") < before)
     base = whole.agg(F.max("batch")).first()[0]
-    if base is None:
-        rows = rows.filter("kind = 'change'")
-    else:
-        later = rows.filter((F.col("kind") == "change") & (F.col("batch") > base))
-        rows = whole.filter(F.col("batch") == base).unionByName(later)
-    return (
-        rows.groupBy("job_id")
-        .agg(F.max_by(F.struct("status", "ts"), "batch").alias("last"))
-        .select("job_id", "last.status", "last.ts")
+    rows = rows.filter("kind = 'change'") if base is None else whole.filter(F.col("batch") == base).unionByName(
+        rows.filter((F.col("kind") == "change") & (F.col("batch") > base))
     )
+    last = F.max(F.struct("ts", "seq", "status")).alias("last")
+    return rows.groupBy("job_id").agg(last).select("job_id", "last.status", "last.ts", "last.seq")

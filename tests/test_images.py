@@ -1,3 +1,4 @@
+import json
 import numpy as np
 import pytest
 
@@ -143,8 +144,9 @@ def test_predict_command(spark, tmp_path, capsys):
     out = str(tmp_path / "out.csv")
     predict.main(["--uri", str(photos), "--models-dir", str(networks), "--output-path", out, "--smoke-test"])
     printed = capsys.readouterr().out
-    assert "Total predictions: 5 (1 files could not be decoded)" in printed
-    assert "Prediction 5:" in printed and "Top 5 classes: [" in printed
+    lines = [json.loads(line) for line in printed.splitlines() if line.startswith("{")]
+    assert lines[0]["predictions"] == lines[0]["images"] == 5 < lines[0]["loaded"] and lines[0]["unreadable"] == 1
+    assert len(lines) == 6 and len(lines[1]["ranked"]) == 5
 
 
 def test_smoke_batch():

@@ -14,7 +14,7 @@ def at(seconds):
 
 def test_stage_counts(spark):
     df = spark.createDataFrame([(True, True), (True, False), (False, False), (None, None)], "image boolean, scored boolean")
-    assert rollups.stage_counts(df, F.col("image"), F.col("scored")).first().asDict() == {
+    assert rollups.stage_counts(df, F.col("image"), df.filter("scored")).first().asDict() == {
         "loaded": 4,
         "images": 2,
         "predictions": 1,

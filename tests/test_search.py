@@ -126,12 +126,12 @@ def test_search_command(spark, sf_dir, tmp_path, capsys, options):
         ["--data", f"{sf_dir}/embeddings.parquet", "--key", "vec_id", "--features", "embedding", "--smoke-test"]
         + ["--checkpoint-path", state, *options]
     )
-    assert "Best config is: {'trial_id': 0, 'training_iteration': 5, 'mean_accuracy': 0." in capsys.readouterr().out
+    assert '{"best": {"trial_id": 0, "training_iteration": 5, "mean_accuracy": 0.' in capsys.readouterr().out
     command.main(
         ["--data", f"{sf_dir}/embeddings.parquet", "--key", "vec_id", "--features", "embedding", "--smoke-test"]
         + ["--checkpoint-path", state, "--resume", *options]
     )
-    assert "'training_iteration': 5" in capsys.readouterr().out
+    assert '"training_iteration": 5' in capsys.readouterr().out
 
 
 def test_conv_training_learns(spark):

@@ -30,6 +30,8 @@ def test_windows_of_a_stream_equal_the_batch_once_final(spark, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() == final.count() > 300
     assert got.exceptAll(final).count() == 0
+    left = streams.windows_left(batch, watermark="1 minute").select(F.col("window.end").alias("ends"), "metric", "samples", "sum_value")
+    assert got.unionByName(left).exceptAll(want).count() == 0 and got.count() + left.count() == want.count()
 
 
 @pytest.mark.parametrize("compact_every", [1, 2, 100])
@@ -72,3 +74,16 @@ def test_streaming_scores_equal_batch_scores(spark, tmp_path):
     streams.run_to_table(stream, out, str(tmp_path / "cp")).awaitTermination()
     got = spark.read.schema(batch.schema).parquet(out)
     assert got.count() == 60 and got.exceptAll(batch).count() == 0
+
+
+def test_folders_and_state_stay_bounded(spark, tmp_path):
+    source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    for i in range(12):
+        rows = [(i, 2 * i, at(i * 3600), "RUNNING", ""), (i - 1, 2 * i + 1, at(i * 3600), "SUCCEEDED", "")]
+        spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(source)
+        stream = streams.file_stream(spark, source, spark.read.parquet(source).schema, files_per_trigger=1)
+        streams.track_jobs(stream, out, checkpoint, compact_every=3, forget_after="4 hours").awaitTermination()
+    folders = [p for kind in ("change", "whole") for p in (tmp_path / "out" / f"kind={kind}").glob("batch=*")]
+    assert len(folders) <= 2 * 3 + 2
+    states = {r["job_id"]: r["status"] for r in streams.tracked_jobs(spark, out).collect()}
+    assert states[11] == "RUNNING" and states[10] == "SUCCEEDED" and 0 not in states and len(states) <= 8
