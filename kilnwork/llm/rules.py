@@ -45,13 +45,13 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols", "n_symbols / n_words", 0.02, 0.10),
-    Rule("repeats", "n_repeat_words / n_words", 0.10, 0.30),
-    Rule("lines", "n_dup_lines / n_lines", 0.10, 0.30),
-    Rule("long_words", "word_chars / n_words", 9.0, 12.0),
-    Rule("short_words", "word_chars / n_words", 3.0, 2.0, flip=True),
-    Rule("function_words", "n_function_words / n_words", 0.10, 0.03, flip=True),
-    Rule("capitals", "n_capital_runs / n_words", 0.10, 0.30),
+    Rule("symbols", "try_divide(n_symbols, n_words)", 0.02, 0.10),
+    Rule("repeats", "try_divide(n_repeat_words, n_words)", 0.10, 0.30),
+    Rule("lines", "try_divide(n_dup_lines, n_lines)", 0.10, 0.30),
+    Rule("long_words", "try_divide(word_chars, n_words)", 9.0, 12.0),
+    Rule("short_words", "try_divide(word_chars, n_words)", 3.0, 2.0, flip=True),
+    Rule("function_words", "try_divide(n_function_words, n_words)", 0.10, 0.03, flip=True),
+    Rule("capitals", "try_divide(n_capital_runs, n_words)", 0.10, 0.30),
 )
 
 
