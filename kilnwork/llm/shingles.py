@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 import numpy as np
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_ODD), -1, 2**64))
+ODD = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(ODD), -1, 2**64))
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[9, 10, 11, 12, 13, 32]] = True
 
@@ -19,7 +19,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo 2^64."""
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -33,8 +34,8 @@ def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
     ends = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
     # Differences of sums of byte * base^-position, moved back to position 0, are hashes of the bytes between.
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_INVERSE, len(data)))])
-    hashes = mix((sums[ends] - sums[starts]) * _powers(_ODD, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(INVERSE, len(data)))])
+    hashes = mix((sums[ends] - sums[starts]) * powers(ODD, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
     sizes = np.array([len(c) + 1 for c in coded], np.int64)
     owner = np.searchsorted(np.cumsum(sizes), starts - 1, side="right")
     return hashes, owner
@@ -53,7 +54,7 @@ def shingle_hashes(texts: Sequence[str], words: int = 5) -> tuple[np.ndarray, np
         ahead, same = np.zeros(n, np.uint64), np.zeros(n, bool)
         if n > k:
             ahead[: n - k], same[: n - k] = hashes[k:], owner[k:] == owner[: n - k]
-        total = total * _ODD + np.where(same, mix(ahead + np.uint64(k)), np.uint64(0))
+        total = total * ODD + np.where(same, mix(ahead + np.uint64(k)), np.uint64(0))
         full &= same
     first = np.ones(n, bool)
     first[1:] = owner[1:] != owner[:-1]
@@ -77,7 +78,7 @@ def occurrences(texts: Sequence[str], words: int = 5) -> tuple[np.ndarray, np.nd
     owner, hashes, counts = bags(texts, words)
     ends = np.cumsum(counts)
     nth = (np.arange(len(owner) and ends[-1]) - np.repeat(ends - counts, counts)).astype(np.uint64)
-    return np.repeat(owner, counts), mix(np.repeat(hashes, counts) + nth * _ODD)
+    return np.repeat(owner, counts), mix(np.repeat(hashes, counts) + nth * ODD)
 
 
 def pairwise_similarity(texts: Sequence[str], words: int = 5, columns: int = 4096) -> np.ndarray:
@@ -100,4 +101,5 @@ def pairwise_similarity(texts: Sequence[str], words: int = 5, columns: int = 409
         part = np.zeros((n, columns), np.float32)
         part[owner[a:b], number[a:b] - low] = 1
         shared += part @ part.T
+    np.fill_diagonal(shared, sizes)  # keys of one text only were left out above
     return shared / np.maximum(sizes[:, None] + sizes[None, :] - shared, 1)

@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from kilnwork.llm.shingles import mix
+from kilnwork.llm.shingles import INVERSE, ODD, mix, powers
 from kilnwork.session import materialise
 
 WINDOW, ANCHOR = 50, 24
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 1 << 20
 _SORTED = 1 << 18
 #: Rows of a document id that is repeated are told apart by this many high bits of their positions.
@@ -34,7 +33,7 @@ _ROW = 40
 
 def string_hashes(data: np.ndarray, length: int) -> np.ndarray:
     """Hash of the ``length`` bytes from each position."""
-    power, base, width = data.astype(np.uint64) + np.uint64(1), int(_ODD), 1
+    power, base, width = data.astype(np.uint64) + np.uint64(1), int(ODD), 1
     out, done = None, 0
     while True:
         if length & width:
@@ -123,22 +122,23 @@ def _window_hashes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndar
     for at in range(0, len(starts), _SORTED):
         part = starts[at : at + _SORTED]
         low = part.min()
-        out[at : at + _SORTED] = string_hashes(data[low : part.max() + length], length)[part - low]
+        out[at : at + _SORTED] = _hashes_at(data[low : part.max() + length], part - low, length)
     return out
 
 
+def _hashes_at(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of ``length`` bytes by differences of one running sum, for a few starts among many bytes."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(INVERSE, len(data)), out=sums[1:])
+    return mix((sums[starts + length] - sums[starts]) * powers(ODD, len(data))[starts])
+
+
 def _reached(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """Sorts suffixes and looks both ways for a smaller document within the common prefix."""
     _, values = np.unique(docs, return_inverse=True)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = []
-    for k in range(0, length, 8):
-        word = np.zeros(len(starts), np.uint64)
-        for b in range(8):
-            word <<= np.uint64(8)
-            if k + b < length:
-                word |= padded[starts + (k + b)]
-        words.append(word)
+    # Eight bytes from any position as one number that sorts like them; the last overlaps the one before.
+    wide = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
+    words = [wide[starts + min(k, length - 8)].astype(np.uint64) for k in range(0, length, 8)]
     order = np.lexsort(words[::-1])
     values = values[order]
     apart = np.zeros(len(order), bool)  # common prefix with the suffix before is shorter
@@ -282,7 +282,14 @@ class _Job:
     def send(self, docs, bucket, bits, position, count, begin, data, hot) -> pa.Table:
         every = np.repeat(np.arange(len(docs)), count)
         starts = _ranges(begin, count)
-        gone = previous_factor_reached(data, starts, docs[every])
+        # Only anchors that two of these documents share can have copies here.
+        keys, back = np.unique(self.code(bucket, bits), return_inverse=True)
+        least, most = np.full(len(keys), np.iinfo(np.int64).max), np.full(len(keys), np.iinfo(np.int64).min)
+        np.minimum.at(least, back, docs)
+        np.maximum.at(most, back, docs)
+        twice = (least < most)[back][every]
+        gone = np.zeros(len(starts), bool)
+        gone[twice] = previous_factor_reached(data, starts[twice], docs[every][twice])
         where = position[every] + starts - begin[every]
         rows = []
         self.put_removed(rows, docs[every][gone], where[gone])
@@ -297,7 +304,7 @@ class _Job:
         to = bucket[every[at]]
         alone = single[at]
         if alone.any():
-            to[alone] = (string_hashes(data, WINDOW)[starts[at[alone]]] % np.uint64(self.buckets)).astype(np.int64)
+            to[alone] = (_window_hashes(data, starts[at[alone]], WINDOW) % np.uint64(self.buckets)).astype(np.int64)
         for bucket_to, (d, w, n, s) in _pieces_of(to, docs[every[at]], where[at], size, starts[at]):
             content = data[_ranges(s, n + WINDOW - 1)]
             rows.append([bucket_to, d.tobytes(), w.tobytes(), n.astype(np.uint8).tobytes(), content.tobytes()])
@@ -374,7 +381,7 @@ class _Job:
 
     @staticmethod
     def code(bucket: np.ndarray, bits: np.ndarray, docs: np.ndarray | None = None) -> np.ndarray:
-        code = mix(bucket.astype(np.uint64) * _ODD + bits.astype(np.uint64))
+        code = mix(bucket.astype(np.uint64) * ODD + bits.astype(np.uint64))
         return code if docs is None else mix(code ^ docs.view(np.uint64))
 
     @staticmethod
