@@ -99,4 +99,43 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_fingerprints": op6_fingerprints,
 }
-ORACLES: dict[str, str] = {}
+# The given pages' articles hold headings, paragraphs, bold text, line breaks and a few character references.
+_ARTICLE = r"""
+    SELECT page_id, url, text, len(text) AS n_chars FROM (
+        SELECT page_id, url, array_to_string([y FOR y IN [
+                   trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                       x, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))
+                   FOR x IN string_split_regex(
+                       regexp_replace(regexp_replace(body, '<br>', ' ', 'g'), '</?b>', '', 'g'), '</?(?:p|h1)>')
+               ] IF y <> ''], chr(10) || chr(10)) AS text
+        FROM (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1),
+                                                  '<[a-z/!][^>]*$', '') AS body FROM pages))
+"""
+
+# Hexadecimal digits stand for bytes, two each. A run goes on while the next window begins at most 50 bytes later.
+ORACLES = {
+    "op10_html_extraction": _ARTICLE,
+    "op1_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS MATERIALIZED (
+            SELECT doc_id, p, md5(substr(h, 2 * p + 1, 100)) AS s
+            FROM (SELECT doc_id, h, unnest(range(greatest(len(h) // 2 - 49, 0))) AS p FROM d)),
+        gone AS (
+            SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, true) AS fresh
+            FROM w JOIN (SELECT s, min(doc_id) AS least FROM w GROUP BY s) USING (s) WHERE least < doc_id),
+        runs AS (
+            SELECT doc_id, min(p) AS a, max(p) + 50 AS b
+            FROM (SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM gone)
+            GROUP BY doc_id, run),
+        ends AS (
+            SELECT doc_id, a AS till, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM runs
+            UNION ALL
+            SELECT doc_id, len(h) // 2, coalesce(b, 0) FROM d LEFT JOIN (SELECT doc_id, max(b) AS b FROM runs GROUP BY 1) USING (doc_id)),
+        kept AS (
+            SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (till - since)), '' ORDER BY since) AS k
+            FROM ends JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, len(h) // 2 AS n_bytes, (len(h) - len(k)) // 2 AS n_removed, coalesce(n, 0) AS n_spans,
+               sha256(unhex(k)) AS kept_sha256
+        FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM runs GROUP BY 1) USING (doc_id)
+    """,
+}
