@@ -39,3 +39,12 @@ def test_query(spark, sf_dir, duck, name):
         want = duck.execute(sql).fetchdf()
         assert sorted(got.columns) == sorted(want.columns)
         assert normal(got) == normal(want)
+
+
+@pytest.mark.parametrize("name", ["checkpoint_roundtrip", "tune_smoke", "tune_minibatch", "score_blocks", "gradient_step"])
+def test_query_without_the_package_settings(spark, sf_dir, duck, name):
+    """On a session that leaves Arrow conversion off, as any user's may."""
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    got = entry.queries()[name](plain, sf_dir).toPandas()
+    assert normal(got) == normal(duck.execute(entry.oracle_sql()[name]).fetchdf())
