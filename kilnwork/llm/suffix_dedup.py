@@ -27,6 +27,8 @@ from kilnwork.session import materialise
 WINDOW, ANCHOR = 50, 24
 _SLICE = 1 << 20
 _SORTED = 1 << 18
+#: Fewer documents than these never make an anchor hot.
+HOT_DOCUMENTS = 1000
 #: Rows of a document id that is repeated are told apart by this many high bits of their positions.
 _ROW = 40
 
@@ -173,8 +175,28 @@ def _table(names: Sequence[str], rows: list[list]) -> pa.Table:
     return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], list(names))
 
 
-def _joined(table: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+def _packed(values: np.ndarray | bytes) -> bytes:
+    """The values' bytes, compressed, behind their number."""
+    data = values if isinstance(values, bytes) else values.tobytes()
+    return len(data).to_bytes(4, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[4:], int.from_bytes(data[:4], "little"), "zstd", asbytes=True)
+
+
+def _with_packed_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts move between tasks twice; packed they are half as large as what a shuffle makes of them."""
+    for batch in batches:
+        packed = pa.array([_packed(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", packed)
+
+
+def _joined(table: pa.Table, name: str, kind: str, packed: bool = False) -> np.ndarray:
+    parts = table.column(name).to_pylist()
+    if packed:
+        parts = [_unpacked(p) for p in parts]
+    return np.frombuffer(b"".join(parts), kind)
 
 
 def _slices(texts: Sequence[bytes], size: int = _SLICE) -> Iterator[tuple[int, int]]:
@@ -222,33 +244,35 @@ class _Job:
                 rows = []
                 # Witnesses: the least document of each key, and how many documents it stands for.
                 weight = np.repeat(n_docs, n_docs)
-                for to, (d, h, w) in _pieces_of(bucket[key_new], docs[key_new], bits[key_new], weight[key_new].astype(np.uint32)):
-                    rows.append([to, b"", d.tobytes(), h.tobytes(), w.tobytes()])
-                known = self.group_of(docs[shared])
-                for to, (d, k, h) in _pieces_of(known, docs[shared], bucket[shared].astype(np.uint32), bits[shared]):
-                    rows.append([self.buckets + to, k.tobytes(), d.tobytes(), h.tobytes(), b""])
-                yield from _table(("bucket", "of", "docs", "bits", "weights"), rows).to_batches()
+                order = np.argsort(docs[key_new], kind="stable")  # equal documents side by side pack well
+                sent = (c[key_new][order] for c in (bucket, docs, bits, weight.astype(np.uint32)))
+                for to, (d, h, w) in _pieces_of(*sent):
+                    rows.append([to, b"", _packed(d), h.tobytes(), _packed(w)])
+                codes = self.code(bucket[shared], bits[shared], docs[shared])
+                for to, (c,) in _pieces_of(self.group_of(docs[shared]), codes):
+                    rows.append([self.buckets + to, c.tobytes(), b"", b"", b""])
+                yield from _table(("bucket", "codes", "docs", "bits", "weights"), rows).to_batches()
 
     def shared(self, hot: int):
         def run(table: pa.Table) -> pa.Table:
-            """Documents and anchors of those anchors that have two documents or more, by group of documents."""
+            """Codes of the documents' anchors that have two documents or more, by group of documents."""
             bucket = table.column("bucket")[0].as_py()
-            names = ("grp", "of", "docs", "bits")
+            names = ("grp", "codes")
             if bucket >= self.buckets:
-                return _table(names, [[bucket - self.buckets, *(b"".join(table.column(n).to_pylist()) for n in names[1:])]])
-            docs, bits, weight = _joined(table, "docs", "<i8"), _joined(table, "bits", "<u4"), _joined(table, "weights", "<u4")
+                return _table(names, [[bucket - self.buckets, b"".join(table.column("codes").to_pylist())]])
+            docs, bits, weight = _joined(table, "docs", "<i8", True), _joined(table, "bits", "<u4"), _joined(table, "weights", "<u4", True)
             order = np.lexsort((docs, bits))
             docs, bits, weight = docs[order], bits[order], weight[order].astype(np.int64)
             at = np.flatnonzero(np.concatenate([[True], bits[1:] != bits[:-1]]))
             count = np.diff(np.append(at, len(bits)))
             many = np.repeat(docs[at] != docs[at + count - 1], count)
             total = np.add.reduceat(weight, at)
-            rows = []
-            for to, (d, h) in _pieces_of(self.group_of(docs[many]), docs[many], bits[many]):
-                rows.append([to, np.full(len(d), bucket, np.uint32).tobytes(), d.tobytes(), h.tobytes()])
+            of = np.full(len(bits), bucket)
+            codes = self.code(of[many], bits[many], docs[many])
+            rows = [[to, c.tobytes()] for to, (c,) in _pieces_of(self.group_of(docs[many]), codes)]
             very = bits[at][total >= hot]
             if len(very):
-                rows.append([-1, np.full(len(very), bucket, np.uint32).tobytes(), b"", very.tobytes()])
+                rows.append([-1, self.code(of[: len(very)], very).tobytes()])
             return _table(names, rows)
 
         return run
@@ -259,7 +283,7 @@ class _Job:
         def run(texts: pa.Table, shared: pa.Table) -> pa.Table:
             """The windows of shared anchors by bucket, and by group those that this task finds to be later copies."""
             docs_of, texts_of, row_of = self.ordered(texts)
-            known = np.unique(self.code(_joined(shared, "of", "<u4"), _joined(shared, "bits", "<u4"), _joined(shared, "docs", "<i8")))
+            known = np.unique(_joined(shared, "codes", "<u8"))
             parts = []
             for a, b in _slices(texts_of):
                 found = Anchors(texts_of[a:b])
@@ -307,7 +331,7 @@ class _Job:
             to[alone] = (_window_hashes(data, starts[at[alone]], WINDOW) % np.uint64(self.buckets)).astype(np.int64)
         for bucket_to, (d, w, n, s) in _pieces_of(to, docs[every[at]], where[at], size, starts[at]):
             content = data[_ranges(s, n + WINDOW - 1)]
-            rows.append([bucket_to, d.tobytes(), w.tobytes(), n.astype(np.uint8).tobytes(), content.tobytes()])
+            rows.append([bucket_to, _packed(d), _packed(w), n.astype(np.uint8).tobytes(), _packed(content)])
         return _table(("bucket", "docs", "starts", "counts", "data"), rows)
 
     def put_removed(self, rows: list, docs: np.ndarray, where: np.ndarray) -> None:
@@ -320,16 +344,16 @@ class _Job:
         last = np.append(at[1:], len(docs)) - 1
         docs, low, size = docs[at], where[at], (where[last] - where[at] + 1 if len(at) else np.empty(0, np.int64))
         for to, (d, w, n) in _pieces_of(self.group_of(docs), docs, low, size):
-            rows.append([self.buckets + to, d.tobytes(), w.tobytes(), n.tobytes(), b""])
+            rows.append([self.buckets + to, _packed(d), _packed(w), _packed(n), b""])
 
     def copies(self, table: pa.Table) -> pa.Table:
         """Runs of windows that are later copies, by group of documents."""
         bucket = table.column("bucket")[0].as_py()
         names = ("grp", "docs", "starts", "sizes")
         if bucket >= self.buckets:
-            return _table(names, [[bucket - self.buckets, *(b"".join(table.column(n).to_pylist()) for n in ("docs", "starts", "counts"))]])
-        docs, position = _joined(table, "docs", "<i8"), _joined(table, "starts", "<i8")
-        count, data = _joined(table, "counts", "u1").astype(np.int64), _joined(table, "data", "u1")
+            return _table(names, [[bucket - self.buckets, *row] for row in zip(*(table.column(n).to_pylist() for n in ("docs", "starts", "counts")), strict=True)])
+        docs, position = _joined(table, "docs", "<i8", True), _joined(table, "starts", "<i8", True)
+        count, data = _joined(table, "counts", "u1").astype(np.int64), _joined(table, "data", "u1", True)
         length = count + WINDOW - 1
         begin = np.cumsum(length) - length
         every, starts = np.repeat(np.arange(len(docs)), count), _ranges(begin, count)
@@ -342,7 +366,7 @@ class _Job:
         def run(texts: pa.Table, copies: pa.Table) -> pa.Table:
             """Every row with its removed spans and what is left."""
             docs_of, texts_of, row_of, order = self.ordered(texts, True)
-            docs, starts, sizes = (_joined(copies, n, "<i8") for n in ("docs", "starts", "sizes"))
+            docs, starts, sizes = (_joined(copies, n, "<i8", True) for n in ("docs", "starts", "sizes"))
             at = np.lexsort((starts, docs))
             docs, starts, sizes = docs[at], starts[at], sizes[at]
             spans_of, left_of, removed_of = [], [], []
@@ -388,7 +412,7 @@ class _Job:
     def ordered(texts: pa.Table, with_order: bool = False):
         """Documents and texts of a group in a fixed order, with the number of each row among those of its document."""
         docs = texts.column("doc").fill_null(np.iinfo(np.int64).min).to_numpy()
-        coded = [t.encode() for t in texts.column("text").to_pylist()]
+        coded = [_unpacked(t) for t in texts.column("text").to_pylist()]
         order = sorted(range(len(docs)), key=lambda i: (docs[i], coded[i]))
         docs, coded = docs[order], [coded[i] for i in order]
         row = np.zeros(len(docs), np.int64)
@@ -415,21 +439,24 @@ def remove_repeats(
     )
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(4 * tasks, total // part_bytes + 1)
-    job = _Job(parts, _prime_from(parts))
+    parts = max(tasks, total // part_bytes + 1)
+    job = _Job(max(tasks, parts // 2), _prime_from(parts))
     # An anchor is hot from this many documents on; there are about total / 13 anchors, so at most 20,000 hot ones.
-    hot_from = max(1000, total // 13 // 20_000)
+    hot_from = max(HOT_DOCUMENTS, total // 13 // 20_000)
 
     found = source.filter("doc is not null").select("doc", "text")
-    found = found.mapInArrow(job.anchors, "bucket int, of binary, docs binary, bits binary, weights binary")
-    shared = found.groupBy("bucket").applyInArrow(job.shared(hot_from), "grp int, of binary, docs binary, bits binary")
+    found = found.mapInArrow(job.anchors, "bucket int, codes binary, docs binary, bits binary, weights binary")
+    shared = found.groupBy("bucket").applyInArrow(job.shared(hot_from), "grp int, codes binary")
     shared = materialise(shared, "shared")
-    hot = [job.code(np.frombuffer(r["of"], "<u4"), np.frombuffer(r["bits"], "<u4")) for r in shared.filter("grp = -1").collect()]
+    hot = [np.frombuffer(r["codes"], "<u8") for r in shared.filter("grp = -1").collect()]
     hot = np.unique(np.concatenate(hot)) if hot else np.empty(0, np.uint64)
 
-    grouped = source.withColumn("grp", F.pmod(F.coalesce("doc", F.lit(0)), F.lit(job.groups)).cast("int"))
+    numbered = source.withColumn("grp", F.pmod(F.coalesce("doc", F.lit(0)), F.lit(job.groups)).cast("int"))
+    packed_schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in numbered.schema])
+    grouped = numbered.mapInArrow(_with_packed_text, packed_schema)
     windows = (
-        grouped.filter("doc is not null").select("grp", "doc", "text").groupBy("grp")
+        numbered.filter("doc is not null").select("grp", "doc", "text")
+        .mapInArrow(_with_packed_text, "grp int, doc bigint, text binary").groupBy("grp")
         .cogroup(shared.filter("grp >= 0").groupBy("grp"))
         .applyInArrow(job.windows(hot), "bucket int, docs binary, starts binary, counts binary, data binary")
     )
