@@ -36,7 +36,7 @@ class TextModel:
     logp: np.ndarray
 
 
-def parts_of(texts: Sequence[str | None], size: int = 1 << 20) -> Iterator[list[str]]:
+def parts_of(texts: Sequence[str | None], size: int = 1 << 18) -> Iterator[list[str]]:
     """Runs of texts of about ``size`` characters (a longer text is a run by itself), so that arrays stay small."""
     part: list[str] = []
     held = 0

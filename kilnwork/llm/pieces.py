@@ -216,6 +216,10 @@ class Codec:
             known[word] = array("i", self.pieces.merge_word(word)).tobytes()
         return [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in parts]
 
+    def forget(self) -> None:
+        """Drop the remembered words: a worker goes on to other tasks, perhaps of other stages."""
+        self._known.clear()
+
     def decode(self, ids: Sequence[int]) -> str:
         """The text of token ids; bytes that are no UTF-8 become replacement characters."""
         table = self._bytes
@@ -280,6 +284,7 @@ def encode(
                     ),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [f.split(" ")[0] for f in fields])
+        own.forget()
 
     out = source.mapInArrow(run, ", ".join(fields))
     return out.withColumnsRenamed(dict(zip(names, keep, strict=True)))
