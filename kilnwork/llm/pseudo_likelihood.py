@@ -1,7 +1,8 @@
 """Language-model scoring by masked pseudo-likelihood.
 
 A window network reads two words on either side of a masked word and predicts it: embeddings, one hidden layer, and a
-softmax in two steps (class of words, then word of the class). Word counts come from the whole corpus; the network is
+softmax in two steps (class of words, then word of the class). The most frequent words are classes of their own; the
+others are predicted as one unknown word and told apart by their own counts. Word counts come from the whole corpus; the network is
 trained in NumPy by the tasks of Spark, each on its own documents, and their parameters are averaged after every round.
 A document's score is the sum of the log-probabilities of all its words.
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,10 @@ SIDE = 2
 CLASSES, MEMBERS = 64, 64
 EMBEDDING, HIDDEN = 12, 24
 UNKNOWN, PAD = 0, CLASSES * MEMBERS
+#: Ids of unknown words as context, by hash, follow ``PAD``.
+BUCKETS = 1 << 12
 _SHAPES = {
-    "embedding": (PAD + 1, EMBEDDING),
+    "embedding": (PAD + 1 + BUCKETS, EMBEDDING),
     "into": (2 * SIDE * EMBEDDING, HIDDEN),
     "into_bias": (HIDDEN,),
     "classes": (HIDDEN, CLASSES),
@@ -43,8 +46,10 @@ class Vocabulary:
     hashes: np.ndarray
     ids: np.ndarray
     counts: np.ndarray
-    #: Different words beyond these; an unknown word is one of them, all alike.
+    #: Different words beyond these.
     others: int
+    #: Table of all words' hashes and counts; stays on the driver.
+    words: DataFrame | None = None
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
@@ -52,9 +57,12 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.ids[at], UNKNOWN)
 
+    def for_tasks(self) -> Vocabulary:
+        return replace(self, words=None)
+
 
 def fit_vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    """Counts the words of every row; the ``CLASSES * MEMBERS - 1`` most frequent come to the driver."""
+    """Counts the words of every row; the ``CLASSES * MEMBERS - 1`` most frequent come to the driver, all stay in a table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,7 +79,7 @@ def fit_vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
     counts[1 : len(top) + 1] = [r["n"] for r in top]
     counts[UNKNOWN] = (totals["tokens"] or 0) - counts.sum()
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], order + 1, counts, max(1, (totals["words"] or 0) - len(top)))
+    return Vocabulary(hashes[order], order + 1, counts, (totals["words"] or 0) - len(top), counted)
 
 
 def start(vocabulary: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
@@ -88,6 +96,11 @@ def start(vocabulary: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
     return net
 
 
+def context_ids(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Ids of words as context: an unknown word has that of its bucket."""
+    return np.where(ids == UNKNOWN, PAD + 1 + (hashes % np.uint64(BUCKETS)).astype(np.int64), ids)
+
+
 def contexts(ids: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Ids of the words before and after each word within its text; ``PAD`` beyond its ends."""
     n = len(ids)
@@ -195,10 +208,11 @@ def fit(
     that no task meets the parameters of all others, starts the next round.
     """
     spark = docs.sparkSession
+    known = vocabulary.for_tasks()
     chosen = docs.select(F.col(text).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
     flat = _flat(start(vocabulary))
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast(flat)  # some 600 KB whatever the corpus
+        sent = spark.sparkContext.broadcast(flat)  # some 800 KB whatever the corpus
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             net = _unflat(sent.value)
@@ -207,8 +221,8 @@ def fit(
                 for batch in batches:
                     for part in batches_of(batch):
                         hashes, owner = word_hashes([t or "" for t in part.column("text").to_pylist()])
-                        ids = vocabulary.lookup(hashes)
-                        around = contexts(ids, owner)
+                        ids = known.lookup(hashes)
+                        around = contexts(context_ids(ids, hashes), owner)
                         order = np.random.default_rng(len(ids)).permutation(len(ids))
                         for at in range(0, len(ids), step):
                             use = order[at : at + step]
@@ -240,23 +254,37 @@ def _added(table: pa.Table) -> pa.Table:
 def score(docs: DataFrame, vocabulary: Vocabulary, net: dict[str, np.ndarray], text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns with n_words, log_likelihood (sum over all words) and perplexity for every row.
 
-    An unknown word has its probability as such, divided among the different unknown words of the corpus. A text
-    without words, empty or null, has likelihood 0 and a null perplexity.
+    An unknown word has its probability as such times its own share of all unknown words of the corpus, by the table of
+    words; one that the corpus does not have counts as seen once. A text without words, empty or null, has likelihood 0
+    and a null perplexity.
     """
-    spread = math.log(vocabulary.others)
+    known, unknown = vocabulary.for_tasks(), max(1.0, float(vocabulary.counts[UNKNOWN]))
     sent = docs.sparkSession.sparkContext.broadcast(_flat(net))
 
-    @F.arrow_udf("struct<n_words: bigint, log_likelihood: double>")
+    @F.arrow_udf("struct<n_words: bigint, logs: double, rare: array<bigint>>")
     def scores(texts: pa.Array) -> pa.Array:
         own = _unflat(sent.value)
-        n, sums = [np.empty(0, np.int64)], [np.empty(0)]
+        n, sums, rare, sizes = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
         for part in batches_of(pa.RecordBatch.from_arrays([texts], ["text"])):
             hashes, owner = word_hashes([t or "" for t in part.column("text").to_pylist()])
-            ids = vocabulary.lookup(hashes)
-            logs = log_probabilities(own, ids, contexts(ids, owner)) - np.where(ids == UNKNOWN, spread, 0.0)
+            ids = known.lookup(hashes)
+            logs = log_probabilities(own, ids, contexts(context_ids(ids, hashes), owner))
             n.append(np.bincount(owner, minlength=part.num_rows))
             sums.append(np.bincount(owner, logs, minlength=part.num_rows))
-        return pa.StructArray.from_arrays([pa.array(np.concatenate(n)), pa.array(np.concatenate(sums))], ["n_words", "log_likelihood"])
-
-    out = docs.select(*keep, scores(F.col(text)).alias("_s")).select(*keep, "_s.*")
+            rare.append(hashes[ids == UNKNOWN].view(np.int64))
+            sizes.append(np.bincount(owner[ids == UNKNOWN], minlength=part.num_rows))
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)).astype(np.int32)), pa.array(np.concatenate(rare)))
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(n)), pa.array(np.concatenate(sums)), lists], ["n_words", "logs", "rare"])
+
+    names = [f"k{i}" for i in range(len(keep))]
+    rows = docs.select(*(F.col(c).alias(k) for c, k in zip(keep, names, strict=True)), scores(F.col(text)).alias("_s"))
+    rows = materialise(rows.select(F.monotonically_increasing_id().alias("_row"), *names, "_s.*"), "scores")
+    # No word here is among the most frequent, so no key of the join is hot.
+    rare = rows.select("_row", F.explode("rare").alias("word")).join(vocabulary.words, "word", "left")
+    shares = rare.groupBy("_row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)) / unknown)).alias("shares"))
+    out = rows.drop("rare").join(shares, "_row", "left").select(
+        *(F.col(k).alias(c) for c, k in zip(keep, names, strict=True)),
+        "n_words",
+        (F.col("logs") + F.coalesce("shares", F.lit(0.0))).alias("log_likelihood"),
+    )
     return out.withColumn("perplexity", F.exp(-F.col("log_likelihood") / F.nullif(F.col("n_words"), F.lit(0))))

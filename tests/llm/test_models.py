@@ -129,6 +129,25 @@ def test_both_sides_tell_a_word(spark):
     assert mean(held, net) > mean(shuffled, net) + 0.5
 
 
+def test_unknown_words_score_by_their_own_counts(spark):
+    # 4,095 words seen 60 times each fill the list; of the others one is seen 50 times, one 10 times, one once.
+    texts = [" ".join(f"w{i}" for i in range(pl.PAD - 1))] * 60 + ["often"] * 50 + ["seldom"] * 10 + ["once"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    vocabulary = pl.fit_vocabulary(docs)
+    assert vocabulary.counts[pl.UNKNOWN] == 61 and vocabulary.others == 3
+    probe = spark.createDataFrame([("often",), ("seldom",), ("once",), ("never",), ("often once",)], "text string")
+    net = pl.start(vocabulary)
+    rows = {r["text"]: r["log_likelihood"] for r in pl.score(probe, vocabulary, net, keep=["text"]).collect()}
+    assert rows["often"] - rows["once"] == pytest.approx(np.log(50))
+    assert rows["seldom"] - rows["once"] == pytest.approx(np.log(10))
+    assert rows["never"] == pytest.approx(rows["once"])
+    alone = pl.log_probabilities(net, np.array([pl.UNKNOWN]), np.full((1, 2 * pl.SIDE), pl.PAD))[0]
+    assert sum(np.exp(rows[w]) for w in ("often", "seldom", "once")) == pytest.approx(np.exp(alone))
+    # As context, unknown words differ too.
+    hashes = np.array([1, 2], np.uint64)
+    assert len(set(pl.context_ids(np.zeros(2, np.int64), hashes))) == 2 and (pl.context_ids(np.array([5, 6]), hashes) == [5, 6]).all()
+
+
 def test_scores_of_odd_rows(spark):
     df = spark.createDataFrame([(i, t, "e") for i, t in enumerate(ODD)] + [(None, "x", "e")], "doc_id long, text string, n_words string")
     vocabulary = pl.fit_vocabulary(df)
