@@ -15,7 +15,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kilnwork.llm.near_dedup import batches_of
@@ -199,19 +199,29 @@ def _unflat(flat: np.ndarray) -> dict[str, np.ndarray]:
     return net
 
 
+_DRAWS = 1 << 20
+
+
+def _in_round(draw: Column, i: int, share: float) -> Column:
+    """Is a draw below ``_DRAWS`` in the ``i``-th ``share`` of them? After the last share comes the first again."""
+    since, till = round(i * share * _DRAWS), round((i + 1) * share * _DRAWS)
+    return F.pmod(draw - F.lit(since), F.lit(_DRAWS)) < F.lit(till - since)
+
+
 def fit(
-    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", share: float = 0.1, rounds: int = 2, step: int = 2048
+    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", share: float = 0.25, rounds: int = 4, step: int = 2048
 ) -> dict[str, np.ndarray]:
-    """Trains on ``share`` of the rows, chosen by hash, so that what is learnt from grows with the corpus.
+    """Trains on every row once, unless told otherwise: each round on the next ``share`` of the rows by hash.
 
-    Each task trains from the current parameters on its own rows; the average weighted by words, summed in two levels so
+    The hash is that of the whole row, so that copies of a text are dealt over the rounds. Each task trains from the current parameters on its own rows; the average weighted by words, summed in two levels so
     that no task meets the parameters of all others, starts the next round.
     """
     spark = docs.sparkSession
     known = vocabulary.for_tasks()
-    chosen = docs.select(F.col(text).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    drawn = docs.select(F.col(text).alias("text"), F.pmod(F.xxhash64(*docs.columns), F.lit(_DRAWS)).alias("draw"))
     flat = _flat(start(vocabulary))
-    for _ in range(rounds):
+    for i in range(rounds):
+        chosen = drawn.filter(_in_round(F.col("draw"), i, share)).select("text")
         sent = spark.sparkContext.broadcast(flat)  # some 800 KB whatever the corpus
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

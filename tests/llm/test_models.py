@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kilnwork.llm import extraction, pieces
 from kilnwork.llm import pseudo_likelihood as pl
@@ -148,6 +149,24 @@ def test_unknown_words_score_by_their_own_counts(spark):
     assert len(set(pl.context_ids(np.zeros(2, np.int64), hashes))) == 2 and (pl.context_ids(np.array([5, 6]), hashes) == [5, 6]).all()
 
 
+def test_training_sees_every_row_once(spark, monkeypatch):
+    # A text that a third of the rows share, and others.
+    texts = ["copy of a text"] * 100 + [f"text number {i}" for i in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    seen, frame = [], type(docs)
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    vocabulary = pl.fit_vocabulary(docs)
+    seen.clear()
+    pl.fit(docs, vocabulary)
+    words = [r["words"] for got in seen for r in got]
+    assert sum(words) == sum(len(t.split()) for t in texts)
+    assert max(words) < 0.5 * sum(words)  # copies do not go as one
+    for share, rounds in ((0.3, 4), (1.0, 3)):
+        n = [spark.range(1000).filter(pl._in_round(F.col("id") * F.lit(pl._DRAWS // 1000), i, share)).count() for i in range(rounds)]
+        assert all(abs(x - 1000 * share) <= 1 for x in n)
+
+
 def test_scores_of_odd_rows(spark):
     df = spark.createDataFrame([(i, t, "e") for i, t in enumerate(ODD)] + [(None, "x", "e")], "doc_id long, text string, n_words string")
     vocabulary = pl.fit_vocabulary(df)
