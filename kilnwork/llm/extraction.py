@@ -1,7 +1,8 @@
 """Main text of web pages, with site templates removed.
 
-Block elements are hashed with all that is in them. Spark counts on how many pages of a host each hash occurs; those on
-many are the site's template and are deleted, besides what tags, roles and class names say is no part of the article.
+Block elements are hashed with all that is in them. Spark counts within how many different contents of a host each hash
+occurs, so that copies of a page count once; those within many are the site's template and are deleted, besides what
+tags, roles and class names say is no part of the article.
 """
 
 from __future__ import annotations
@@ -156,6 +157,38 @@ def _marked(node: Node) -> bool:
     return False
 
 
+def tree_contexts(root: Node) -> dict[int, int]:
+    """For each hash of a subtree that may be a template, a hash of the texts around it.
+
+    Around are the other texts of its outermost article or main, else of the page, in any order. Of several places
+    within the page one counts.
+    """
+    hashes, order, pending = subtree_hashes(root), [], [(root, root)]
+    while pending:
+        node, region = pending.pop()
+        if node.tag in DROPPED or _marked(node):
+            continue
+        if region is root and node.tag in ("article", "main"):
+            region = node
+        order.append((node, region))
+        pending += [(c, region) for c in node.children if isinstance(c, Node)]
+    sums: dict[int, int] = {}
+    for node, _ in reversed(order):
+        total = 0
+        for child in node.children:
+            if isinstance(child, Node):
+                total += sums.get(id(child), 0)
+            elif text := " ".join(child.split()):
+                total += int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little")
+        sums[id(node)] = total % 2**64
+    found: dict[int, int] = {}
+    for node, region in order:
+        if id(node) in hashes:
+            around = (sums[id(region)] - sums[id(node)]) % 2**64 - 2**63
+            found[hashes[id(node)]] = min(around, found.get(hashes[id(node)], around))
+    return found
+
+
 def main_text(page: str | None, templates: Collection[int] = ()) -> str:
     """The article's blocks, joined by two line breaks.
 
@@ -227,13 +260,13 @@ def host_of(url: str):
 
 
 def extract(
-    pages: DataFrame, html: str = "html", url: str = "url", key: str = "page_id", min_pages: int = 5, min_share: float = 0.05
+    pages: DataFrame, html: str = "html", url: str = "url", key: str = "page_id", min_pages: int = 5
 ) -> DataFrame:
     """Key, url, ``text`` (empty if none) and ``n_chars`` of every row.
 
-    An element's subtree is a template if it occurs on ``min_pages`` pages of its host and on ``min_share`` of them. In
-    an article only containers are deleted as such, never paragraphs, headings or the article itself, so that copies of
-    an article on one host keep their text. Null html is an empty page; null or odd addresses share one host. Rows with
+    An element's subtree is a template if it occurs within ``min_pages`` different contents of its host: copies of a page
+    or an article count once, however many, and keep their text. In an article only containers are deleted as such,
+    never paragraphs, headings or the article itself. Null html is an empty page; null or odd addresses share one host. Rows with
     equal columns get equal results; other columns are ignored.
     """
     rows = pages.select(
@@ -244,15 +277,15 @@ def extract(
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(set(subtree_hashes(parse(p)).values())) for p in batch.column("html").to_pylist()]
-            columns = [batch.column(n) for n in ("key", "url", "host", "digest")] + [pa.array(found, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "url", "host", "digest", "trees"])
-
-    trees = rows.select("key", "url", "host", "digest", "html").mapInArrow(hashed, f"key {kind}, url string, host string, digest bigint, trees array<bigint>")
-    trees = materialise(trees, "trees")
-    seen = trees.select("host", F.explode("trees").alias("tree")).groupBy("host", "tree").agg(F.count("*").alias("n"))
-    sizes = trees.groupBy("host").agg(F.count("*").alias("pages"))
-    often = seen.filter(F.col("n") >= min_pages).join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages"))
+            found = [sorted(tree_contexts(parse(p)).items()) for p in batch.column("html").to_pylist()]
+            columns = [batch.column(n) for n in ("key", "url", "host", "digest")]
+            columns += [pa.array([[pair[k] for pair in pairs] for pairs in found], pa.list_(pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "url", "host", "digest", "trees", "around"])
+
+    schema = f"key {kind}, url string, host string, digest bigint, trees array<bigint>, around array<bigint>"
+    trees = materialise(rows.select("key", "url", "host", "digest", "html").mapInArrow(hashed, schema), "trees")
+    seen = trees.select("host", F.inline(F.arrays_zip("trees", "around"))).toDF("host", "tree", "around").distinct()
+    often = seen.groupBy("host", "tree").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
     often = materialise(often.select("host", "tree"), "templates")
     same = ["key", "url", "digest"]
     hits = trees.select(*same, "host", F.explode("trees").alias("tree")).join(often, ["host", "tree"])

@@ -229,3 +229,21 @@ def test_templates_of_a_host_go_and_copies_of_an_article_stay(spark):
     assert all(texts[200 + i] == "the same article" for i in range(30))
     assert texts[300] == "" and texts[None] == "x"
     assert extraction.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_copies_of_a_page_keep_their_text_and_templates_of_large_hosts_go(spark):
+    def rows_of(host, first, bodies):
+        return [(first + i, f"https://{host}/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+
+    rows = rows_of("a.example", 0, ["<article><div class=body><p>same</p></div></article>"] * 8)
+    rows += rows_of("b.example", 100, ["<div>top</div><div class=content><p>same</p></div>"] * 8)
+    # A block on 6 pages of 300 is as much a template as on 6 of 6; within copies it goes too.
+    box = "<div><p>Ask our experts</p></div>"
+    rows += rows_of("c.example", 1000, [f"<article><p>text {i}</p>{box if i < 6 else ''}</article>" for i in range(300)])
+    rows += rows_of("c.example", 2000, [f"<article><div><p>copied</p></div>{box}</article>"] * 8)
+    got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    texts = {r["page_id"]: r["text"] for r in got}
+    assert {texts[i] for i in range(8)} == {"same"}
+    assert {texts[100 + i] for i in range(8)} == {"top\n\nsame"}
+    assert all(texts[1000 + i] == f"text {i}" for i in range(300))
+    assert {texts[2000 + i] for i in range(8)} == {"copied"}
