@@ -25,7 +25,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 DROPPED = frozenset(
     "script style textarea title noscript template iframe xmp noembed noframes head nav footer aside form button select "
-    "option svg math canvas object audio video dialog menu figure".split()
+    "option svg canvas object audio video dialog menu".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
@@ -43,6 +43,8 @@ CHROME = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus replies reply respond "
     "related recommended pagination pager toolbar widget complementary contentinfo search skip dialog form".split()
 )
+#: Words before another that say what a layout has or lacks: "with-sidebar" is no sidebar.
+_STATES = frozenset("has with no not without is".split())
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -141,8 +143,7 @@ def subtree_hashes(root: Node) -> dict[int, int]:
     return found
 
 
-def _marked(node: Node) -> bool:
-    """Do the attributes say that this is no part of an article, or hidden?"""
+def _hidden(node: Node) -> bool:
     if not node.attributes or node.tag in ("html", "body", "article", "main") and "class" not in node.attributes:
         return False
     for match in _ATTRIBUTE.finditer(node.attributes):
@@ -151,24 +152,81 @@ def _marked(node: Node) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id", "role") and node.tag not in ("html", "body"):
-            if any(word.lower() in CHROME for word in _NAME.findall(value)):
-                return True
     return False
 
 
+def _marks(node: Node) -> int:
+    """How surely class, id or role say that this is no part of an article: 0 not, 1 among other words, 2 alone.
+
+    Ids of headings and sections are titles and say nothing.
+    """
+    found = 0
+    if not node.attributes or node.tag in ("html", "body"):
+        return found
+    for match in _ATTRIBUTE.finditer(node.attributes):
+        name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+        if name not in ("class", "id", "role") or name == "id" and (node.tag in HEADINGS or node.tag == "section"):
+            continue
+        for token in value.split():
+            words = [word.lower() for word in _NAME.findall(token)]
+            if words and words[0] not in _STATES and any(word in CHROME for word in words):
+                found = max(found, 2 if words == [value.lower()] else 1)
+    return found
+
+
+def _is_main(node: Node) -> bool:
+    return node.tag == "main" or bool(re.search(r"role\s*=\s*[\"']?main\b", node.attributes))
+
+
+def chrome(root: Node) -> set[int]:
+    """``id`` of the elements to delete with all that is in them, by attributes.
+
+    Hidden ones; and those marked by class, id or role, unless they hold the main element, the page's title (``h1``), all
+    its articles, or, where the mark is not the only word, over half of the text of their article or else of the page.
+    """
+    gone: set[int] = set()
+    order, pending = [], [(root, root)]
+    while pending:
+        node, region = pending.pop()
+        if node.tag in DROPPED or _hidden(node):
+            gone.add(id(node))
+            continue
+        if region is root and (node.tag == "article" or _is_main(node)):
+            region = node
+        order.append((node, region, _marks(node)))
+        pending += [(c, region) for c in node.children if isinstance(c, Node)]
+    sizes: dict[int, int] = {}
+    titles: dict[int, bool] = {}
+    articles: dict[int, int] = {}
+    for node, _, marks in reversed(order):
+        inner = [c for c in node.children if isinstance(c, Node) and id(c) not in gone]
+        sizes[id(node)] = sum(sizes[id(c)] for c in inner) + sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
+        titles[id(node)] = any(titles[id(c)] or c.tag == "h1" or _is_main(c) for c in inner)
+        articles[id(node)] = sum(articles[id(c)] for c in inner) + (node.tag == "article" and not marks)
+    for node, region, marks in order:
+        if not marks or _is_main(node) and marks < 2 or titles[id(node)]:
+            continue
+        if articles[id(node)] and articles[id(node)] == articles[id(root)]:
+            continue
+        # An article is measured by the page, all else by the article or main that it is in.
+        whole = sizes[id(root)] if region is node else sizes[id(region)]
+        if marks == 2 or 2 * sizes[id(node)] <= whole:
+            gone.add(id(node))
+    return gone
+
+
 def tree_contexts(root: Node) -> dict[int, int]:
     """For each hash of a subtree that may be a template, a hash of the texts around it.
 
     Around are the other texts of its outermost article or main, else of the page, in any order. Of several places
     within the page one counts.
     """
-    hashes, order, pending = subtree_hashes(root), [], [(root, root)]
+    hashes, gone, order, pending = subtree_hashes(root), chrome(root), [], [(root, root)]
     while pending:
         node, region = pending.pop()
-        if node.tag in DROPPED or _marked(node):
+        if id(node) in gone:
             continue
-        if region is root and node.tag in ("article", "main"):
+        if region is root and (node.tag == "article" or _is_main(node)):
             region = node
         order.append((node, region))
         pending += [(c, region) for c in node.children if isinstance(c, Node)]
@@ -198,26 +256,26 @@ def main_text(page: str | None, templates: Collection[int] = ()) -> str:
     if not page:
         return ""
     root = parse(page)
-    hashes = subtree_hashes(root) if templates else {}
+    hashes, gone = subtree_hashes(root) if templates else {}, chrome(root)
     candidates: dict[str, list[Node]] = {"article": [], "main": []}
     pending = [root]
     while pending:
         node = pending.pop()
-        if node.tag in DROPPED or _marked(node):
+        if id(node) in gone:
             continue
-        if node.tag in candidates or re.search(r"role\s*=\s*[\"']?main\b", node.attributes):
+        if node.tag == "article" or _is_main(node):
             candidates["article" if node.tag == "article" else "main"].append(node)
         pending += [c for c in node.children if isinstance(c, Node)]
     for nodes in candidates.values():
-        texts = [t for t in (_blocks(n, templates, hashes, True) for n in nodes) if t]
+        texts = [t for t in (_blocks(n, templates, hashes, gone, True) for n in nodes) if t]
         if texts:
             return max(texts, key=len)
         if nodes:
             return ""
-    return _blocks(root, templates, hashes, False)
+    return _blocks(root, templates, hashes, gone, False)
 
 
-def _blocks(top: Node, templates: Collection[int], hashes: dict[int, int], in_article: bool) -> str:
+def _blocks(top: Node, templates: Collection[int], hashes: dict[int, int], gone: Collection[int], in_article: bool) -> str:
     blocks: list[str] = []
     run: list[str] = []
 
@@ -237,7 +295,7 @@ def _blocks(top: Node, templates: Collection[int], hashes: dict[int, int], in_ar
         elif item.tag == "br":
             run.append(" ")
         else:
-            if item is not top and (item.tag in DROPPED or _marked(item) or hashes.get(id(item)) in templates and hashes):
+            if item is not top and (id(item) in gone or hashes.get(id(item)) in templates and hashes):
                 end()
                 continue
             if item.tag == "header" and not (in_article and _has_heading(item)):

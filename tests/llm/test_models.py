@@ -247,3 +247,21 @@ def test_copies_of_a_page_keep_their_text_and_templates_of_large_hosts_go(spark)
     assert {texts[100 + i] for i in range(8)} == {"top\n\nsame"}
     assert all(texts[1000 + i] == f"text {i}" for i in range(300))
     assert {texts[2000 + i] for i in range(8)} == {"copied"}
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='content with-sidebar'><article><p>a</p></article><div class=sidebar>s</div></div>", "a"),
+        ("<div id='page' class='has-comments'><p>a</p></div>", "a"),
+        ("<div class='page share-bar-left'><article><p>a</p></article></div><p>o", "a"),
+        ("<div class='layout sidebar-right'><p>the text of the page</p></div><div class='sidebar-right'>links</div>", "the text of the page"),
+        ("<article><section id='related-work'><h2 id='search-algorithms'>S</h2><p>a</p></section><h2 id=notice>N</h2><p>b</p></article>", "S\n\na\n\nN\n\nb"),
+        ("<article><p>a</p><figure><pre>code</pre><figcaption>c</figcaption></figure><p>If <math><mi>x</mi></math></p></article>", "a\n\ncode\n\nc\n\nIf x"),
+        ("<article><p>a</p></article><div id=comments><article><p>a long comment</p></article></div>", "a"),
+        ("<article><p>a</p><div class='share-buttons'>s</div><div class=related><h3>More</h3></div><p>b c</p></article>", "a\n\nb c"),
+        ("<article class='post has-comments'><p>a</p></article>", "a"),
+    ],
+)
+def test_words_of_attributes_delete_only_what_is_beside_the_text(page, text):
+    assert extraction.main_text(page) == text
