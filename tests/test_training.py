@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kilnwork.operators import sampling, search, training
+from kilnwork.plans import training as plans
 from kilnwork.sinks import checkpoints
 
 
@@ -115,6 +116,33 @@ def test_search_stops_at_rungs(spark):
         assert trial.training_iteration.tolist() == list(range(1, len(trial) + 1))
 
 
+def test_tune_run_goes_on_to_the_horizon(spark, sf_dir):
+    """The whole search against one in NumPy, with the rungs at 1, 4, 16 and 64 and the end at 100."""
+    rows, trainable = plans._labelled(spark, sf_dir)
+    samples = rows.collect()
+    x, y = np.array([r["embedding"] for r in samples], float), np.array([r["label"] for r in samples])
+    test = np.array([r["is_test"] for r in samples])
+    drawn = search.param_space(spark).orderBy("trial_id").collect()
+    lr, momentum = np.array([r["lr"] for r in drawn]), np.array([r["momentum"] for r in drawn])
+    live, want = np.arange(len(drawn)), {}
+    w = trainable.initial(live)
+    v = np.zeros_like(w)
+    for i in range(1, 101):
+        g = trainable.gradient(w[live], x[~test], y[~test])[0] / (~test).sum()
+        v[live] = momentum[live, None] * v[live] + g
+        w[live] -= lr[live, None] * v[live]
+        accuracy = trainable.correct(w[live], x[test], y[test]) / test.sum()
+        want |= {(int(t), i): a for t, a in zip(live, accuracy)}
+        keep = accuracy < 0.98
+        if i in (1, 4, 16, 64):
+            keep &= accuracy >= np.quantile(accuracy, 0.75)
+        live = live[keep]
+    assert max(i for _, i in want) == 100
+    got = {(r["trial_id"], r["training_iteration"]): r["mean_accuracy"] for r in plans.tune_run(spark, sf_dir).collect()}
+    assert got.keys() == want.keys()
+    assert all(np.isclose(got[k], want[k], atol=1e-6) for k in want)
+
+
 def test_search_stops_at_the_target(spark):
     df, _, _ = blobs(spark, noise=0.1)
     result = search.run_search(
