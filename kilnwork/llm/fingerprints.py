@@ -1,6 +1,7 @@
 """Document fingerprints by a threshold-scaled sketch, with DataFrame functions only.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range. Its size follows the text, sketches of parts
+A sketch keeps every shingle hash below a fixed fraction of the hash range, and all hashes of a text of few shingles,
+beside the exact number of different shingles. Its size follows the text, sketches of parts
 merge by union, and containment can be estimated between texts of very unequal length.
 """
 
@@ -15,6 +16,8 @@ from kilnwork.llm.rules import WORD_BREAK
 SHINGLE_WORDS = 5
 #: One hash in four is kept: a text of 60 words then has about 14.
 FRACTION = 0.25
+#: A text of fewer different shingles keeps them all.
+WHOLE_BELOW = 64
 
 
 def _limit(fraction: float) -> int:
@@ -23,37 +26,65 @@ def _limit(fraction: float) -> int:
 
 
 def with_sketch(df: DataFrame, text: str, name: str, fraction: float = FRACTION, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``df`` with column ``name``: the sorted distinct kept hashes of the text's shingles.
+    """``df`` with ``name``, the sorted distinct kept hashes of the text's shingles, and ``<name>_n``, the number of all.
 
-    A text of fewer words than a shingle has one shingle, all its words. A text without words, or null, has none.
+    With fewer than ``WHOLE_BELOW`` all are kept. A text of fewer words than a shingle has one shingle, all its words. A
+    text without words, or null, has none.
     """
     # inline() keeps the words as a value: as a plain projection they would be split anew for every shingle.
     split = df.select(
         "*", F.inline(F.array(F.struct(F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), "").alias("_words"))))
     )
     starts = F.sequence(F.lit(1), F.greatest(F.size("_words") - (words - 1), F.lit(1)))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("_words", i, words)))
-    kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h <= F.lit(_limit(fraction)))))
+    hashes = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice("_words", i, words))))
     none = F.array().cast("array<bigint>")
-    return split.withColumn(name, F.when(F.size("_words") > 0, kept).otherwise(none)).drop("_words")
+    own = F.when(F.size("_words") > 0, hashes).otherwise(none)
+    every = split.select(*df.columns, F.inline(F.array(F.struct(own.alias("_all")))))
+    kept = F.when(F.size("_all") < WHOLE_BELOW, F.col("_all")).otherwise(_below(F.col("_all"), fraction))
+    return every.withColumns({name: F.array_sort(kept), f"{name}_n": F.size("_all")}).drop("_all")
 
 
-def merged(a: str, b: str) -> Column:
-    """The sketch of two texts taken together."""
-    return F.array_sort(F.array_union(a, b))
+def _below(sketch: str | Column, fraction: float) -> Column:
+    return F.filter(sketch, lambda h: h <= F.lit(_limit(fraction)))
 
 
-def containment(a: str, b: str) -> Column:
-    """Estimated share of the shingles of ``a`` that ``b`` holds; null if ``a`` has none kept."""
-    return F.size(F.array_intersect(a, b)) / F.nullif(F.size(a), F.lit(0))
+def _both_whole(n_a: str | None, n_b: str | None) -> Column:
+    if n_a is None or n_b is None:
+        return F.lit(False)
+    return (F.col(n_a) < WHOLE_BELOW) & (F.col(n_b) < WHOLE_BELOW)
 
 
-def likeness(a: str, b: str) -> Column:
-    """Estimated Jaccard similarity, 0 to 1. Two empty sketches are alike (1), an empty and another are not (0)."""
-    both = F.size(F.array_intersect(a, b))
-    return F.when(F.size(F.array_union(a, b)) == 0, 1.0).otherwise(
-        both / F.greatest(F.size(a) + F.size(b) - both, F.lit(1))
-    ).cast("double")
+def _comparable(a: str, b: str, n_a: str | None, n_b: str | None, fraction: float) -> tuple[Column, Column]:
+    """Both sketches whole, where both are, or else both filtered by the fraction."""
+    whole = _both_whole(n_a, n_b)
+    return tuple(F.when(whole, F.col(c)).otherwise(_below(c, fraction)) for c in (a, b))
+
+
+def merged(a: str, b: str, n_a: str | None = None, n_b: str | None = None, fraction: float = FRACTION) -> Column:
+    """The sketch of two texts taken together; without numbers of shingles, as of larger texts."""
+    both = F.array_union(a, b)
+    whole = _both_whole(n_a, n_b) & (F.size(both) < WHOLE_BELOW)
+    return F.array_sort(F.when(whole, both).otherwise(_below(both, fraction)))
+
+
+def containment(a: str, b: str, n_a: str | None = None, n_b: str | None = None, fraction: float = FRACTION) -> Column:
+    """Share of the shingles of ``a`` that ``b`` holds, exact for two whole sketches; null if ``a`` has none kept."""
+    x, y = _comparable(a, b, n_a, n_b, fraction)
+    return F.size(F.array_intersect(x, y)) / F.nullif(F.size(x), F.lit(0))
+
+
+def likeness(a: str, b: str, n_a: str | None = None, n_b: str | None = None, fraction: float = FRACTION) -> Column:
+    """Jaccard similarity, 0 to 1: exact for two whole sketches, else estimated.
+
+    Two texts without shingles are alike (1). Where no hash is kept otherwise, only equal sketches are.
+    """
+    x, y = _comparable(a, b, n_a, n_b, fraction)
+    both = F.size(F.array_intersect(x, y))
+    either = F.size(x) + F.size(y) - both
+    same = F.col(a) == F.col(b)
+    if n_a is not None and n_b is not None:
+        same &= (F.col(n_a) < WHOLE_BELOW) & (F.col(n_b) < WHOLE_BELOW)
+    return F.when(either == 0, same.cast("double")).otherwise(both / F.greatest(either, F.lit(1))).cast("double")
 
 
 def as_text(sketch: str) -> Column:
@@ -94,7 +125,7 @@ def with_next(df: DataFrame, key: str, following: dict[str, str], blocks: int |
 
 
 def fingerprint(docs: DataFrame, text: str = "text", key: str = "doc_id", fraction: float = FRACTION) -> DataFrame:
-    """Key, ``n_chars``, whole text and ``sketch`` of every row; a null text counts as empty."""
+    """Key, ``n_chars``, whole text, ``sketch`` and ``sketch_n`` of every row; a null text counts as empty."""
     base = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return with_sketch(base, "text", "sketch", fraction).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -106,7 +137,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     ascending key, or all of it if it is shorter; after the last document comes the first.
     """
     sketched = fingerprint(docs, text, key, fraction)
-    paired = with_next(sketched, key, {"next_text": "text", "next_sketch": "sketch"})
+    paired = with_next(sketched, key, {"next_text": "text", "next_sketch": "sketch", "next_n": "sketch_n"})
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - quarter).cast("int")), F.substring("next_text", F.lit(1), quarter)
@@ -117,8 +148,10 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
         key,
         "n_chars",
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        F.col("sketch_n").alias("n_shingles"),
         as_text("sketch").alias("fingerprint"),
+        F.col("edited_sketch_n").alias("edited_n_shingles"),
         as_text("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
+        likeness("sketch", "edited_sketch", "sketch_n", "edited_sketch_n", fraction).alias("near_edited"),
+        likeness("sketch", "next_sketch", "sketch_n", "next_n", fraction).alias("near_next"),
     )

@@ -107,6 +107,29 @@ def test_sketches_estimate_and_merge(spark):
     assert set(got["m"]) == set(a) | set(b) and abs(len(a) / 4000 - 0.25) < 0.03
 
 
+def test_short_texts_keep_all_their_shingles(spark):
+    texts = [f"short text {i}" for i in range(40)] + [" ".join(f"w{i}-{k}" for k in range(12)) for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(fingerprints.edited_fingerprints(df).collect(), key=lambda r: r["doc_id"])
+    assert len({r["fingerprint"] for r in got}) == len(texts) and "" not in {r["fingerprint"] for r in got}
+    assert all(r["near_next"] == 0 for r in got)
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    for r, text, following in zip(got, texts, texts[1:] + texts[:1]):
+        n = len(text) // 4
+        a, b = shingles(text), shingles(text[: len(text) - n] + following[:n])
+        assert r["n_shingles"] == len(a) and r["edited_n_shingles"] == len(b)
+        assert abs(r["near_edited"] - len(a & b) / len(a | b)) < 1e-9
+    # A short text and a long one that holds it; two short ones that merge to one still whole.
+    pair = fingerprints.with_sketch(spark.createDataFrame([("a b c d e f", "g h")], "x string, y string"), "x", "s")
+    pair = fingerprints.with_sketch(pair, "y", "t").withColumn("m", fingerprints.merged("s", "t", "s_n", "t_n"))
+    row = pair.first()
+    assert set(row["m"]) == set(row["s"]) | set(row["t"]) and len(row["m"]) == 3
+
+
 def test_mixing_reaches_its_margins(spark, docs, odd):
     rows = mixing.mix_sources(docs).select("doc_id", "source", "lang", "mix.*").collect()
     total = sum(r["n_tokens"] * r["factor"] for r in rows)
