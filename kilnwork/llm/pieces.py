@@ -243,14 +243,14 @@ def read_model(path: str) -> bytes:
 
 
 def encode(
-    docs: DataFrame, model: bytes, text: str = "text", keep: Sequence[str] = ("doc_id",), parity_every: int = 20
+    docs: DataFrame, model: bytes, text: str = "text", keep: Sequence[str] = ("doc_id",), parity_every: int = 1
 ) -> DataFrame:
     """``keep`` columns with ``ids``, ``n_tokens``, ``n_bytes``, ``round_trip`` and ``parity``, one row for each of ``docs``.
 
     ``round_trip``: decoding the ids gives the text. Empty and null texts have no ids and round-trip (null as empty).
     A text with the mark itself decodes to a space there, and one that the model's normaliser changes stays changed;
     both are told by ``round_trip``. ``parity``: whether the sentencepiece library gives the same ids for the whole
-    text, checked for one text in ``parity_every`` by hash (1: all, 0: none) and null for the others.
+    text, checked for every text unless ``parity_every`` asks for one in so many by hash (0: none); null for the others.
     """
     names = [f"k{i}" for i in range(len(keep))]
     body = F.coalesce(F.col(text), F.lit(""))

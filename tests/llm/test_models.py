@@ -49,6 +49,11 @@ def test_every_given_document_has_parity_and_round_trips(spark, sf_dir):
     assert back == {r["doc_id"]: r["text"] for r in rows}
 
 
+def test_parity_is_checked_for_every_text_by_default(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 50}") for i in range(100)], "doc_id long, text string")
+    assert pieces.encode(docs, MODEL).filter("parity").count() == 100
+
+
 def test_odd_rows_encode(spark, library):
     df = spark.createDataFrame([(i, t, "e") for i, t in enumerate(ODD)] + [(None, "x", "e")], "doc_id long, text string, ids string")
     got = pieces.encode(df, MODEL, parity_every=1).collect()
