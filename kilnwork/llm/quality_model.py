@@ -104,7 +104,8 @@ def fit(
     if not patterns:
         return model, Scorer(np.zeros(BUCKETS, np.float32), 0.0)
     share = min(1.0, sample_rows / sum(patterns.values()))
-    chosen = source.filter(F.pmod(F.xxhash64(text, F.lit("fit")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    # By the whole row, so that copies of a text are not drawn as one.
+    chosen = docs.filter(F.pmod(F.xxhash64(*docs.columns, F.lit("fit")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select(text)
     odds = model.log_odds([F.col(n) for n in names])
     labelled = voted(chosen, [text]).select(F.col(text).alias("text"), (1 / (1 + F.exp(-odds))).alias("label"))
 

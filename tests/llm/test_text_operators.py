@@ -185,3 +185,12 @@ def test_quality_classifier(spark, docs, odd, sf_dir):
     assert all(not r["kept"] and r["quality"] == 0 for r in rows if not (r["text"] or "").strip())
     empty = quality_model.fit(docs.limit(0))[1]
     assert quality_model.score(docs.limit(0), empty).count() == 0
+
+
+def test_sample_of_the_quality_classifier_is_bounded_with_copies(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(quality_model, "fit_scorer", lambda rows: sizes.append(len(rows)))
+    for text in ("one text of all rows", "another text of all rows", "a third text of all rows"):
+        docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+        quality_model.fit(docs, sample_rows=200)
+    assert all(120 < n < 280 for n in sizes)  # drawn by text: all 2,000 or none
