@@ -11,6 +11,7 @@ from kilnwork.llm import (
     language,
     mixing,
     near_dedup,
+    pattern_packing,
     pieces,
     pseudo_likelihood,
     quality_model,
@@ -86,6 +87,13 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(_table(spark, sf_dir, "pages"))
 
 
+def op13_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = pieces.read_model(public_tokenizers.path("word_bpe_49k.json")).decode()
+    return pattern_packing.pack(_table(spark, sf_dir, "documents"), model)
+
+
 QUERIES = {
     "op10_html_extraction": op10_html_extraction,
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -98,7 +106,9 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_fingerprints": op6_fingerprints,
+    "op13_pattern_packing": op13_pattern_packing,
 }
+
 # The given pages' articles hold headings, paragraphs, bold text, line breaks and a few character references.
 _ARTICLE = r"""
     SELECT page_id, url, text, len(text) AS n_chars FROM (
