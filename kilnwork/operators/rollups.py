@@ -89,3 +89,30 @@ def target_up(samples: DataFrame, target: str) -> DataFrame:
     return samples.groupBy(target).agg(
         F.when(last == 0, "DOWN").otherwise("UP").alias("state"), F.max("ts").alias("last_seen")
     )
+
+
+def target_up_grid(samples: DataFrame, target: str, every: str = SCRAPE_INTERVAL, stale: str | None = None) -> DataFrame:
+    """``target, tick, state, last_seen`` at every tick from the first to the last sample of any target.
+
+    A target is ``DOWN`` where its last sample is 0 or older than ``stale`` (one interval unless given), or where it has none.
+    A sample goes to the few ticks at which it is not yet stale; of those of a tick the last counts, which needs no order
+    and is found before rows are moved. So a target with most of the samples is no harder than others. ``last_seen`` is
+    NULL where no sample is fresh.
+    """
+    micros = lambda text: F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"interval {text}")) - F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp"))
+    step, life = micros(every), micros(stale or every)
+    rows = samples.select(target, F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "value").filter("at is not null")
+    first, last = F.ceil(F.col("at") / step).cast("long") * step, F.floor((F.col("at") + life) / step).cast("long") * step
+    fresh = rows.filter(last >= first).select(target, F.explode(F.sequence(first, last, step)).alias("tick"), "at", "value")
+    known = fresh.groupBy(target, "tick").agg(F.max(F.struct("at", "value")).alias("last"))
+    since, until = rows.agg(F.min(first), F.max(first)).first()
+    grid = F.sequence(F.lit(since), F.lit(until), step) if since is not None else F.array().cast("array<bigint>")
+    ticks = rows.select(target).distinct().select(target, F.explode(grid).alias("tick"))
+    joined = ticks.join(known, (ticks[target].eqNullSafe(known[target])) & (ticks["tick"] == known["tick"]), "left")
+    up = F.coalesce(F.col("last.value") != 0, F.lit(False))
+    return joined.select(
+        ticks[target],
+        F.timestamp_micros(ticks["tick"]).alias("tick"),
+        F.when(up, "UP").otherwise("DOWN").alias("state"),
+        F.timestamp_micros("last.at").alias("last_seen"),
+    )

@@ -9,7 +9,7 @@ from kilnwork.plans.inference import PREDICTIONS_SQL, flat_predictions, mean_mod
 from kilnwork.plans.inputs import STATUS_OF_EVENT, STATUS_SQL, job_events as job_event_rows, samples, table
 from kilnwork.session import scratch_path
 from kilnwork.sources import tables
-from kilnwork.streaming import streams
+from kilnwork.streaming import endings, streams
 
 _USER_TYPES = ("click", "view", "signup")
 
@@ -108,16 +108,16 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_tumble_15s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of the stream that became final, and those left when its input ended."""
-    out = scratch_path(spark, "windows")
+    """All windows of a stream: those that became final by its samples, and those that the end of the stream closes."""
+    out, state, ends = (scratch_path(spark, name) for name in ("windows", "windows-state", "ends"))
     rows = _metric_rows(_event_stream(spark, sf_dir), ts=streams.as_instant(F.col("ts")))
     start = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("window.start").cast("timestamp_ntz"))
-    flat = streams.windowed_metrics(rows).withColumn("window_start", start).drop("window")
-    streams.run_to_table(flat, out, scratch_path(spark, "windows-state")).awaitTermination()
-    events = _metric_rows(table(spark, sf_dir, "events"), ts=streams.as_instant(F.col("ts")))
-    left = streams.windows_left(events).withColumn("window_start", start).drop("window")
-    done = spark.read.schema(flat.schema).parquet(out).unionByName(left)
-    return done.select(
+
+    def flat() -> DataFrame:
+        return streams.windowed_metrics(endings.with_endings(rows, ends)).withColumn("window_start", start).drop("window")
+
+    endings.run_to_end(lambda: streams.run_to_table(flat(), out, state), spark, ends)
+    return spark.read.schema(flat().schema).parquet(out).select(
         F.col("window_start").cast("string").alias("window_start"),
         "metric",
         "samples",
