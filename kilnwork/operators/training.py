@@ -180,13 +180,13 @@ def partial_sums(
     takes them apart, so that the number of cells does not grow with the number of input splits.
     ``max_tasks`` lets a task read several input splits one after the other.
     """
-    width, classes = _feature_width(trainable), getattr(trainable, "classes", None)
+    width, classes = feature_width(trainable), getattr(trainable, "classes", None)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = params.value
         trials = len(weights)
         totals = np.zeros((trials, trainable.n_params + 4))
-        step = max(1, _WORK_CELLS // max(1, trials * 16, trainable.n_params))
+        step = rows_at_a_time(trials, trainable.n_params)
         for batch in stream:
             for start in range(0, batch.num_rows, step):
                 _add(totals, batch.slice(start, step), weights)
@@ -202,7 +202,7 @@ def partial_sums(
         x, usable = batches.vectors(batch.column(0), width)
         if not usable.all():
             raise ValueError(f"unusable features in {features}")
-        y = _labels(batch.column(1), classes, label)
+        y = class_labels(batch.column(1), classes, label)
         test = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
         totals[:, -3] += (~test).sum()
         totals[:, -1] += test.sum()
@@ -246,7 +246,12 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([first.column(0), first.column(1), pa.array([total])], names=["trial", "part", "sums"])
 
 
-def _labels(column: pa.Array, classes: int | None, name: str) -> np.ndarray:
+def rows_at_a_time(trials: int, n_params: int) -> int:
+    """Rows whose intermediate arrays stay within :data:`_WORK_CELLS`."""
+    return max(1, _WORK_CELLS // max(1, trials * 16, n_params))
+
+
+def class_labels(column: pa.Array, classes: int | None, name: str) -> np.ndarray:
     """Labels as integers, none missing and each one of the classes."""
     if column.null_count:
         raise ValueError(f"missing labels in {name}")
@@ -256,7 +261,7 @@ def _labels(column: pa.Array, classes: int | None, name: str) -> np.ndarray:
     return y
 
 
-def _feature_width(trainable: Trainable) -> int | None:
+def feature_width(trainable: Trainable) -> int | None:
     if hasattr(trainable, "width"):
         return trainable.width
     side = getattr(trainable, "side", None)

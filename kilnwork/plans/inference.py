@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kilnwork.functions import tensor, text
-from kilnwork.operators import batches, evaluation, images, models, sampling, scoring, training
+from kilnwork.operators import batches, blocked, evaluation, images, models, sampling, scoring, training
 from kilnwork.plans.inputs import samples, table
 from kilnwork.session import scratch_path
 from kilnwork.sinks import predictions
@@ -70,6 +70,15 @@ def score_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def score_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores by a join of rows and weights, in blocks of three classes and sixteen positions."""
+    rows = with_path(samples(spark, sf_dir)).select("vec_id", "path", "embedding")
+    scored = blocked.score_join(
+        rows, mean_weights(spark, sf_dir), features="embedding", keep=["vec_id"], block_rows=500, block_classes=3, block_positions=16
+    )
+    return flat_predictions(scored)
+
+
 def score_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scores where the weights of only three classes fit a broadcast."""
     width = samples(spark, sf_dir).select(F.size("embedding").alias("d")).first()["d"]
@@ -290,6 +299,7 @@ QUERIES = {
     "batch_inference": batch_inference,
     "score_sql": score_sql,
     "score_blocks": score_blocks,
+    "score_join": score_join,
     "softmax": softmax,
     "top5": top5,
     "argmax_conf": argmax_conf,
@@ -404,6 +414,7 @@ ORACLES = {
     "sink_json_roundtrip": PREDICTIONS_SQL,
     "sink_csv_roundtrip": PREDICTIONS_SQL,
     "score_blocks": PREDICTIONS_SQL,
+    "score_join": PREDICTIONS_SQL,
     "score_sql": f"""
         WITH {_LOGITS}, {_BY_VEC}
         SELECT vec_id, position::INT AS position, class_id, round(score, 4) AS score FROM r WHERE position <= 5

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from kilnwork.operators import sampling, search, training
+from kilnwork.operators import sampling, search, training, workers
 from kilnwork.plans.inputs import METRICS_SQL, event_metrics, samples, table
 from kilnwork.session import materialise, scratch_path
 from kilnwork.sinks import checkpoints
@@ -87,6 +87,16 @@ def checkpoint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def train_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four trials trained by two workers that stay up: the parameters after each of five steps."""
+    rows, trainable = _labelled(spark, sf_dir)
+    steps = workers.train_workers(
+        rows, search.param_space(spark, 4), trainable, features="embedding", label="label", steps=search.SMOKE_ITERATIONS, workers=2
+    )
+    cells = steps.select("trial_id", F.col("step").alias("training_iteration"), F.posexplode("params").alias("param_index", "value"))
+    return cells.withColumn("value", F.round("value", 6))
+
+
 def param_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user who has events as one trial."""
     users = table(spark, sf_dir, "events").select(F.col("user_id").alias("trial_id")).distinct()
@@ -156,6 +166,7 @@ QUERIES = {
     "tune_smoke": tune_smoke,
     "tune_minibatch": tune_minibatch,
     "checkpoint_roundtrip": checkpoint_roundtrip,
+    "train_workers": train_workers,
     "param_space": param_space,
     "trial_metrics": trial_metrics,
     "asha_rungs": asha_rungs,
@@ -305,6 +316,12 @@ ORACLES = {
         " SELECT trial_id, {i} AS training_iteration, (pos * classes + class_id)::INT AS param_index,"
         " round(w, 6) AS value, true AS live FROM w{i}, n",
     ),
+    "train_workers": _descent_sql(4, search.SMOKE_ITERATIONS, ())
+    + _all(
+        search.SMOKE_ITERATIONS,
+        " SELECT trial_id, {i} AS training_iteration, (pos * classes + class_id)::INT AS param_index,"
+        " round(w, 6) AS value FROM w{i}, n",
+    ),
     "gradient_step": """
         WITH n AS (SELECT vec_id, label, list_append(embedding::DOUBLE[], 1.0) AS v FROM embeddings
                    WHERE left(md5('split-' || vec_id), 8) >= '33333333'),
