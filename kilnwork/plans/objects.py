@@ -8,23 +8,41 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kilnwork.functions import text
 from kilnwork.operators import models, rollups, scoring
 from kilnwork.plans.inputs import OBJECTS_SQL, objects, table
-from kilnwork.session import scratch_path
-from kilnwork.sources import files
+from kilnwork.session import materialise, scratch_path
+from kilnwork.sources import files, trees
 
 _ROWS_PER_FILE = 1000  # keeps each file of the tree far below the 2 GB a binary value can hold
 
 
-def scan_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written as a tree of text files, then scanned as bytes.
-
-    Where file boundaries fall is up to the writer, so the bytes are summed by folder.
-    """
+def _written_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as a tree of text files."""
     root = scratch_path(spark, "tree")
     docs = table(spark, sf_dir, "documents").select("lang", "source", F.col("text").alias("value"))
     # Rebalanced by folder: otherwise every task leaves a small file in every folder. Spark splits
     # a folder that is much larger than the others over several tasks.
     docs = docs.hint("rebalance", "lang", "source")
     docs.write.option("maxRecordsPerFile", _ROWS_PER_FILE).partitionBy("lang", "source").text(root)
+    return root
+
+
+def inventory_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tree listed by tasks, packed into splits of 64 KB, and read split by split."""
+    root = _written_tree(spark, sf_dir)
+    listed = materialise(trees.packed(trees.list_tree(spark, root), 64 << 10), "packed")
+    read = trees.read_packed(listed, root).select("key", F.octet_length("bytes").cast("long").alias("read"))
+    return (
+        listed.join(read, "key", "left")
+        .groupBy(F.regexp_extract("key", "/lang=([^/]*)/", 1).alias("lang"), F.regexp_extract("key", "/source=([^/]*)/", 1).alias("source"))
+        .agg(F.sum("size").alias("total_bytes"), F.sum("read").alias("read_bytes"), F.count("error").alias("errors"))
+    )
+
+
+def scan_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as a tree of text files, then scanned as bytes.
+
+    Where file boundaries fall is up to the writer, so the bytes are summed by folder.
+    """
+    root = _written_tree(spark, sf_dir)
     found = files.scan_binary(spark, root, glob="*.txt")
     return (
         found.select(
@@ -84,6 +102,7 @@ def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "scan_binary": scan_binary,
+    "inventory_tree": inventory_tree,
     "filter_ext": filter_ext,
     "filter_ext_pages": filter_ext_pages,
     "preview_kind": preview_kind,
@@ -100,6 +119,10 @@ ORACLES = {
     "scan_binary": """
         SELECT lang, source, sum(octet_length(encode(text)) + 1)::BIGINT AS total_bytes FROM documents GROUP BY 1, 2
     """,
+    "inventory_tree": """
+        SELECT lang, source, sum(octet_length(encode(text)) + 1)::BIGINT AS total_bytes,
+               sum(octet_length(encode(text)) + 1)::BIGINT AS read_bytes, 0 AS errors FROM documents GROUP BY 1, 2
+    """,
     "filter_ext": f"SELECT doc_id, path FROM ({OBJECTS_SQL}) WHERE regexp_matches(lower(path), {_IMAGES})",
     "filter_ext_pages": r"""
         SELECT page_id, url FROM pages WHERE regexp_matches(lower(url), '\.(jpg|jpeg|png|bmp|tiff|webp|html)$')

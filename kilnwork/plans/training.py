@@ -15,6 +15,8 @@ from kilnwork.sinks import checkpoints
 _START = 0.1
 # Iterations of the search that SQL checks: beyond three rungs, and few enough for that SQL.
 _TUNE_ITERATIONS = 20
+# Where the search that is taken up again ends first: between two rungs.
+_ENDED_AT = 7
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.SoftmaxRegression]:
@@ -70,6 +72,13 @@ def tune_rungs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _accuracies(_search(spark, sf_dir, max_iterations=_TUNE_ITERATIONS))
 
 
+def tune_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same iterations with a checkpoint after each, ended after the seventh and taken up again from the last one."""
+    path = scratch_path(spark, "search")
+    _search(spark, sf_dir, max_iterations=_ENDED_AT, checkpoint_path=path)
+    return _accuracies(_search(spark, sf_dir, max_iterations=_TUNE_ITERATIONS, checkpoint_path=path, resume=True))
+
+
 def tune_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = {"num_trials": search.SMOKE_TRIALS, "max_iterations": search.SMOKE_ITERATIONS}
     return _accuracies(_search(spark, sf_dir, **options))
@@ -163,6 +172,7 @@ QUERIES = {
     "gradient_step": gradient_step,
     "tune_run": tune_run,
     "tune_rungs": tune_rungs,
+    "tune_resumed": tune_resumed,
     "tune_smoke": tune_smoke,
     "tune_minibatch": tune_minibatch,
     "checkpoint_roundtrip": checkpoint_roundtrip,
@@ -295,6 +305,11 @@ def _all(iterations: int, select: str) -> str:
 
 
 ORACLES = {
+    "tune_resumed": _descent_sql(search.NUM_TRIALS, _TUNE_ITERATIONS, (1, 4, 16))
+    + _all(
+        _TUNE_ITERATIONS,
+        " SELECT trial_id, training_iteration, round(mean_accuracy, 6) AS mean_accuracy FROM acc{i}",
+    ),
     "tune_rungs": _descent_sql(search.NUM_TRIALS, _TUNE_ITERATIONS, (1, 4, 16))
     + _all(
         _TUNE_ITERATIONS,
