@@ -68,7 +68,7 @@ def list_tree(spark: SparkSession, uri: str, folders_per_task: int = 64) -> Data
                     continue
                 for at in range(0, len(inside), 4096):
                     rows = [
-                        {"key": before + i.path, "path": i.path, "size": None if i.size is None else int(i.size), "modified": i.mtime, "folder": i.type == fs.FileType.Directory, "error": None}
+                        {"key": before + i.path, "path": i.path, "size": None if i.size is None else int(i.size), "modified": None if i.mtime_ns is None else i.mtime_ns // 1_000_000 * 1000, "folder": i.type == fs.FileType.Directory, "error": None}
                         for i in inside[at : at + 4096]
                         if not _hidden(i.base_name)
                     ]
@@ -85,7 +85,7 @@ def list_tree(spark: SparkSession, uri: str, folders_per_task: int = 64) -> Data
     every = levels[0]
     for more in levels[1:]:
         every = every.unionByName(more)
-    return every.select("key", "size", F.date_trunc("millisecond", "modified").alias("modified"), "error")
+    return every.select("key", "size", "modified", "error")
 
 
 def packed(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
