@@ -11,7 +11,6 @@ import heapq
 import os
 import re
 import struct
-from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -20,16 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kilnwork.llm.memory import release
 from kilnwork.llm.near_dedup import batches_of
+from kilnwork.llm.word_tokens import WordStore, grouped
 
 MARK = "▁"
 #: The types of pieces and models, and the field numbers, of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-#: Words a worker remembers, about 200 bytes each, and words encoded at a time.
-_CACHED_WORDS = 350_000
-_WORDS_AT_A_TIME = 4096
+_MARK_BYTES = MARK.encode()
+#: Bytes of remembered words of a worker.
+_REMEMBERED = 32 << 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -179,7 +179,10 @@ class Codec:
         self._normaliser = pieces.normaliser()
         tied = pieces.tied() if pieces.model == BPE else frozenset()
         self._tied = re.compile("|".join(map(re.escape, sorted(tied)))) if tied else None
-        self._known: dict[str, bytes] = {}
+        # Where words can be told apart by the mark that each first piece begins with, many are encoded as one text.
+        self._begins = np.array([n.startswith(MARK) for n in pieces.names])
+        self._joins = pieces.model == BPE and pieces.words_apart
+        self._store = WordStore(_REMEMBERED)
         self._bytes = [self._piece_bytes(n, k) for n, k in zip(pieces.names, pieces.kinds, strict=True)]
 
     @staticmethod
@@ -202,23 +205,43 @@ class Codec:
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Token ids of each text, as 32-bit integers; none for an empty text."""
-        parts = [_WORD.findall(m) if self.pieces.words_apart else [m] if m else [] for m in map(self.marked, texts)]
-        known = self._known
-        if len(known) > _CACHED_WORDS:
-            known.clear()
-        new = [w for w in set().union(*parts) if w not in known]
-        plain = [w for w in new if not (self._tied and self._tied.search(w))]
-        for at in range(0, len(plain), _WORDS_AT_A_TIME):
-            part = plain[at : at + _WORDS_AT_A_TIME]
-            for word, got in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = array("i", got.ids).tobytes()
-        for word in set(new).difference(plain):
-            known[word] = array("i", self.pieces.merge_word(word)).tobytes()
-        return [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in parts]
+        coded = [self.marked(t).encode("utf-8", "replace") for t in texts]
+        raw = b"".join([*coded, b"\0" * 8])
+        bounds = np.cumsum([0, *map(len, coded)])
+        first = np.zeros(len(raw) - 7, bool)
+        first[bounds] = True
+        if self.pieces.words_apart:
+            data = np.frombuffer(raw, np.uint8)[: len(raw) - 8]
+            mark = np.zeros(len(data) + 3, bool)  # three places further on than the marks are
+            mark[3:-2] = (data[:-2] == _MARK_BYTES[0]) & (data[1:-1] == _MARK_BYTES[1]) & (data[2:] == _MARK_BYTES[2])
+            first[: len(data)] |= mark[3:] & ~mark[:-3]
+        starts = np.flatnonzero(first)
+        starts, ends = starts[:-1], starts[1:]
+        out, upto = self._store.ids(raw, starts, ends, self._learn)
+        cuts = upto[np.searchsorted(starts, bounds)]
+        return [out[a:b].astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _learn(self, words: list[bytes], place: np.ndarray) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        plain = [not (self._tied and self._tied.search(w.decode("utf-8", "replace"))) for w in words]
+        tied = [i for i, p in enumerate(plain) if not p]
+        if tied:
+            got = [self.pieces.merge_word(words[i].decode("utf-8", "replace")) for i in tied]
+            yield tied, np.array([k for g in got for k in g], "<u4"), np.array([len(g) for g in got], np.int64)
+        joins = [p and self._joins and w.startswith(_MARK_BYTES) and not w.startswith(_MARK_BYTES, 3) for w, p in zip(words, plain, strict=True)]
+        together, alone = ([i for i, (p, j) in enumerate(zip(plain, joins, strict=True)) if p and j == wanted] for wanted in (True, False))
+        yield from grouped(words, together, alone, b"", self._plain, self._word_ends)
+
+    def _word_ends(self, ids: np.ndarray) -> np.ndarray:
+        begins = np.flatnonzero(self._begins[ids])
+        return np.append(begins[1:], len(ids)) if len(begins) and not begins[0] else begins[:0]
+
+    def _plain(self, words: list[bytes], joined: bool) -> list[np.ndarray]:
+        got = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in got]
 
     def forget(self) -> None:
         """Drop the remembered words: a worker goes on to other tasks, perhaps of other stages."""
-        self._known.clear()
+        self._store.forget()
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of token ids; bytes that are no UTF-8 become replacement characters."""
@@ -264,9 +287,11 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
+        release()
         own = codec(model)
         other = sentencepiece.SentencePieceProcessor(model_proto=model)
         for batch in batches:
+            release()
             for part in batches_of(batch, 1 << 20):
                 texts, compare = part.column("text").to_pylist(), part.column("compared").to_pylist()
                 got = own.encode(texts)
@@ -285,6 +310,7 @@ def encode(
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [f.split(" ")[0] for f in fields])
         own.forget()
+        release()
 
     out = source.mapInArrow(run, ", ".join(fields))
     return out.withColumnsRenamed(dict(zip(names, keep, strict=True)))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import functools
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import tokenizers
@@ -46,6 +46,78 @@ _KIND = _kinds()
 _ENDING = np.isin(np.arange(256), [*b"stmdrlvSTMDRLV"])
 
 
+class WordStore:
+    """Ids of the different words seen so far, up to a bound in bytes."""
+
+    def __init__(self, limit: int = _REMEMBERED):
+        self._limit = limit
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the remembered words: a worker goes on to other tasks."""
+        self._slot: dict[int | bytes, int] = {}
+        self._pool = [np.zeros(0, "<u4")]
+        self._sizes = [np.zeros(0, np.int64)]
+        self._held = 0
+
+    def ids(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, learn: Learner) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words ``raw[start:end]`` in a row, and the number of ids up to each word. ``raw`` ends with eight more bytes."""
+        keys = _keys(raw, starts, ends - starts)
+        different, at, number = np.unique(keys, return_index=True, return_inverse=True)
+        names: list[int | bytes] = different.tolist()
+        for i in np.flatnonzero((ends - starts)[at] > _HASHED).tolist():
+            names[i] = raw[starts[at[i]] : ends[at[i]]]
+        if self._held > self._limit:
+            self.forget()
+        slots = np.array([self._slot.get(name, -1) for name in names], np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            place = at[new]
+            words = [raw[a:b] for a, b in zip(starts[place].tolist(), ends[place].tolist(), strict=True)]
+            kept = len(self._slot)
+            order = []
+            for some, ids, sizes in learn(words, place):
+                order += some
+                self._pool.append(ids)
+                self._sizes.append(sizes)
+            self._slot.update(zip([names[new[i]] for i in order], range(kept, kept + len(order)), strict=True))
+            self._held += sum(120 + len(w) for w in words)
+            slots[new[order]] = np.arange(kept, kept + len(order))
+        sizes, ids = np.concatenate(self._sizes), np.concatenate(self._pool)
+        self._sizes, self._pool = [sizes], [ids]
+        before = np.cumsum(sizes) - sizes
+        mine = slots[number]
+        took = sizes[mine]
+        upto = np.cumsum(took)
+        out = ids[np.repeat(before[mine] - (upto - took), took) + np.arange(upto[-1] if len(upto) else 0)]
+        return out, np.concatenate([[0], upto])
+
+
+# Learns words, given with their places: numbers of words, their ids in a row, and how many each has.
+Learner = Callable[[list[bytes], np.ndarray], Iterator[tuple[list[int], np.ndarray, np.ndarray]]]
+
+
+def grouped(
+    words: list[bytes], together: list[int], alone: list[int], joint: bytes, encode: Callable[[list[bytes], bool], list[np.ndarray]], edges: Callable[[np.ndarray], np.ndarray]
+) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """A learner's answer: words that can be told apart in joined texts by the edges of their ids, and words one by one.
+
+    ``encode`` says the ids of texts, of joined ones or of single words; ``edges`` where the ids of each word end. Joined
+    words that do not come apart are taken one by one.
+    """
+    groups = [together[i : i + _TOGETHER] for i in range(0, len(together), _TOGETHER)]
+    for group, got in zip(groups, encode([joint.join([words[i] for i in g]) for g in groups], True), strict=True):
+        ends = edges(got)
+        if len(ends) == len(group):
+            yield group, got, np.diff(ends, prepend=0)
+        else:
+            alone = alone + group
+    for at in range(0, len(alone), 1024):
+        some = alone[at : at + 1024]
+        got = encode([words[i] for i in some], False)
+        yield some, np.concatenate(got), np.array([len(g) for g in got], np.int64)
+
+
 class WordTokens:
     """Encodes texts as the library does, without special tokens around them."""
 
@@ -66,7 +138,7 @@ class WordTokens:
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
-        self.forget()
+        self._store = WordStore()
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers; none for an empty text."""
@@ -90,11 +162,7 @@ class WordTokens:
         return [np.concatenate(p) if len(p) != 1 else p[0] for p in ([*o] or [np.zeros(0, "<u4")] for o in out)]
 
     def forget(self) -> None:
-        """Drop the remembered words: a worker goes on to other tasks."""
-        self._slot: dict[int | bytes, int] = {}
-        self._pool = [np.zeros(0, "<u4")]
-        self._sizes = [np.zeros(0, np.int64)]
-        self._held = 0
+        self._store.forget()
 
     def _cut(self, coded: list[bytes]) -> list[np.ndarray]:
         raw = b"\n".join([b"", *coded, b"\0" * 8])
@@ -116,58 +184,18 @@ class WordTokens:
         real = kind[edges] != _SPACE
         starts, ends = edges[real], np.append(edges[1:], n)[real]
         uncut = kind[starts] == _WHOLE
-        keys = _keys(raw, starts, ends - starts)
-        different, at, number = np.unique(keys, return_index=True, return_inverse=True)
-        names: list[int | bytes] = different.tolist()
-        for i in np.flatnonzero((ends - starts)[at] > _HASHED).tolist():
-            names[i] = raw[starts[at[i]] : ends[at[i]]]
-        if self._held > _REMEMBERED:
-            self.forget()
-        slots = np.array([self._slot.get(name, -1) for name in names], np.int64)
-        new = np.flatnonzero(slots < 0)
-        if len(new):
-            place = at[new]
-            words = [raw[a:b] for a, b in zip(starts[place].tolist(), ends[place].tolist(), strict=True)]
-            slots[new] = self._learn([names[i] for i in new.tolist()], words, uncut[place])
-        sizes, ids = np.concatenate(self._sizes), np.concatenate(self._pool)
-        self._sizes, self._pool = [sizes], [ids]
-        before = np.cumsum(sizes) - sizes
-        mine = slots[number]
-        took = sizes[mine]
-        upto = np.cumsum(took)
-        out = ids[np.repeat(before[mine] - (upto - took), took) + np.arange(upto[-1] if len(upto) else 0)]
+        out, upto = self._store.ids(raw, starts, ends, functools.partial(self._learn, uncut))
         bounds = np.cumsum([1, *(len(c) + 1 for c in coded)])
-        cuts = np.concatenate([[0], upto])[np.searchsorted(starts, bounds)]
+        cuts = upto[np.searchsorted(starts, bounds)]
         return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def _learn(self, names: list[int | bytes], words: list[bytes], whole: np.ndarray) -> np.ndarray:
-        """Slots of new words."""
-        kept = len(self._slot)
-        cut = np.flatnonzero(~whole).tolist()
-        groups = [cut[i : i + _TOGETHER] for i in range(0, len(cut), _TOGETHER)]
-        order, alone = [], np.flatnonzero(whole).tolist()
-        for group, got in zip(groups, self._plain([b" ".join([words[i] for i in g]) for g in groups], self._short), strict=True):
-            ends = np.flatnonzero(self._ends[got]) + 1
-            if len(ends) == len(group):
-                order += group
-                self._pool.append(got)
-                self._sizes.append(np.diff(ends, prepend=0))
-            else:
-                alone += group
-        for at in range(0, len(alone), 1024):
-            some = alone[at : at + 1024]
-            got = self._plain([words[i] for i in some], self._tokenizer)
-            self._pool += got
-            self._sizes.append(np.array([len(g) for g in got], np.int64))
-            order += some
-        self._slot.update(zip([names[i] for i in order], range(kept, kept + len(order)), strict=True))
-        self._held += sum(120 + len(w) for w in words)
-        slots = np.empty(len(words), np.int64)
-        slots[order] = np.arange(kept, kept + len(order))
-        return slots
-
-    @staticmethod
-    def _plain(words: list[bytes], tokenizer: tokenizers.Tokenizer) -> list[np.ndarray]:
+    def _learn(self, uncut: np.ndarray, words: list[bytes], place: np.ndarray) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        whole = uncut[place]
+        edges = lambda ids: np.flatnonzero(self._ends[ids]) + 1
+        return grouped(words, np.flatnonzero(~whole).tolist(), np.flatnonzero(whole).tolist(), b" ", self._plain, edges)
+
+    def _plain(self, words: list[bytes], joined: bool) -> list[np.ndarray]:
+        tokenizer = self._short if joined else self._tokenizer
         got = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in got]
 
