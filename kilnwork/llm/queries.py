@@ -26,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _ordered(df: DataFrame, *names: str) -> DataFrame:
+    """These columns first."""
+    return df.select(*names, *(c for c in df.columns if c not in names))
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
@@ -56,11 +61,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.quality_rules(_table(spark, sf_dir, "documents"))
+    judged = rules.quality_rules(_table(spark, sf_dir, "documents"))
+    return _ordered(judged, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    found = fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    return _ordered(found, "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
