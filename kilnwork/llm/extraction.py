@@ -11,6 +11,7 @@ import functools
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Collection, Iterator
 from operator import and_
 
@@ -43,9 +44,14 @@ CHROME = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus replies reply respond "
     "related recommended pagination pager toolbar widget complementary contentinfo search skip dialog form".split()
 )
+#: Of these, words that also name what an article is about: with others beside them they count only where most text is links.
+_TOPICS = frozenset("menu share sharing related search form skip social alert".split())
+#: Words beside them that say that a part of the layout is meant after all.
+_CONTROLS = frozenset("bar block box btn button buttons container count icon icons left link links list main panel right site tools top widget wrap wrapper".split())
 #: Words before another that say what a layout has or lacks: "with-sidebar" is no sidebar.
 _STATES = frozenset("has with no not without is".split())
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
+# Quotes count after an equals sign only; a value without them ends at white space or the end of the tag.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))*+)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -97,10 +103,14 @@ def parse(page: str) -> Node:
     """Tree of a page; end tags that are left out are put where HTML implies them."""
     root = Node("#")
     stack = [root]
+    unclosed: Counter[str] = Counter()
 
     def close(names: Collection[str], until: Collection[str] = ()) -> None:
+        if not any(unclosed[name] for name in names):  # an end tag without a start is not looked for
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
+                unclosed.subtract(n.tag for n in stack[i:])
                 del stack[i:]
                 return
             if stack[i].tag in until:
@@ -120,6 +130,7 @@ def parse(page: str) -> Node:
             stack[-1].children.append(node)
             if name not in VOID and not attributes.rstrip().endswith("/"):
                 stack.append(node)
+                unclosed[name] += 1
     return root
 
 
@@ -156,7 +167,8 @@ def _hidden(node: Node) -> bool:
 
 
 def _marks(node: Node) -> int:
-    """How surely class, id or role say that this is no part of an article: 0 not, 1 among other words, 2 alone.
+    """How surely class, id or role say that this is no part of an article: 0 not, 1 by a word that may be its topic, 2 among
+    other words, 3 alone.
 
     Ids of headings and sections are titles and say nothing.
     """
@@ -169,8 +181,10 @@ def _marks(node: Node) -> int:
             continue
         for token in value.split():
             words = [word.lower() for word in _NAME.findall(token)]
-            if words and words[0] not in _STATES and any(word in CHROME for word in words):
-                found = max(found, 2 if words == [value.lower()] else 1)
+            marks = CHROME.intersection(words)
+            if marks and words[0] not in _STATES:
+                topic = marks <= _TOPICS and not marks.issuperset(words) and not _CONTROLS.intersection(words)
+                found = max(found, 3 if words == [value.lower()] else 1 if topic else 2)
     return found
 
 
@@ -182,7 +196,8 @@ def chrome(root: Node) -> set[int]:
     """``id`` of the elements to delete with all that is in them, by attributes.
 
     Hidden ones; and those marked by class, id or role, unless they hold the main element, the page's title (``h1``), all
-    its articles, or, where the mark is not the only word, over half of the text of their article or else of the page.
+    its articles, or, where the mark is not the only word, over half of the text of their article or else of the page. Where
+    the mark may be a topic, as in "recipe-menu", half of an element's text within an article must be links as well.
     """
     gone: set[int] = set()
     order, pending = [], [(root, root)]
@@ -198,19 +213,23 @@ def chrome(root: Node) -> set[int]:
     sizes: dict[int, int] = {}
     titles: dict[int, bool] = {}
     articles: dict[int, int] = {}
+    links: dict[int, int] = {}
     for node, _, marks in reversed(order):
         inner = [c for c in node.children if isinstance(c, Node) and id(c) not in gone]
         sizes[id(node)] = sum(sizes[id(c)] for c in inner) + sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
         titles[id(node)] = any(titles[id(c)] or c.tag == "h1" or _is_main(c) for c in inner)
         articles[id(node)] = sum(articles[id(c)] for c in inner) + (node.tag == "article" and not marks)
+        links[id(node)] = sizes[id(node)] if node.tag == "a" else sum(links[id(c)] for c in inner)
     for node, region, marks in order:
-        if not marks or _is_main(node) and marks < 2 or titles[id(node)]:
+        if not marks or _is_main(node) and marks < 3 or titles[id(node)]:
+            continue
+        if marks == 1 and region is not root and region is not node and 2 * links[id(node)] < sizes[id(node)]:
             continue
         if articles[id(node)] and articles[id(node)] == articles[id(root)]:
             continue
         # An article is measured by the page, all else by the article or main that it is in.
         whole = sizes[id(root)] if region is node else sizes[id(region)]
-        if marks == 2 or 2 * sizes[id(node)] <= whole:
+        if marks == 3 or 2 * sizes[id(node)] <= whole:
             gone.add(id(node))
     return gone
 
@@ -250,7 +269,7 @@ def tree_contexts(root: Node) -> dict[int, int]:
 def main_text(page: str | None, templates: Collection[int] = ()) -> str:
     """The article's blocks, joined by two line breaks.
 
-    The article is the longest ``article``, else the longest ``main``, else the body. Headings, paragraphs, list items
+    The article is the longest ``article``, unless the longest ``main`` holds more than twice its text, else the body. Headings, paragraphs, list items
     and cells of an article are its text however often they recur; other blocks in ``templates`` are deleted.
     """
     if not page:
@@ -266,12 +285,11 @@ def main_text(page: str | None, templates: Collection[int] = ()) -> str:
         if node.tag == "article" or _is_main(node):
             candidates["article" if node.tag == "article" else "main"].append(node)
         pending += [c for c in node.children if isinstance(c, Node)]
-    for nodes in candidates.values():
-        texts = [t for t in (_blocks(n, templates, hashes, gone, True) for n in nodes) if t]
-        if texts:
-            return max(texts, key=len)
-        if nodes:
-            return ""
+    article, main = (
+        max((_blocks(n, templates, hashes, gone, True) for n in nodes), key=len, default="") for nodes in candidates.values()
+    )
+    if any(candidates.values()):
+        return article if 2 * len(article) >= len(main) else main
     return _blocks(root, templates, hashes, gone, False)
 
 
@@ -308,7 +326,13 @@ def _blocks(top: Node, templates: Collection[int], hashes: dict[int, int], gone:
 
 
 def _has_heading(node: Node) -> bool:
-    return any(isinstance(c, Node) and (c.tag in HEADINGS or _has_heading(c)) for c in node.children)
+    pending = [c for c in node.children if isinstance(c, Node)]
+    while pending:
+        child = pending.pop()
+        if child.tag in HEADINGS:
+            return True
+        pending += [c for c in child.children if isinstance(c, Node)]
+    return False
 
 
 def host_of(url: str):

@@ -270,3 +270,28 @@ def test_copies_of_a_page_keep_their_text_and_templates_of_large_hosts_go(spark)
 )
 def test_words_of_attributes_delete_only_what_is_beside_the_text(page, text):
     assert extraction.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p title=it's>Alpha beta.</p><p>It's fine.</p><p>End.</p></article>", "Alpha beta.\n\nIt's fine.\n\nEnd."),
+        ("<article><p title = \"a>b\" class='c>d' id=x/y>One.</p><p a=b\"c>Two.</p><p q'=1>Three.</p></article>", "One.\n\nTwo.\n\nThree."),
+        ("<main><h1>Title</h1><p>" + "A sentence. " * 50 + "</p><article><p>Teaser one.</p></article><article><p>Teaser two.</p></article></main>", "Title\n\n" + " ".join(["A sentence."] * 50) + "\n\nTeaser one.\n\nTeaser two."),
+        ("<main><p>Lead.</p><article><p>" + "The story. " * 20 + "</p></article></main>", " ".join(["The story."] * 20)),
+        ("<article><p>" + "Cook it. " * 30 + "</p><div class='recipe-menu'><p>Soup and bread.</p></div><table class='share-prices'><tr><td>12.5</td></tr></table></article>", " ".join(["Cook it."] * 30) + "\n\nSoup and bread.\n\n12.5"),
+        ("<article><p>" + "Cook it. " * 30 + "</p><div class='share-buttons'><a href=x>Send</a> <a href=y>Post</a></div><ul class='related-posts'><li><a href=z>More</a></li></ul></article>", " ".join(["Cook it."] * 30)),
+    ],
+)
+def test_pages_that_hid_their_text(page, text):
+    assert extraction.main_text(page) == text
+
+
+def test_deep_and_unbalanced_pages_take_linear_time():
+    import time
+
+    deep = "<article><header>" + "<div>" * 3000 + "<h2>T</h2>" + "</div>" * 3000 + "</header><p>Text.</p></article>"
+    assert extraction.main_text(deep) == "T\n\nText."
+    start = time.process_time()
+    assert extraction.main_text("<article><p>a" + "<i>" * 20_000 + "</b>" * 20_000 + "</article>") == "a"
+    assert time.process_time() - start < 5
