@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from kilnwork.operators import sampling, search, training
+from kilnwork.operators import async_halving, sampling, search, training
 from kilnwork.session import build_session
 from kilnwork.sources import tables
 
@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--label", default="label")
     p.add_argument("--model", default="conv", choices=("conv", "linear"))
     p.add_argument("--mode", default="minibatch", choices=("minibatch", "full"))
+    p.add_argument("--scheduler", default="sync", choices=("sync", "async"), help="whether trials wait for the others at a rung")
     p.add_argument("--checkpoint-path")
     p.add_argument("--resume", action="store_true")
     p.add_argument("--smoke-test", action="store_true", help="one trial, five iterations")
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> None:
         max_iterations=search.SMOKE_ITERATIONS if args.smoke_test else search.MAX_ITERATIONS,
         checkpoint_path=args.checkpoint_path,
         resume=args.resume,
+        rule=async_halving.arrival_rule() if args.scheduler == "async" else None,
     )
     best = result.best.first()
     print(json.dumps({"best": best.asDict() if best else None}))

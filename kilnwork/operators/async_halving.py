@@ -10,7 +10,7 @@ import bisect
 import heapq
 import json
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -84,6 +84,21 @@ def judged(rungs: Rungs, reports: Iterable[tuple[int, int, float | None]]) -> It
             yield trial, iteration, metric, *verdict
 
 
+def arrival_rule(
+    grace: int = search.GRACE_PERIOD, reduction: int = search.REDUCTION_FACTOR, horizon: int = search.HALVING_HORIZON
+) -> search.RungRule:
+    """A rule for :func:`~kilnwork.operators.search.run_search`: trials that report together are judged one after the other.
+
+    None waits for the others: the first goes on, and each later one is compared with those before it. For one search.
+    """
+    rungs = Rungs(grace, reduction, horizon)
+
+    def rule(level: int, reached: Sequence[tuple[int, float]]) -> set[int]:
+        return {trial for trial, _, _, _, keep in judged(rungs, ((t, level, m) for t, m in sorted(reached))) if keep}
+
+    return rule
+
+
 def judged_schema(reports: DataFrame, key: str) -> StructType:
     rest = StructType.fromDDL("trial_id long, training_iteration int, mean_accuracy double, cut double, keep boolean")
     return StructType([reports.schema[key], *rest.fields])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -153,6 +153,10 @@ def trial_errors(trials: DataFrame) -> DataFrame:
     return trials.agg(F.count(F.lit(1)).alias("trials"), errors.alias("errors"), (errors == 0).alias("ok"))
 
 
+# Which of the trials ``(trial, metric)`` that have reached a rung, in the order of their ids, go on.
+RungRule = Callable[[int, Sequence[tuple[int, float]]], set[int]]
+
+
 @dataclass
 class SearchResult:
     spark: SparkSession
@@ -200,6 +204,7 @@ def run_search(
     checkpoint_path: str | None = None,
     resume: bool = False,
     max_tasks: int | None = None,
+    rule: RungRule | None = None,
 ) -> SearchResult:
     """Train all trials until each is stopped; ``samples`` carry ``is_test``.
 
@@ -210,7 +215,8 @@ def run_search(
     own; the sample is bounded by the caps whatever the table's size.
 
     Trials end at ``target`` or ``max_iterations``, below the cut at a rung, or
-    at ``horizon`` (None turns halving off). Rungs are synchronous. With
+    at ``horizon`` (None turns halving off). Rungs are synchronous unless another
+    ``rule`` says which trials go on, such as :func:`~kilnwork.operators.async_halving.arrival_rule`. With
     ``checkpoint_path`` the state is written after every report, and ``resume``
     continues from the last one. ``max_tasks`` is passed on to :func:`training.partial_sums`.
     """
@@ -242,6 +248,9 @@ def run_search(
             params[at], velocity[at], live[at] = state.params, state.velocity, state.live
             result.reports = [r for r in state.reports]
     rungs = set(rung_levels(grace, reduction, horizon)) if horizon else set()
+    rule = rule or (lambda _, reached: survivors(reached, reduction))
+    for level in sorted(level for level in rungs if level <= iteration):  # a rule may remember what it has judged
+        rule(level, [(t, np.nan if v is None else v) for t, i, v, _ in result.reports if i == level])
     rows = samples.select(key, features, label, "is_test")
     gradient = None
     ahead: dict[tuple[int, str], DataFrame] = {}
@@ -285,8 +294,8 @@ def run_search(
                 going.append((int(i), float(value)))
         kept = {i for i, _ in going}
         if iteration in rungs:
-            reached = [(int(i), float(v)) for i, v in zip(now, accuracy)]
-            kept &= survivors(reached, reduction)
+            going_on = rule(iteration, [(int(ids[i]), float(v)) for i, v in zip(now, accuracy)])
+            kept = {i for i in kept if int(ids[i]) in going_on}
         live[:] = False
         # Trials that only the limit or the horizon ends stay live in the checkpoint, so that a search can
         # be resumed with a higher one.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from kilnwork.operators import sampling, search, training, workers
+from kilnwork.operators import async_halving, sampling, search, training, workers
 from kilnwork.plans.inputs import METRICS_SQL, event_metrics, samples, table
 from kilnwork.session import materialise, scratch_path
 from kilnwork.sinks import checkpoints
@@ -79,6 +79,11 @@ def tune_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _accuracies(_search(spark, sf_dir, max_iterations=_TUNE_ITERATIONS, checkpoint_path=path, resume=True))
 
 
+def tune_async(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same iterations where no trial waits at a rung: each is compared with the reports before its own."""
+    return _accuracies(_search(spark, sf_dir, max_iterations=_TUNE_ITERATIONS, rule=async_halving.arrival_rule()))
+
+
 def tune_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = {"num_trials": search.SMOKE_TRIALS, "max_iterations": search.SMOKE_ITERATIONS}
     return _accuracies(_search(spark, sf_dir, **options))
@@ -173,6 +178,7 @@ QUERIES = {
     "tune_run": tune_run,
     "tune_rungs": tune_rungs,
     "tune_resumed": tune_resumed,
+    "tune_async": tune_async,
     "tune_smoke": tune_smoke,
     "tune_minibatch": tune_minibatch,
     "checkpoint_roundtrip": checkpoint_roundtrip,
@@ -260,9 +266,12 @@ def _descend_sql(step: int, rows: str, iteration: int) -> str:
         JOIN t USING (trial_id))"""
 
 
-def _report_sql(iteration: int, step: int, rows: str, rungs: tuple[int, ...]) -> str:
+def _report_sql(iteration: int, step: int, rows: str, rungs: tuple[int, ...], waiting: bool = True) -> str:
     """``acc<iteration>`` of ``w<step>`` on ``rows``, and the trials that go on."""
     cut = f" AND mean_accuracy >= (SELECT quantile_cont(mean_accuracy, 0.75) FROM acc{iteration})"
+    if not waiting:
+        before = "quantile_cont(mean_accuracy, 0.75) OVER (ORDER BY trial_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        cut = f" QUALIFY coalesce(mean_accuracy >= {before}, true)"
     return f"""
     acc{iteration} AS MATERIALIZED (
         SELECT trial_id, {iteration} AS training_iteration, avg((best = label)::INT) AS mean_accuracy
@@ -270,16 +279,16 @@ def _report_sql(iteration: int, step: int, rows: str, rungs: tuple[int, ...]) ->
                      arg_min(class_id, (-list_dot_product(x, ws), class_id)) AS best
               FROM {rows}, (SELECT trial_id, class_id, list(w ORDER BY pos) AS ws FROM w{step} GROUP BY 1, 2)
               GROUP BY 1, 2) GROUP BY 1),
-    live{iteration} AS (SELECT trial_id FROM acc{iteration}
-        WHERE mean_accuracy < {search.TARGET_ACCURACY}{cut if iteration in rungs else ""})"""
+    live{iteration} AS (SELECT trial_id FROM (SELECT * FROM acc{iteration}{cut if iteration in rungs and not waiting else ""})
+        WHERE mean_accuracy < {search.TARGET_ACCURACY}{cut if iteration in rungs and waiting else ""})"""
 
 
-def _descent_sql(trials: int, iterations: int, rungs: tuple[int, ...]) -> str:
+def _descent_sql(trials: int, iterations: int, rungs: tuple[int, ...], waiting: bool = True) -> str:
     """A search of full passes: parameters ``w<i>`` and accuracies ``acc<i>`` of each iteration."""
     parts = [_start_sql(trials)]
     for i in range(1, iterations + 1):
         parts.append(_descend_sql(i - 1, "s WHERE NOT is_test", i))
-        parts.append(_report_sql(i, i, "(FROM s WHERE is_test)", rungs))
+        parts.append(_report_sql(i, i, "(FROM s WHERE is_test)", rungs, waiting))
     return ",".join(parts)
 
 
@@ -305,6 +314,11 @@ def _all(iterations: int, select: str) -> str:
 
 
 ORACLES = {
+    "tune_async": _descent_sql(search.NUM_TRIALS, _TUNE_ITERATIONS, (1, 4, 16), waiting=False)
+    + _all(
+        _TUNE_ITERATIONS,
+        " SELECT trial_id, training_iteration, round(mean_accuracy, 6) AS mean_accuracy FROM acc{i}",
+    ),
     "tune_resumed": _descent_sql(search.NUM_TRIALS, _TUNE_ITERATIONS, (1, 4, 16))
     + _all(
         _TUNE_ITERATIONS,

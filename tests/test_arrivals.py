@@ -92,6 +92,49 @@ def test_rung_states_merge_and_travel():
     assert both.judge(99, 1, both.cut(1)) == (2.875, True) and both.judge(1, 4, 9.0) is None
 
 
+def test_a_search_whose_trials_do_not_wait(spark, tmp_path, monkeypatch):
+    from kilnwork.operators import sampling, training
+    from kilnwork.sinks import checkpoints
+
+    r = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in r.normal(size=3)], int(r.integers(4))) for i in range(300)]
+    samples = sampling.split_train_test(spark.createDataFrame(rows, "id long, x array<double>, y int"), "id")
+    trainable = training.SoftmaxRegression(3, 4, 0.5)
+    options = dict(key="id", features="x", label="y", max_iterations=18, target=2.0)
+    trials = search.param_space(spark, 24)
+
+    def reports(found):
+        return sorted((t, i, m) for t, i, m, _ in found.reports)
+
+    whole = search.run_search(samples, trials, trainable, rule=async_halving.arrival_rule(), **options)
+    by = {}
+    for t, i, m in reports(whole):
+        by.setdefault(i, {})[t] = m
+    for level in (1, 4, 16):
+        seen, going = [], set()
+        for t, m in sorted(by[level].items()):
+            if not seen or m >= np.quantile(seen, 0.75):
+                going.add(t)
+            seen.append(m)
+        assert set(by[level + 1]) == going and going != set(by[level])
+    # Killed in its sixth iteration, as its checkpoint is written, and taken up again.
+    path, write, calls = str(tmp_path / "cp"), checkpoints.write, []
+
+    def dies(*args, **named):
+        calls.append(1)
+        if len(calls) == 6:
+            raise KeyboardInterrupt
+        write(*args, **named)
+
+    monkeypatch.setattr(checkpoints, "write", dies)
+    with pytest.raises(KeyboardInterrupt):
+        search.run_search(samples, trials, trainable, rule=async_halving.arrival_rule(), checkpoint_path=path, **options)
+    monkeypatch.setattr(checkpoints, "write", write)
+    again = search.run_search(samples, trials, trainable, rule=async_halving.arrival_rule(), checkpoint_path=path, resume=True, **options)
+    assert [(t, i) for t, i, _ in reports(again)] == [(t, i) for t, i, _ in reports(whole)]
+    assert np.allclose([m for *_, m in reports(again)], [m for *_, m in reports(whole)])
+
+
 def test_more_trials_than_a_search_holds_are_refused(spark, monkeypatch):
     monkeypatch.setattr(search, "MAX_TRIALS", 3)
     with pytest.raises(Exception, match="at most 3 trials"):
