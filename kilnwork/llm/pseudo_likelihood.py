@@ -9,6 +9,8 @@ A document's score is the sum of the log-probabilities of all its words.
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kilnwork.llm.near_dedup import batches_of
-from kilnwork.llm.shingles import word_hashes
+from kilnwork.llm.shingles import ODD, mix
 from kilnwork.session import materialise
 
 SIDE = 2
@@ -39,6 +41,34 @@ _SHAPES = {
 }
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Longer words are hashed one by one.
+_SHORT = 64
+
+
+def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of the texts in a row, by eight bytes at a time, and the text it belongs to."""
+    coded = [t.encode("utf-8", "replace") for t in texts]
+    raw = b"\n".join([b"", *coded, b"\0" * 8])
+    gap = _SPACE[np.frombuffer(raw, np.uint8)[: len(raw) - 8]]
+    edge = np.flatnonzero(gap[:-1] != gap[1:]) + 1
+    starts, ends = edge[::2], edge[1::2]
+    sizes = ends - starts
+    eights = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
+    hashes = mix((eights[starts] & masks[np.minimum(sizes, 8)]) + ODD)
+    for k in range(8, _SHORT, 8):
+        more = np.flatnonzero(sizes > k)
+        if not len(more):
+            break
+        hashes[more] = mix(hashes[more] * ODD + (eights[starts[more] + k] & masks[np.minimum(sizes[more] - k, 8)]))
+    for i in np.flatnonzero(sizes > _SHORT).tolist():
+        hashes[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    bounds = np.cumsum([len(c) + 1 for c in coded], dtype=np.int64)
+    return hashes, np.searchsorted(bounds, starts - 1, side="right")
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Hashes of the most frequent words in ascending order, their ids by falling count (from 1), and counts by id."""
@@ -113,33 +143,42 @@ def contexts(ids: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return out
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
+def _softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
 
+def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-probability of one entry of each row."""
+    logits -= logits.max(axis=1, keepdims=True)
+    return logits[np.arange(len(chosen)), chosen] - np.log(np.exp(logits).sum(axis=1))
+
+
 def _hidden(net: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inputs = net["embedding"][around].reshape(len(around), -1)
     return inputs, np.tanh(inputs @ net["into"] + net["into_bias"])
 
 
+def _by_class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """An order of words by class, and in it their classes, their members and where each class begins."""
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    group, member = np.divmod(ids[order], MEMBERS)
+    return order, group, member, np.searchsorted(group, np.arange(CLASSES + 1))
+
+
 def log_probabilities(net: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     """Log-probability of each word given the words around it."""
     out = np.empty(len(ids))
-    for at in range(0, len(ids), 1 << 15):
-        word, near = ids[at : at + (1 << 15)], around[at : at + (1 << 15)]
-        group, member = word // MEMBERS, word % MEMBERS
-        _, hidden = _hidden(net, near)
-        logs = _log_softmax(hidden @ net["classes"] + net["class_bias"])[np.arange(len(word)), group].astype(np.float64)
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            use = order[bounds[c] : bounds[c + 1]]
-            if len(use):
-                inner = _log_softmax(hidden[use] @ net["members"][c] + net["member_bias"][c])
-                logs[use] += inner[np.arange(len(use)), member[use]]
-        out[at : at + (1 << 15)] = logs
+    for at in range(0, len(ids), 1 << 14):
+        order, group, member, bounds = _by_class(ids[at : at + (1 << 14)])
+        _, hidden = _hidden(net, around[at : at + (1 << 14)][order])
+        logs = _log_share(hidden @ net["classes"] + net["class_bias"], group).astype(np.float64)
+        for c in np.flatnonzero(np.diff(bounds)):
+            use = slice(bounds[c], bounds[c + 1])
+            logs[use] += _log_share(hidden[use] @ net["members"][c] + net["member_bias"][c], member[use])
+        out[at + order] = logs
     return out
 
 
@@ -147,42 +186,39 @@ def train(net: dict[str, np.ndarray], batches: Iterator[tuple[np.ndarray, np.nda
     """One AdaGrad step for each (ids, contexts); changes ``net`` and returns how many words it saw."""
     seen = {n: np.full(v.shape, 1e-6, np.float32) for n, v in net.items()}
     total = 0
-
-    def move(name: str, slope: np.ndarray, at=...) -> None:
-        seen[name][at] += slope**2
-        net[name][at] -= rate * slope / np.sqrt(seen[name][at])
-
     for ids, around in batches:
         n = len(ids)
         if not n:
             continue
         total += n
-        group, member = ids // MEMBERS, ids % MEMBERS
+        order, group, member, bounds = _by_class(ids)
+        around, rows = around[order], np.arange(n)
         inputs, hidden = _hidden(net, around)
-        error = np.exp(_log_softmax(hidden @ net["classes"] + net["class_bias"]))
-        error[np.arange(n), group] -= 1
-        error /= n
+        error = _softmax(hidden @ net["classes"] + net["class_bias"])
+        error[rows, group] -= 1
         back = error @ net["classes"].T
-        move("classes", hidden.T @ error)
-        move("class_bias", error.sum(axis=0))
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            use = order[bounds[c] : bounds[c + 1]]
-            if len(use):
-                inner = np.exp(_log_softmax(hidden[use] @ net["members"][c] + net["member_bias"][c]))
-                inner[np.arange(len(use)), member[use]] -= 1
-                inner /= n
-                back[use] += inner @ net["members"][c].T
-                move("members", hidden[use].T @ inner, c)
-                move("member_bias", inner.sum(axis=0), c)
+        slopes = {"classes": hidden.T @ error, "class_bias": error.sum(axis=0), "members": np.zeros_like(net["members"]), "member_bias": np.zeros_like(net["member_bias"])}
+        for c in np.flatnonzero(np.diff(bounds)):
+            use = slice(bounds[c], bounds[c + 1])
+            inner = _softmax(hidden[use] @ net["members"][c] + net["member_bias"][c])
+            inner[rows[: len(inner)], member[use]] -= 1
+            back[use] += inner @ net["members"][c].T
+            slopes["members"][c], slopes["member_bias"][c] = hidden[use].T @ inner, inner.sum(axis=0)
         back *= 1 - hidden**2
-        slope = (back @ net["into"].T).reshape(-1, EMBEDDING)
-        move("into", inputs.T @ back)
-        move("into_bias", back.sum(axis=0))
-        words, where = np.unique(around.ravel(), return_inverse=True)
-        sums = np.stack([np.bincount(where, slope[:, k], minlength=len(words)) for k in range(EMBEDDING)], axis=1)
-        move("embedding", sums.astype(np.float32), words)
+        slopes["into"], slopes["into_bias"] = inputs.T @ back, back.sum(axis=0)
+        # Each word's embedding moves by the sum over its places.
+        places = around.ravel().astype(np.int16)
+        by = np.argsort(places, kind="stable")
+        places = places[by]
+        first = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+        words = places[first]
+        moved = np.add.reduceat((back @ net["into"].T).reshape(-1, EMBEDDING)[by], first, axis=0) / n
+        for name, slope in slopes.items():
+            slope = slope / n
+            seen[name] += slope**2
+            net[name] -= rate * slope / np.sqrt(seen[name])
+        seen["embedding"][words] += moved**2
+        net["embedding"][words] -= rate * moved / np.sqrt(seen["embedding"][words])
     return total
 
 
@@ -208,46 +244,62 @@ def _in_round(draw: Column, i: int, share: float) -> Column:
     return F.pmod(draw - F.lit(since), F.lit(_DRAWS)) < F.lit(till - since)
 
 
+#: Words that one shard trains on, one after the other, and words that are mixed at a time.
+_SHARD_WORDS, _MIXED = 1 << 21, 1 << 18
+#: Parameters that one task adds up.
+_FAN_IN = 64
+
+
 def fit(
-    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", share: float = 0.25, rounds: int = 4, step: int = 2048
+    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", share: float = 0.25, rounds: int = 4, step: int = 8192
 ) -> dict[str, np.ndarray]:
     """Trains on every row once, unless told otherwise: each round on the next ``share`` of the rows by hash.
 
-    The hash is that of the whole row, so that copies of a text are dealt over the rounds. Each task trains from the current parameters on its own rows; the average weighted by words, summed in two levels so
-    that no task meets the parameters of all others, starts the next round.
+    A round's rows are dealt by hash into shards of about two million words, whose number follows the corpus. Each shard
+    trains from the round's parameters, in the order of its rows' hashes; the average weighted by words starts the next
+    round. So the parameters do not depend on how the rows are partitioned. The hash is that of the whole row without
+    maps, so that copies of a text are dealt over the rounds and shards; rows equal in all columns go together.
     """
     spark = docs.sparkSession
     known = vocabulary.for_tasks()
-    drawn = docs.select(F.col(text).alias("text"), F.pmod(F.xxhash64(*docs.columns), F.lit(_DRAWS)).alias("draw"))
+    columns = [name for name, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    row = F.xxhash64(*columns)
+    drawn = docs.select(F.col(text).alias("text"), row.alias("row"), F.pmod(row, F.lit(_DRAWS)).alias("draw"))
+    shards = max(1, round(share * vocabulary.counts.sum() / _SHARD_WORDS))
+    shard = F.pmod(F.xxhash64("row", F.lit("shard")), F.lit(shards)).alias("shard")
     flat = _flat(start(vocabulary))
     for i in range(rounds):
-        chosen = drawn.filter(_in_round(F.col("draw"), i, share)).select("text")
+        chosen = drawn.filter(_in_round(F.col("draw"), i, share)).select("text", "row", shard)
         sent = spark.sparkContext.broadcast(flat)  # some 800 KB whatever the corpus
 
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Each text as the ids of its words as contexts, which tell the words' own ids as well."""
+            for batch in batches:
+                for part in batches_of(batch):
+                    hashes, owner = word_hashes([t or "" for t in part.column("text").to_pylist()])
+                    near = context_ids(known.lookup(hashes), hashes).astype("<u2")
+                    bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
+                    held = pa.array([near[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([part.column("shard"), part.column("row"), held], ["shard", "row", "near"])
+
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            net = _unflat(sent.value)
-
-            def steps() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-                for batch in batches:
-                    for part in batches_of(batch):
-                        hashes, owner = word_hashes([t or "" for t in part.column("text").to_pylist()])
-                        ids = known.lookup(hashes)
-                        around = contexts(context_ids(ids, hashes), owner)
-                        order = np.random.default_rng(len(ids)).permutation(len(ids))
-                        for at in range(0, len(ids), step):
-                            use = order[at : at + step]
-                            yield ids[use], around[use]
-
-            words = train(net, steps())
-            if words:
-                weighted = _flat(net).astype(np.float64) * words
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(weighted[0].view(np.int64)) % 64]), pa.array([words]), pa.array([weighted.tobytes()])], ["salt", "words", "sums"]
-                )
+            for number, rows in _runs(batches):
+                net = _unflat(sent.value)
+                words = train(net, _steps(rows, number, step))
+                if words:
+                    weighted = _flat(net).astype(np.float64) * words
+                    yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([words]), pa.array([weighted.tobytes()])], ["salt", "words", "sums"])
 
         schema = "salt bigint, words bigint, sums binary"
-        some = chosen.mapInArrow(run, schema).groupBy("salt").applyInArrow(_added, schema)
-        all_of = some.withColumn("salt", F.lit(0).cast("long")).groupBy("salt").applyInArrow(_added, schema).collect()
+        order = ("shard", "row", "near")
+        texts = chosen.mapInArrow(read, "shard bigint, row bigint, near binary").repartition("shard").sortWithinPartitions(*order)
+        sums, left = texts.mapInArrow(run, schema), shards
+        while True:
+            sums = sums.withColumn("salt", F.floor(F.col("salt") / _FAN_IN).cast("long")).groupBy("salt").applyInArrow(_added, schema)
+            left = -(-left // _FAN_IN)
+            if left == 1:
+                break
+        all_of = sums.collect()
         sent.destroy()
         if not all_of:
             break
@@ -255,10 +307,43 @@ def fit(
     return _unflat(flat)
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[bytes]]]:
+    """Rows of sorted batches, shard by shard. Each shard's rows must be used up before the next."""
+    rows = ((s, near) for batch in batches for s, near in zip(batch.column("shard").to_pylist(), batch.column("near").to_pylist(), strict=True))
+    return ((number, (near for _, near in group)) for number, group in itertools.groupby(rows, key=lambda r: r[0]))
+
+
+def _steps(rows: Iterator[bytes], number: int, step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Words and contexts in steps, mixed among the texts that follow each other."""
+    held: list[np.ndarray] = []
+    mixed = words = 0
+
+    def mix_held() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        near = np.concatenate(held).astype(np.int64)
+        around = contexts(near, np.repeat(np.arange(len(held)), [len(h) for h in held]))
+        ids = np.where(near > PAD, UNKNOWN, near)
+        order = np.random.default_rng([number, mixed]).permutation(len(ids))
+        for at in range(0, len(ids), step):
+            use = order[at : at + step]
+            yield ids[use], around[use]
+
+    for near in rows:
+        held.append(np.frombuffer(near, "<u2"))
+        words += len(held[-1])
+        if words >= _MIXED:
+            yield from mix_held()
+            held, words, mixed = [], 0, mixed + 1
+    if held:
+        yield from mix_held()
+
+
 def _added(table: pa.Table) -> pa.Table:
-    total = sum((np.frombuffer(s.as_py()) for s in table.column("sums")), start=0.0)
-    words = sum(table.column("words").to_pylist())
-    return pa.table({"salt": [table.column("salt")[0].as_py()], "words": [words], "sums": [np.asarray(total).tobytes()]})
+    """The sums of some shards, added in a fixed order."""
+    rows = sorted(zip(table.column("words").to_pylist(), table.column("sums").to_pylist(), strict=True))
+    total = np.zeros(len(rows[0][1]) // 8)
+    for _, sums in rows:
+        total += np.frombuffer(sums)
+    return pa.table({"salt": [table.column("salt")[0].as_py()], "words": [sum(n for n, _ in rows)], "sums": [total.tobytes()]})
 
 
 def score(docs: DataFrame, vocabulary: Vocabulary, net: dict[str, np.ndarray], text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -295,3 +295,48 @@ def test_deep_and_unbalanced_pages_take_linear_time():
     start = time.process_time()
     assert extraction.main_text("<article><p>a" + "<i>" * 20_000 + "</b>" * 20_000 + "</article>") == "a"
     assert time.process_time() - start < 5
+
+
+def test_scores_do_not_depend_on_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(pl, "_SHARD_WORDS", 2000)
+    r = np.random.default_rng(7)
+    texts = [" ".join(f"w{int(x)}" for x in r.zipf(1.3, 60) % 500) for _ in range(200)] + [None, "", "copy of one"] * 3
+    docs = spark.createDataFrame([(i, t, {"a": "b"}) for i, t in enumerate(texts)], "doc_id long, text string, extra map<string,string>")
+    found, nets = [], []
+    for n in (1, 4, 32):
+        dealt = docs.repartition(n, F.xxhash64("doc_id"))
+        vocabulary = pl.fit_vocabulary(dealt)
+        net = pl.fit(dealt, vocabulary)
+        nets.append(net)
+        found.append({x["doc_id"]: x["log_likelihood"] for x in pl.score(dealt, vocabulary, net).collect()})
+    assert all((nets[0][name] == other[name]).all() for other in nets[1:] for name in net)
+    for other in found[1:]:  # products of matrices round by their height, which is that of a batch
+        assert all(v == pytest.approx(found[0][i], rel=1e-5) for i, v in other.items())
+    # The whole score by a plain version: every word by its window, unknown ones by their own counts as well.
+    counts = {}
+    for t in texts:
+        for w in (t or "").split():
+            counts[w] = counts.get(w, 0) + 1
+    net64 = {k: v.astype(np.float64) for k, v in net.items()}
+    for i in (0, 7, 199):
+        hashes, _ = pl.word_hashes([texts[i]])
+        ids = vocabulary.lookup(hashes)
+        near = [pl.PAD] * pl.SIDE + pl.context_ids(ids, hashes).tolist() + [pl.PAD] * pl.SIDE
+        total = 0.0
+        for k, (word, spelled) in enumerate(zip(ids, texts[i].split(), strict=True)):
+            window = near[k : k + pl.SIDE] + near[k + pl.SIDE + 1 : k + 2 * pl.SIDE + 1]
+            hidden = np.tanh(np.concatenate([net64["embedding"][w] for w in window]) @ net64["into"] + net64["into_bias"])
+            group, member = divmod(int(word), pl.MEMBERS)
+            for z, at in ((hidden @ net64["classes"] + net64["class_bias"], group), (hidden @ net64["members"][group] + net64["member_bias"][group], member)):
+                total += z[at] - np.log(np.exp(z).sum())
+            if word == pl.UNKNOWN:
+                total += np.log(counts[spelled] / max(1.0, vocabulary.counts[pl.UNKNOWN]))
+        assert found[0][i] == pytest.approx(total, rel=1e-4)
+
+
+def test_hashes_of_words():
+    texts = ["", "a b  a", None or "", "x" * 64 + " " + "x" * 65 + " " + "x" * 5000 + "\n" + "x" * 65, "é\x0bb\x1cc", "b"]
+    hashes, owner = pl.word_hashes(texts)
+    words = [w for t in texts for w in re.split(r"[ \t-\r]+", t) if w]
+    assert owner.tolist() == [1, 1, 1, 3, 3, 3, 3, 4, 4, 5] and len(words) == len(hashes)
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
