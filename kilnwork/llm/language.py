@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kilnwork.llm.memory import release
 from kilnwork.session import materialise
 
 BUCKETS = 1 << 14
@@ -93,6 +94,7 @@ def fit_text_model(
     wanted = tuple(languages)
 
     def count(batches):
+        release()
         sums = np.zeros((len(wanted), BUCKETS))
         for batch in batches:
             which = np.array([wanted.index(x) for x in batch.column("l").to_pylist()], np.int64)
@@ -119,6 +121,7 @@ def text_scores(model: TextModel, text: str) -> Column:
 
     @F.arrow_udf("array<float>")
     def scores(texts: pa.Array) -> pa.Array:
+        release()
         if not len(texts):
             return pa.array([], pa.list_(pa.float32()))
         sums, sizes = [], []

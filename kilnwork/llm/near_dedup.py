@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilnwork.llm.components import components
+from kilnwork.llm.memory import release
 from kilnwork.llm.shingles import bags, mix, pairwise_similarity
 from kilnwork.session import materialise
 
@@ -78,6 +79,7 @@ def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release()
             for part in batches_of(batch):
                 texts = part.column("text").to_pylist()
                 values = signatures(texts)
@@ -105,6 +107,7 @@ def batches_of(batch: pa.RecordBatch, size: int = 2 << 20, column: str = "text")
 
 def _links_in_block(table: pa.Table) -> pa.Table:
     """Joins every node of a block to the least node that it reaches through links; only nodes with links."""
+    release()
     nodes = table.column("node").to_numpy()
     like = pairwise_similarity(table.column("text").to_pylist()) >= THRESHOLD
     root = nodes.copy()

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kilnwork.llm.memory import release
 from kilnwork.llm.near_dedup import batches_of
 from kilnwork.llm.word_tokens import word_tokens
 from kilnwork.session import materialise
@@ -241,11 +242,13 @@ def cut(docs: DataFrame, model: str, text: str, keep: list[str], capacity: int,
     fields += ["ids array<int>"] if with_ids else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         tokens = word_tokens(model)
         task = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
-            for part in batches_of(batch, 4 << 20):
+            release()
+            for part in batches_of(batch, 2 << 20):
                 rows, places, held = [], [], []
                 for row, ids in enumerate(tokens.encode(part.column("text").to_pylist())):
                     ids = np.append(ids, np.uint32(end))
@@ -263,6 +266,7 @@ def cut(docs: DataFrame, model: str, text: str, keep: list[str], capacity: int,
                 columns += [pa.array(held, pa.list_(pa.int32()))] if with_ids else []
                 yield pa.RecordBatch.from_arrays(columns, [f.split(" ")[0] for f in fields])
         tokens.forget()
+        release()
 
     return source.mapInArrow(run, ", ".join(fields))
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from kilnwork.llm.memory import release
 from kilnwork.llm.shingles import INVERSE, ODD, mix, powers
 from kilnwork.session import materialise
 
@@ -188,6 +189,7 @@ def _unpacked(data: bytes) -> bytes:
 def _with_packed_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts move between tasks twice; packed they are half as large as what a shuffle makes of them."""
     for batch in batches:
+        release()
         packed = pa.array([_packed(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
         yield batch.set_column(batch.schema.get_field_index("text"), "text", packed)
 
@@ -227,6 +229,7 @@ class _Job:
     def anchors(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each document's anchors, by bucket. What a slice knows to be shared goes past the buckets, leaving a witness."""
         for batch in batches:
+            release()
             docs_of, texts_of = batch.column("doc").to_numpy(), [t.encode() for t in batch.column("text").to_pylist()]
             for a, b in _slices(texts_of):
                 found = Anchors(texts_of[a:b])
@@ -282,6 +285,7 @@ class _Job:
 
         def run(texts: pa.Table, shared: pa.Table) -> pa.Table:
             """The windows of shared anchors by bucket, and by group those that this task finds to be later copies."""
+            release()
             docs_of, texts_of, row_of = self.ordered(texts)
             known = np.unique(_joined(shared, "codes", "<u8"))
             parts = []
@@ -348,6 +352,7 @@ class _Job:
 
     def copies(self, table: pa.Table) -> pa.Table:
         """Runs of windows that are later copies, by group of documents."""
+        release()
         bucket = table.column("bucket")[0].as_py()
         names = ("grp", "docs", "starts", "sizes")
         if bucket >= self.buckets:
@@ -365,6 +370,7 @@ class _Job:
     def remove(self, keep: Sequence[str], schema: pa.Schema):
         def run(texts: pa.Table, copies: pa.Table) -> pa.Table:
             """Every row with its removed spans and what is left."""
+            release()
             docs_of, texts_of, row_of, order = self.ordered(texts, True)
             docs, starts, sizes = (_joined(copies, n, "<i8", True) for n in ("docs", "starts", "sizes"))
             at = np.lexsort((starts, docs))
