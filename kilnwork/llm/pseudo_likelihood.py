@@ -246,6 +246,8 @@ def _in_round(draw: Column, i: int, share: float) -> Column:
 
 #: Words that one shard trains on, one after the other, and words that are mixed at a time.
 _SHARD_WORDS, _MIXED = 1 << 21, 1 << 18
+#: Tasks that the shards of a round are dealt to at most.
+_MOST_TASKS = 1 << 14
 #: Parameters that one task adds up.
 _FAN_IN = 64
 
@@ -292,7 +294,7 @@ def fit(
 
         schema = "salt bigint, words bigint, sums binary"
         order = ("shard", "row", "near")
-        texts = chosen.mapInArrow(read, "shard bigint, row bigint, near binary").repartition("shard").sortWithinPartitions(*order)
+        texts = chosen.mapInArrow(read, "shard bigint, row bigint, near binary").repartition(min(shards, _MOST_TASKS), "shard").sortWithinPartitions(*order)
         sums, left = texts.mapInArrow(run, schema), shards
         while True:
             sums = sums.withColumn("salt", F.floor(F.col("salt") / _FAN_IN).cast("long")).groupBy("salt").applyInArrow(_added, schema)
