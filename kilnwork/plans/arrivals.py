@@ -117,7 +117,7 @@ def job_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def start():
         arriving = endings.with_endings(events, ends)
-        return streams.run_to_table(polls.job_endings(arriving, _PATIENCE, streams.WATERMARK), out, state)
+        return streams.run_to_table(polls.job_endings(arriving, _PATIENCE, streams.WATERMARK), out, state, rocksdb=True)
 
     def last_event():
         newest = table(spark, sf_dir, "events").agg(F.max(streams.as_instant(F.col("ts"))).alias("ts"))

@@ -69,6 +69,7 @@ def schedule_async(
     """The streaming form of :func:`~kilnwork.operators.async_halving.halving_async`: verdicts as reports arrive.
 
     Reports of one micro-batch go by ``order``, micro-batches by their arrival. ``settings`` are those of the rungs.
+    Needs the RocksDB state store.
     """
     rows = reports.selectExpr(key, f"cast({trial} as long) AS trial_id", f"cast({metric} as double) AS mean_accuracy", *order)
     return rows.groupBy(key).transformWithStateInPandas(

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from kilnwork.functions import status as states
 from kilnwork.operators import rollups
+from kilnwork.session import ROCKSDB, STATE_STORE
 
 WATERMARK = "10 minutes"
 
@@ -34,16 +35,27 @@ def windowed_metrics(
     return rollups.tumbling(samples.withWatermark("ts", watermark), every)
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append the rows of a stream to a Parquet table until the input at hand is used up."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, rocksdb: bool = False) -> StreamingQuery:
+    """Append the rows of a stream to a Parquet table until the input at hand is used up.
+
+    ``rocksdb``: keep this stream's state in RocksDB, which state processors need, whatever the session's other streams use.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    if rocksdb:
+        conf.set(STATE_STORE, ROCKSDB)
+    try:  # a started query has settings of its own
+        return (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        if rocksdb:
+            conf.set(STATE_STORE, before)
 
 
 def windows_left(

@@ -1,8 +1,11 @@
 import glob
+import io
 import os
+import subprocess
 import sys
 
 import duckdb
+import pandas as pd
 import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
@@ -48,3 +51,29 @@ def test_query_without_the_package_settings(spark, sf_dir, duck, name):
     plain.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
     got = entry.queries()[name](plain, sf_dir).toPandas()
     assert normal(got) == normal(duck.execute(entry.oracle_sql()[name]).fetchdf())
+
+
+_ELSEWHERE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as entry
+from pyspark.sql import SparkSession
+conf = {"spark.master": "local[4]", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": sys.argv[2]}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+for name in sys.argv[4:]:
+    entry.queries()[name](spark, sys.argv[3]).toPandas().to_json(f"{sys.argv[2]}/{name}.json", orient="records", double_precision=15)
+assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+"""
+
+
+def test_state_processors_in_a_plain_session_of_another_folder(duck, sf_dir, tmp_path):
+    """The driver's own workers do not find the package in the working folder, and the session's store is the default."""
+    names, root = ("job_timeouts",), os.path.dirname(os.path.abspath(entry.__file__))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", _ELSEWHERE, root, str(tmp_path), sf_dir, *names], cwd=tmp_path, env=env, timeout=300, capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr[-3000:]
+    for name in names:
+        want = duck.execute(entry.oracle_sql()[name]).fetchdf()
+        got = pd.read_json(io.StringIO((tmp_path / f"{name}.json").read_text()), dtype=False, convert_dates=False)
+        assert normal(got[list(want.columns)].astype(want.dtypes)) == normal(want)
