@@ -69,7 +69,7 @@ assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 def test_state_processors_in_a_plain_session_of_another_folder(duck, sf_dir, tmp_path):
     """The driver's own workers do not find the package in the working folder, and the session's store is the default."""
-    names, root = ("job_timeouts",), os.path.dirname(os.path.abspath(entry.__file__))
+    names, root = ("job_timeouts", "stream_asha_async"), os.path.dirname(os.path.abspath(entry.__file__))
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", _ELSEWHERE, root, str(tmp_path), sf_dir, *names], cwd=tmp_path, env=env, timeout=300, capture_output=True, text=True)
     assert run.returncode == 0, run.stderr[-3000:]
