@@ -5,6 +5,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +195,28 @@ def test_sample_of_the_quality_classifier_is_bounded_with_copies(spark, monkeypa
         docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
         quality_model.fit(docs, sample_rows=200)
     assert all(120 < n < 280 for n in sizes)  # drawn by text: all 2,000 or none
+
+
+def test_languages_are_scored_once_and_long_texts_in_parts(spark, sf_dir, monkeypatch):
+    plans = []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, name)
+
+    materialise = language.materialise
+    monkeypatch.setattr(language, "materialise", seen)
+    rows = spark.createDataFrame([(1, "the cat and the dog", "en", "a"), (2, "123", "en", "a"), (3, None, None, None)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["lid"] for r in language.identify(rows, language.fit_text_model(rows)).collect()}
+    assert sum(plan.count("ArrowEvalPython") for plan in plans) == 1
+    assert [got[i]["language"] for i in (1, 2, 3)] == ["en", "und", "und"] and got[2]["probability"] == 1
+
+    texts = ["é!", "Der Öl ist schön 漢字. " * 20_000, None, "end"]
+    whole, bounds = language.trigrams([t or "" for t in texts])
+    parts = [bytearray() for _ in texts]
+    for first, buckets, at in language.trigram_runs(pa.array(texts), 1 << 12):
+        assert len(buckets) <= 1 << 12
+        for i in range(len(at) - 1):
+            parts[first + i] += buckets[at[i] : at[i + 1]].astype("u2").tobytes()
+    for i, part in enumerate(parts):
+        assert bytes(part) == whole[bounds[i] : bounds[i + 1]].astype("u2").tobytes()
