@@ -143,22 +143,46 @@ def contexts(ids: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Logits that lie closer together than this need no row's own maximum: their exponentials stay normal numbers.
+_RANGE = 80.0
+
+
+def _tops(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """What no logit of each layer exceeds, as hidden values are between -1 and 1; NaN if logits may lie too far apart."""
+    reach = np.abs(weights).sum(axis=-2)
+    top = (bias + reach).max(axis=-1)
+    return np.where(top - (bias - reach).min(axis=-1) < _RANGE, top, np.nan)
+
+
+def _logits(hidden: np.ndarray, weights: np.ndarray, bias: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """Logits less ``top``, or less each row's maximum if that is NaN."""
+    if np.isnan(top):
+        logits = hidden @ weights + bias
+        logits -= logits.max(axis=1, keepdims=True)
+        return logits
+    logits = hidden @ weights
+    logits += bias - np.float32(top)
+    return logits
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
     return logits
 
 
 def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-probability of one entry of each row."""
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits[np.arange(len(chosen)), chosen] - np.log(np.exp(logits).sum(axis=1))
+    picked = logits[np.arange(len(chosen)), chosen]
+    np.exp(logits, out=logits)
+    return picked - np.log(logits.sum(axis=1))
 
 
 def _hidden(net: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inputs = net["embedding"][around].reshape(len(around), -1)
-    return inputs, np.tanh(inputs @ net["into"] + net["into_bias"])
+    inputs = np.take(net["embedding"], around, axis=0).reshape(len(around), -1)
+    hidden = inputs @ net["into"]
+    hidden += net["into_bias"]
+    return inputs, np.tanh(hidden, out=hidden)
 
 
 def _by_class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -171,13 +195,14 @@ def _by_class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 def log_probabilities(net: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     """Log-probability of each word given the words around it."""
     out = np.empty(len(ids))
+    class_top, tops = _tops(net["classes"], net["class_bias"]), _tops(net["members"], net["member_bias"])
     for at in range(0, len(ids), 1 << 14):
         order, group, member, bounds = _by_class(ids[at : at + (1 << 14)])
         _, hidden = _hidden(net, around[at : at + (1 << 14)][order])
-        logs = _log_share(hidden @ net["classes"] + net["class_bias"], group).astype(np.float64)
+        logs = _log_share(_logits(hidden, net["classes"], net["class_bias"], class_top), group).astype(np.float64)
         for c in np.flatnonzero(np.diff(bounds)):
             use = slice(bounds[c], bounds[c + 1])
-            logs[use] += _log_share(hidden[use] @ net["members"][c] + net["member_bias"][c], member[use])
+            logs[use] += _log_share(_logits(hidden[use], net["members"][c], net["member_bias"][c], tops[c]), member[use])
         out[at + order] = logs
     return out
 
@@ -192,27 +217,26 @@ def train(net: dict[str, np.ndarray], batches: Iterator[tuple[np.ndarray, np.nda
             continue
         total += n
         order, group, member, bounds = _by_class(ids)
-        around, rows = around[order], np.arange(n)
+        around, rows, ones = around[order], np.arange(n), np.ones(n, np.float32)
         inputs, hidden = _hidden(net, around)
-        error = _softmax(hidden @ net["classes"] + net["class_bias"])
+        class_top, tops = _tops(net["classes"], net["class_bias"]), _tops(net["members"], net["member_bias"])
+        error = _softmax(_logits(hidden, net["classes"], net["class_bias"], class_top))
         error[rows, group] -= 1
         back = error @ net["classes"].T
-        slopes = {"classes": hidden.T @ error, "class_bias": error.sum(axis=0), "members": np.zeros_like(net["members"]), "member_bias": np.zeros_like(net["member_bias"])}
+        slopes = {"classes": hidden.T @ error, "class_bias": ones @ error, "members": np.zeros_like(net["members"]), "member_bias": np.zeros_like(net["member_bias"])}
         for c in np.flatnonzero(np.diff(bounds)):
             use = slice(bounds[c], bounds[c + 1])
-            inner = _softmax(hidden[use] @ net["members"][c] + net["member_bias"][c])
+            inner = _softmax(_logits(hidden[use], net["members"][c], net["member_bias"][c], tops[c]))
             inner[rows[: len(inner)], member[use]] -= 1
             back[use] += inner @ net["members"][c].T
-            slopes["members"][c], slopes["member_bias"][c] = hidden[use].T @ inner, inner.sum(axis=0)
+            slopes["members"][c], slopes["member_bias"][c] = hidden[use].T @ inner, ones[use] @ inner
         back *= 1 - hidden**2
-        slopes["into"], slopes["into_bias"] = inputs.T @ back, back.sum(axis=0)
+        slopes["into"], slopes["into_bias"] = inputs.T @ back, ones @ back
         # Each word's embedding moves by the sum over its places.
-        places = around.ravel().astype(np.int16)
-        by = np.argsort(places, kind="stable")
-        places = places[by]
-        first = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
-        words = places[first]
-        moved = np.add.reduceat((back @ net["into"].T).reshape(-1, EMBEDDING)[by], first, axis=0) / n
+        places = around.T.ravel()
+        words = np.flatnonzero(np.bincount(places))
+        pulls = (net["into"] @ back.T).reshape(2 * SIDE, EMBEDDING, n)
+        moved = np.stack([np.bincount(places, pulls[:, d].ravel())[words] for d in range(EMBEDDING)], axis=1).astype(np.float32) / n
         for name, slope in slopes.items():
             slope = slope / n
             seen[name] += slope**2

@@ -340,3 +340,29 @@ def test_hashes_of_words():
     words = [w for t in texts for w in re.split(r"[ \t-\r]+", t) if w]
     assert owner.tolist() == [1, 1, 1, 3, 3, 3, 3, 4, 4, 5] and len(words) == len(hashes)
     assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+
+
+@pytest.mark.parametrize("scale", [1, 400])
+def test_log_probabilities_need_no_maximum_of_each_row(scale):
+    """Plainly in double precision: logits close together, and so far apart that exponentials would vanish."""
+    random = np.random.default_rng(5)
+    net = {n: random.standard_normal(s).astype(np.float32) * 0.1 for n, s in pl._SHAPES.items()}
+    net["classes"] *= scale
+    net["members"] *= scale
+    near = np.isfinite([pl._tops(net["classes"], net["class_bias"]), *pl._tops(net["members"], net["member_bias"])])
+    assert near.all() if scale == 1 else not near.any()
+    ids, around = random.integers(0, pl.PAD, 500), random.integers(0, pl.PAD, (500, 2 * pl.SIDE))
+    wide = {n: v.astype(float) for n, v in net.items()}
+    hidden = np.tanh(wide["embedding"][around].reshape(500, -1) @ wide["into"] + wide["into_bias"])
+    group, member = np.divmod(ids, pl.MEMBERS)
+    want = np.zeros(500)
+    for logits, chosen in (
+        (hidden @ wide["classes"] + wide["class_bias"], group),
+        (np.einsum("nh,nhm->nm", hidden, wide["members"][group]) + wide["member_bias"][group], member),
+    ):
+        logits -= logits.max(axis=1, keepdims=True)
+        want += logits[np.arange(500), chosen] - np.log(np.exp(logits).sum(axis=1))
+    assert np.allclose(pl.log_probabilities(net, ids, around), want, rtol=1e-4, atol=1e-4)
+    before = want.mean()
+    pl.train(net, iter([(ids, around)] * 5))
+    assert all(np.isfinite(v).all() for v in net.values()) and pl.log_probabilities(net, ids, around).mean() > before
