@@ -14,6 +14,7 @@ import itertools
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,29 @@ def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(bounds, starts - 1, side="right")
 
 
+class SortedHashes:
+    """Ascending 64-bit hashes, found by their first bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.size = len(hashes)
+        self.hashes = np.append(hashes, np.uint64(2**64 - 1)).astype(np.uint64)
+        bits = max(1, (2 * self.size).bit_length())
+        self.shift = np.uint64(64 - bits)
+        sizes = np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = (np.cumsum(sizes) - sizes).astype(np.int32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is, and whether it is there."""
+        at = self.first[(hashes >> self.shift).astype(np.int64)]
+        there = self.hashes[at]
+        behind = np.flatnonzero(there < hashes)
+        while len(behind):
+            at[behind] += 1
+            there[behind] = self.hashes[at[behind]]
+            behind = behind[there[behind] < hashes[behind]]
+        return at, (there == hashes) & (at < self.size)
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Hashes of the most frequent words in ascending order, their ids by falling count (from 1), and counts by id."""
@@ -80,19 +104,30 @@ class Vocabulary:
     others: int
     #: Table of all words' hashes and counts; stays on the driver.
     words: DataFrame | None = None
+    #: Hashes in ascending order and counts of frequent words, at most ``_COMMON``; the table has them as well.
+    common: tuple[np.ndarray, np.ndarray] | None = None
+
+    @cached_property
+    def _sorted(self) -> SortedHashes:
+        return SortedHashes(self.hashes)
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ids[at], UNKNOWN)
+        at, found = self._sorted.find(hashes)
+        return np.where(found, np.append(self.ids, UNKNOWN)[at], UNKNOWN)
 
     def for_tasks(self) -> Vocabulary:
-        return replace(self, words=None)
+        return replace(self, words=None, common=None)
+
+
+#: Words whose counts every task has; those of all others are joined.
+_COMMON = 1 << 18
 
 
 def fit_vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    """Counts the words of every row; the ``CLASSES * MEMBERS - 1`` most frequent come to the driver, all stay in a table."""
+    """Counts the words of every row; the ``CLASSES * MEMBERS - 1`` most frequent come to the driver, all stay in a table.
+
+    Counts of further words come along, from the largest down to a size of count that keeps them within ``_COMMON``.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,14 +137,20 @@ def fit_vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counted = materialise(counted, "words")
-    totals = counted.agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).first()
+    size = F.floor(F.log2("n") * 8)  # an eighth of a doubling each, so few whatever the corpus
+    sizes = sorted(counted.groupBy(size.alias("size")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect(), reverse=True)
+    within = [r["size"] for r, words in zip(sizes, itertools.accumulate(r["words"] for r in sizes), strict=True) if words <= _COMMON]
+    frequent = counted.filter(size >= F.lit(within[-1] if within else 1 << 20)).toArrow()
+    frequent_hashes = frequent.column("word").to_numpy().view(np.uint64)
+    ascending = np.argsort(frequent_hashes)
+    common = (frequent_hashes[ascending], frequent.column("n").to_numpy()[ascending])
     top = counted.orderBy(F.desc("n"), "word").limit(CLASSES * MEMBERS - 1).collect()
     hashes = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     counts = np.zeros(PAD)
     counts[1 : len(top) + 1] = [r["n"] for r in top]
-    counts[UNKNOWN] = (totals["tokens"] or 0) - counts.sum()
+    counts[UNKNOWN] = sum(r["tokens"] for r in sizes) - counts.sum()
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], order + 1, counts, (totals["words"] or 0) - len(top), counted)
+    return Vocabulary(hashes[order], order + 1, counts, sum(r["words"] for r in sizes) - len(top), counted, common)
 
 
 def start(vocabulary: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
@@ -134,7 +175,7 @@ def context_ids(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def contexts(ids: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Ids of the words before and after each word within its text; ``PAD`` beyond its ends."""
     n = len(ids)
-    out = np.full((n, 2 * SIDE), PAD, np.int64)
+    out = np.full((n, 2 * SIDE), PAD, ids.dtype)
     for k in range(1, SIDE + 1):
         if n > k:
             same = owner[k:] == owner[:-k]
@@ -154,55 +195,80 @@ def _tops(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     return np.where(top - (bias - reach).min(axis=-1) < _RANGE, top, np.nan)
 
 
-def _logits(hidden: np.ndarray, weights: np.ndarray, bias: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """Logits less ``top``, or less each row's maximum if that is NaN."""
+#: Rows whose logits are held at a time, so that they stay in the processor's cache.
+_BLOCK = 2048
+_ONES = np.ones(max(CLASSES, MEMBERS), np.float32)
+
+
+def _layer(weights: np.ndarray, bias: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """Weights with the bias as last row; logits lie around 0 by it unless ``top`` is NaN."""
+    with_bias = np.concatenate([weights, bias[..., None, :]], axis=-2)
+    with_bias[..., -1, :] -= np.where(np.isnan(top), 0, top - _RANGE / 2).astype(np.float32)[..., None]
+    return with_bias
+
+
+def _powers(hidden: np.ndarray, layer: np.ndarray, top: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials of a block's logits, their sums by row, and of one entry of each row its place and logit."""
+    logits = hidden @ layer
     if np.isnan(top):
-        logits = hidden @ weights + bias
         logits -= logits.max(axis=1, keepdims=True)
-        return logits
-    logits = hidden @ weights
-    logits += bias - np.float32(top)
-    return logits
+    places = np.arange(0, logits.size, logits.shape[1])
+    places += chosen
+    picked = logits.reshape(-1)[places]
+    np.exp(logits, out=logits)
+    return logits, logits @ _ONES[: logits.shape[1]], places, picked
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    np.exp(logits, out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
-    return logits
+def _learn(hidden: np.ndarray, layer: np.ndarray, top: np.ndarray, chosen: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """Adds a softmax's slope at its inputs to ``back`` and returns that of its weights with the bias."""
+    powers, sums, places, _ = _powers(hidden, layer, top, chosen)
+    powers.reshape(-1)[places] -= sums
+    shares = (1 / sums)[:, None]
+    back += (powers @ layer[:-1].T) * shares
+    return (hidden * shares).T @ powers
 
 
-def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+def _log_share(hidden: np.ndarray, layer: np.ndarray, top: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-probability of one entry of each row."""
-    picked = logits[np.arange(len(chosen)), chosen]
-    np.exp(logits, out=logits)
-    return picked - np.log(logits.sum(axis=1))
+    _, sums, _, picked = _powers(hidden, layer, top, chosen)
+    return picked - np.log(sums)
 
 
 def _hidden(net: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and hidden values of some windows; the latter with a last column of ones, for the bias."""
     inputs = np.take(net["embedding"], around, axis=0).reshape(len(around), -1)
-    hidden = inputs @ net["into"]
-    hidden += net["into_bias"]
-    return inputs, np.tanh(hidden, out=hidden)
+    values = inputs @ net["into"]
+    values += net["into_bias"]
+    hidden = np.ones((len(around), HIDDEN + 1), np.float32)
+    np.tanh(values, out=hidden[:, :HIDDEN])
+    return inputs, hidden
 
 
-def _by_class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """An order of words by class, and in it their classes, their members and where each class begins."""
+def _by_class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """An order of words by class, and in it their classes, their members and each class's places in blocks."""
     order = np.argsort(ids.astype(np.int16), kind="stable")
     group, member = np.divmod(ids[order], MEMBERS)
-    return order, group, member, np.searchsorted(group, np.arange(CLASSES + 1))
+    bounds = np.searchsorted(group, np.arange(CLASSES + 1)).tolist()
+    return order, group, member, [(c, use) for c in range(CLASSES) for use in _blocks(bounds[c], bounds[c + 1])]
+
+
+def _blocks(since: int, till: int) -> list[slice]:
+    return [slice(at, min(at + _BLOCK, till)) for at in range(since, till, _BLOCK)]
 
 
 def log_probabilities(net: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     """Log-probability of each word given the words around it."""
     out = np.empty(len(ids))
     class_top, tops = _tops(net["classes"], net["class_bias"]), _tops(net["members"], net["member_bias"])
+    classes, members = _layer(net["classes"], net["class_bias"], class_top), _layer(net["members"], net["member_bias"], tops)
     for at in range(0, len(ids), 1 << 14):
-        order, group, member, bounds = _by_class(ids[at : at + (1 << 14)])
-        _, hidden = _hidden(net, around[at : at + (1 << 14)][order])
-        logs = _log_share(_logits(hidden, net["classes"], net["class_bias"], class_top), group).astype(np.float64)
-        for c in np.flatnonzero(np.diff(bounds)):
-            use = slice(bounds[c], bounds[c + 1])
-            logs[use] += _log_share(_logits(hidden[use], net["members"][c], net["member_bias"][c], tops[c]), member[use])
+        order, group, member, uses = _by_class(ids[at : at + (1 << 14)])
+        _, hidden = _hidden(net, np.take(around[at : at + (1 << 14)], order, axis=0))
+        logs = np.empty(len(order))
+        for use in _blocks(0, len(order)):
+            logs[use] = _log_share(hidden[use], classes, class_top, group[use])
+        for c, use in uses:
+            logs[use] += _log_share(hidden[use], members[c], tops[c], member[use])
         out[at + order] = logs
     return out
 
@@ -216,24 +282,27 @@ def train(net: dict[str, np.ndarray], batches: Iterator[tuple[np.ndarray, np.nda
         if not n:
             continue
         total += n
-        order, group, member, bounds = _by_class(ids)
-        around, rows, ones = around[order], np.arange(n), np.ones(n, np.float32)
+        order, group, member, uses = _by_class(ids)
+        around = np.take(around, order, axis=0)
         inputs, hidden = _hidden(net, around)
         class_top, tops = _tops(net["classes"], net["class_bias"]), _tops(net["members"], net["member_bias"])
-        error = _softmax(_logits(hidden, net["classes"], net["class_bias"], class_top))
-        error[rows, group] -= 1
-        back = error @ net["classes"].T
-        slopes = {"classes": hidden.T @ error, "class_bias": ones @ error, "members": np.zeros_like(net["members"]), "member_bias": np.zeros_like(net["member_bias"])}
-        for c in np.flatnonzero(np.diff(bounds)):
-            use = slice(bounds[c], bounds[c + 1])
-            inner = _softmax(_logits(hidden[use], net["members"][c], net["member_bias"][c], tops[c]))
-            inner[rows[: len(inner)], member[use]] -= 1
-            back[use] += inner @ net["members"][c].T
-            slopes["members"][c], slopes["member_bias"][c] = hidden[use].T @ inner, ones[use] @ inner
-        back *= 1 - hidden**2
-        slopes["into"], slopes["into_bias"] = inputs.T @ back, ones @ back
+        classes, members = _layer(net["classes"], net["class_bias"], class_top), _layer(net["members"], net["member_bias"], tops)
+        of_classes, of_members, back = np.zeros_like(classes), np.zeros_like(members), np.zeros((n, HIDDEN), np.float32)
+        for use in _blocks(0, n):
+            of_classes += _learn(hidden[use], classes, class_top, group[use], back[use])
+        for c, use in uses:
+            of_members[c] += _learn(hidden[use], members[c], tops[c], member[use], back[use])
+        back *= 1 - hidden[:, :HIDDEN] ** 2
+        slopes = {
+            "classes": of_classes[:-1],
+            "class_bias": of_classes[-1],
+            "members": of_members[:, :-1],
+            "member_bias": of_members[:, -1],
+            "into": inputs.T @ back,
+            "into_bias": np.ones(n, np.float32) @ back,
+        }
         # Each word's embedding moves by the sum over its places.
-        places = around.T.ravel()
+        places = around.T.ravel().astype(np.intp)
         words = np.flatnonzero(np.bincount(places))
         pulls = (net["into"] @ back.T).reshape(2 * SIDE, EMBEDDING, n)
         moved = np.stack([np.bincount(places, pulls[:, d].ravel())[words] for d in range(EMBEDDING)], axis=1).astype(np.float32) / n
@@ -241,8 +310,9 @@ def train(net: dict[str, np.ndarray], batches: Iterator[tuple[np.ndarray, np.nda
             slope = slope / n
             seen[name] += slope**2
             net[name] -= rate * slope / np.sqrt(seen[name])
-        seen["embedding"][words] += moved**2
-        net["embedding"][words] -= rate * moved / np.sqrt(seen["embedding"][words])
+        so_far = np.take(seen["embedding"], words, axis=0) + moved**2
+        seen["embedding"][words] = so_far
+        net["embedding"][words] -= rate * moved / np.sqrt(so_far)
     return total
 
 
@@ -345,13 +415,13 @@ def _steps(rows: Iterator[bytes], number: int, step: int) -> Iterator[tuple[np.n
     mixed = words = 0
 
     def mix_held() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        near = np.concatenate(held).astype(np.int64)
+        near = np.concatenate(held)
         around = contexts(near, np.repeat(np.arange(len(held)), [len(h) for h in held]))
-        ids = np.where(near > PAD, UNKNOWN, near)
+        ids = np.where(near > PAD, UNKNOWN, near).astype(np.int64)
         order = np.random.default_rng([number, mixed]).permutation(len(ids))
         for at in range(0, len(ids), step):
             use = order[at : at + step]
-            yield ids[use], around[use]
+            yield ids[use], np.take(around, use, axis=0)
 
     for near in rows:
         held.append(np.frombuffer(near, "<u2"))
@@ -375,32 +445,36 @@ def _added(table: pa.Table) -> pa.Table:
 def score(docs: DataFrame, vocabulary: Vocabulary, net: dict[str, np.ndarray], text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns with n_words, log_likelihood (sum over all words) and perplexity for every row.
 
-    An unknown word has its probability as such times its own share of all unknown words of the corpus, by the table of
-    words; one that the corpus does not have counts as seen once. A text without words, empty or null, has likelihood 0
-    and a null perplexity.
+    An unknown word has its probability as such times its own share of all unknown words of the corpus: by the counts that
+    every task has, or else by a join with the table of words; one that the corpus does not have counts as seen once. A
+    text without words, empty or null, has likelihood 0 and a null perplexity.
     """
     known, unknown = vocabulary.for_tasks(), max(1.0, float(vocabulary.counts[UNKNOWN]))
-    sent = docs.sparkSession.sparkContext.broadcast(_flat(net))
+    sent = docs.sparkSession.sparkContext.broadcast((_flat(net), vocabulary.common or (np.empty(0, np.uint64), np.empty(0, np.int64))))
 
     @F.arrow_udf("struct<n_words: bigint, logs: double, rare: array<bigint>>")
     def scores(texts: pa.Array) -> pa.Array:
-        own = _unflat(sent.value)
+        flat, (common, seen) = sent.value
+        own, frequent, shares = _unflat(flat), SortedHashes(common), np.log(np.append(seen, 1) / unknown)
         n, sums, rare, sizes = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
         for part in batches_of(pa.RecordBatch.from_arrays([texts], ["text"])):
             hashes, owner = word_hashes([t or "" for t in part.column("text").to_pylist()])
             ids = known.lookup(hashes)
             logs = log_probabilities(own, ids, contexts(context_ids(ids, hashes), owner))
+            others = np.flatnonzero(ids == UNKNOWN)
+            at, found = frequent.find(hashes[others])
+            logs[others[found]] += shares[at[found]]
             n.append(np.bincount(owner, minlength=part.num_rows))
             sums.append(np.bincount(owner, logs, minlength=part.num_rows))
-            rare.append(hashes[ids == UNKNOWN].view(np.int64))
-            sizes.append(np.bincount(owner[ids == UNKNOWN], minlength=part.num_rows))
+            rare.append(hashes[others[~found]].view(np.int64))
+            sizes.append(np.bincount(owner[others[~found]], minlength=part.num_rows))
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)).astype(np.int32)), pa.array(np.concatenate(rare)))
         return pa.StructArray.from_arrays([pa.array(np.concatenate(n)), pa.array(np.concatenate(sums)), lists], ["n_words", "logs", "rare"])
 
     names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*(F.col(c).alias(k) for c, k in zip(keep, names, strict=True)), scores(F.col(text)).alias("_s"))
     rows = materialise(rows.select(F.monotonically_increasing_id().alias("_row"), *names, "_s.*"), "scores")
-    # No word here is among the most frequent, so no key of the join is hot.
+    # Frequent words are not here, so no key of the join is hot.
     rare = rows.select("_row", F.explode("rare").alias("word")).join(vocabulary.words, "word", "left")
     shares = rare.groupBy("_row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)) / unknown)).alias("shares"))
     out = rows.drop("rare").join(shares, "_row", "left").select(

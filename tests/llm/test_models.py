@@ -2,6 +2,7 @@
 
 import html
 import re
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -366,3 +367,73 @@ def test_log_probabilities_need_no_maximum_of_each_row(scale):
     before = want.mean()
     pl.train(net, iter([(ids, around)] * 5))
     assert all(np.isfinite(v).all() for v in net.values()) and pl.log_probabilities(net, ids, around).mean() > before
+
+
+def test_counts_of_common_words_need_no_join(spark, monkeypatch):
+    # 4,095 words fill the list; one other word is common, "seldom" and "once" are not.
+    monkeypatch.setattr(pl, "_COMMON", pl.PAD, raising=False)
+    texts = [" ".join(f"w{i}" for i in range(pl.PAD - 1))] * 60 + ["often"] * 50 + ["seldom"] * 10 + ["once", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    vocabulary = pl.fit_vocabulary(docs)
+    written, materialise = [], pl.materialise
+    monkeypatch.setattr(pl, "materialise", lambda df, name: written.append(materialise(df, name)) or written[-1])
+    probe = spark.createDataFrame([("often",), ("seldom",), ("once",), ("never",), ("often once w1 often never",)], "text string")
+    net = pl.start(vocabulary)
+    got = {r["text"]: r["log_likelihood"] for r in pl.score(probe, vocabulary, net, keep=["text"]).collect()}
+    assert sum(len(r["rare"]) for r in written[0].collect()) == 5  # one each of seldom, once and never; once and never again
+    joined = pl.score(probe, replace(vocabulary, common=None), net, keep=["text"])
+    assert sum(len(r["rare"]) for r in written[1].collect()) == 8
+    for r in joined.collect():
+        assert got[r["text"]] == pytest.approx(r["log_likelihood"], rel=1e-12)
+    # Where no size of count stays within the bound, all words are joined.
+    monkeypatch.setattr(pl, "_COMMON", 100)
+    none = pl.fit_vocabulary(docs)
+    assert len(none.common[0]) == 0 and none.others == 3 and (none.counts == vocabulary.counts).all()
+
+
+def test_hashes_are_found_by_their_first_bits():
+    random = np.random.default_rng(2)
+    some = random.integers(0, 2**64, 3000, np.uint64, endpoint=False)
+    for held in ([], [0], [2**64 - 1], [5, 6, 7, 2**63], some[::2], np.append(some[::3], np.array([0, 2**64 - 1], np.uint64))):
+        held = np.unique(np.array(held, np.uint64))
+        asked = np.concatenate([some, held, held + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+        at, found = pl.SortedHashes(held).find(asked)
+        assert (found == np.isin(asked, held)).all() and (held[at[found]] == asked[found]).all()
+
+
+@pytest.mark.parametrize("scale", [1, 400])
+def test_training_steps_by_a_plain_version(scale, monkeypatch):
+    """In double precision, row by row and without blocks."""
+    monkeypatch.setattr(pl, "_BLOCK", 16, raising=False)
+    random = np.random.default_rng(6)
+    net = {n: random.standard_normal(s).astype(np.float32) * 0.1 for n, s in pl._SHAPES.items()}
+    net["classes"] *= scale
+    net["members"] *= scale
+    plain = {n: v.astype(float) for n, v in net.items()}
+    seen = {n: np.full(v.shape, 1e-6) for n, v in plain.items()}
+    steps = [(random.integers(0, 200, 90), random.integers(0, pl.PAD + 9, (90, 2 * pl.SIDE))) for _ in range(2)]
+    for ids, around in steps:
+        slopes = {n: np.zeros_like(v) for n, v in plain.items()}
+        for word, window in zip(ids, around, strict=True):
+            inputs = plain["embedding"][window].ravel()
+            hidden = np.tanh(inputs @ plain["into"] + plain["into_bias"])
+            group, member = divmod(int(word), pl.MEMBERS)
+            back = 0
+            for weights, bias, at, chosen in (("classes", "class_bias", ..., group), ("members", "member_bias", group, member)):
+                logits = hidden @ plain[weights][at] + plain[bias][at]
+                error = np.exp(logits - logits.max())
+                error /= error.sum()
+                error[chosen] -= 1
+                slopes[weights][at] += np.outer(hidden, error)
+                slopes[bias][at] += error
+                back = back + plain[weights][at] @ error
+            back = back * (1 - hidden**2)
+            slopes["into"] += np.outer(inputs, back)
+            slopes["into_bias"] += back
+            np.add.at(slopes["embedding"], window, (plain["into"] @ back).reshape(2 * pl.SIDE, pl.EMBEDDING))
+        for n, slope in slopes.items():
+            seen[n] += (slope / len(ids)) ** 2
+            plain[n] -= 0.05 * slope / len(ids) / np.sqrt(seen[n])
+    assert pl.train(net, iter(steps)) == 180
+    for n, v in net.items():
+        assert np.allclose(v, plain[n], rtol=1e-3, atol=1e-3 if scale == 1 else 5e-3), n
