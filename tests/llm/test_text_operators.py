@@ -165,6 +165,19 @@ def test_language(spark, docs, odd, sf_dir):
     assert language.fit_text_model(docs.limit(0)).logp.shape[0] == 5
 
 
+def test_language_model_counts_every_labelled_row(spark):
+    word = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    lang = F.when(F.col("id") % 500 == 1, "de").when(F.col("id") % 2 == 1, "en").when(F.col("id") % 4 == 0, "xx")
+    docs = spark.range(50_000).select(F.when(F.col("id") % 100 != 3, F.concat_ws(" ", lang, word)).alias("text"), lang.alias("lang"))
+    texts = {name: [r["text"] or "" for r in docs.filter(F.col("lang") == name).collect()] for name in ("en", "de")}
+    assert len(texts["en"]) > 20_000  # by sample: some 20,000 of them
+    for rows in (docs, docs.repartition(3)):
+        model = language.fit_text_model(rows)
+        for name in model.languages:
+            counts = np.bincount(language.trigrams(texts.get(name, []))[0], minlength=language.BUCKETS) + 0.5
+            assert np.allclose(model.logp[model.languages.index(name)], np.log(counts / counts.sum()), rtol=0, atol=1e-5), name
+
+
 def test_host_prior_decides_where_the_text_does_not(spark):
     rows = [(i, "the of and", "en", "a.example.org") for i in range(40)] + [(100 + i, "der die und", "de", "b.example.de") for i in range(40)]
     rows += [(500, "xyz", None, "b.example.de"), (501, "xyz", None, "a.example.org")]
